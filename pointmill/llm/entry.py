@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, secrets, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_secrets": secrets.op4_secrets,
+    "op8_toxicity": toxicity.op8_toxicity,
 }
 
 ORACLES = {
