@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontaminate, secrets, toxicity
+from . import decontaminate, packing, quality, secrets, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_quality": quality.op2_quality,
+    "op3_packing": packing.op3_packing,
     "op4_secrets": secrets.op4_secrets,
+    "op6_topk": topk.op6_topk,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_topk": topk.ORACLE_SQL,
 }
