@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spark_tools import bit_filter, cut, in_filter, same_row, text_key
+from .spark_tools import bit_filter, cut, in_filter, text_key
 from .words import ALNUM, split
 
 WINDOW, SHINGLE = 10, 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality, secrets, topk, toxicity, url_filter
+from . import decontaminate, near_dedup, packing, quality, secrets, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_secrets": secrets.op4_secrets,
     "op6_topk": topk.op6_topk,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_url_filter": url_filter.op10_url_filter,
 }
@@ -17,4 +18,5 @@ QUERIES = {
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE_SQL,
     "op6_topk": topk.ORACLE_SQL,
+    "op7_near_dedup": near_dedup.ORACLE_SQL,
 }

@@ -1,30 +1,12 @@
-"""Small Spark helpers of the corpus operators: shared tables and bounded filters."""
+"""Small Spark helpers of the corpus operators: row keys and bounded filters."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only where none is set, a folder of our own."""
-    there = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_pointmill_dir", None)
-    if not there:
-        there = spark._pointmill_dir = tempfile.mkdtemp(prefix="pointmill-")
-        spark.sparkContext.setCheckpointDir(there)
-    return there.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write a frame into the shared folder and read it back: the lineage ends there."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..functions.storage import cut, shared_dir  # noqa: F401  used by the operators
 
 
 def text_key() -> Column:
@@ -32,13 +14,6 @@ def text_key() -> Column:
     return F.coalesce(F.xxhash64("text"), F.lit(0))
 
 
-def same_row(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> Column:
-    on = F.lit(True)
-    for k in keys:
-        on = on & a[k].eqNullSafe(b[k])
-    return on
-
-
 def bit_filter(hashes: DataFrame, log2_bits: int = 22) -> bytes:
     """A bitmap of a long column `h`, of a fixed size whatever the input.
 
