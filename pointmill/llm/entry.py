@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, packing, quality, secrets, topk, toxicity, url_filter
+from . import decontaminate, near_dedup, packing, quality, secrets, substring_dedup, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_quality": quality.op2_quality,
     "op3_packing": packing.op3_packing,
     "op4_secrets": secrets.op4_secrets,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_topk": topk.op6_topk,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -17,6 +18,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE_SQL,
+    "op5_substring_dedup": substring_dedup.ORACLE_SQL,
     "op6_topk": topk.ORACLE_SQL,
     "op7_near_dedup": near_dedup.ORACLE_SQL,
 }

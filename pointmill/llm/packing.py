@@ -196,7 +196,7 @@ def slots(groups: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
-def pack(docs: DataFrame, encoder=public_encoder, size: int = SIZE, group_rows: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, encoder=public_encoder, size: int = SIZE, group_rows: int = 1000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece."""
     cut_up = cut(pieces(docs, encoder, size))
     counts = {r.length: r.n for r in cut_up.groupBy("length").agg(F.count("*").alias("n")).collect()}
