@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, packing, quality, secrets, substring_dedup, topk, toxicity, url_filter
+from . import decontaminate, near_dedup, packing, pii, quality, secrets, substring_dedup, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_topk": topk.op6_topk,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_pii": pii.op9_pii,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
