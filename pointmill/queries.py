@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 
 from .operators import blobs, grid, refine, rules, spatial, terrain
 from .plans import evaluate, tasks, tiles
-from .sources.points import BUILDING, GROUND, NOISE, SCENE_SQL, VEHICLE, height, scene
+from .sources.points import BUILDING, GROUND, NOISE, VEHICLE, height, scene, scene_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-PTS = f"pts AS ({SCENE_SQL.format(div='//')}), p AS (SELECT *, z - gz AS h FROM pts)"
+PTS = f"pts AS ({scene_sql()}), p AS (SELECT *, z - gz AS h FROM pts)"
 
 
 def register(name: str, sql: str | None = None, bare: bool = False):
@@ -127,7 +128,7 @@ _NEAR = "{name} AS (SELECT DISTINCT s.point_id FROM {source} s JOIN p b ON b.cls
 
 
 def near_sql(cond: str, r: float, target: int = 6, name: str = "nb", source: str = "p") -> str:
-    return _NEAR.format(name=name, source=source, target=target, r=r, cond=cond)
+    return _NEAR.format(name=name, source=source, target=target, r=r, cond=re.sub(r"\b(cls|h)\b", r"s.\1", cond))
 
 
 _JUNK = "cls = 2 AND h > 0.01 AND h < 4.0"
@@ -230,8 +231,8 @@ over_scene(
     "t AS (SELECT x, y FROM p WHERE cls = 6 AND h >= 3.5) SELECT s.point_id, round(least(coalesce(min(sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y))), 20), 20), 6) AS d_bldg FROM p s LEFT JOIN t ON true GROUP BY s.point_id",
     lambda p: refine.building_distance(p).select("point_id", F.round("d_bldg", 6).alias("d_bldg")),
 )
-over_scene("voxel_features", "o AS (SELECT min(x) AS x0, min(y) AS y0, min(z) AS z0 FROM p), v AS (SELECT p.*, floor((x - x0) / 0.35) AS vx, floor((y - y0) / 0.35) AS vy, floor((z - z0) / 0.35) AS vz FROM p, o), a AS (SELECT vx, vy, vz, ln(1 + count(*)) AS log_n, max(z) - min(z) AS v_span, avg(h) AS v_hmean FROM v GROUP BY ALL) SELECT point_id, round(h, 6) AS h, round(log_n, 6) AS log_n, round(v_span, 6) AS v_span, round(v_hmean, 6) AS v_hmean, CAST(h >= 0.3 AS DOUBLE) AS h030, CAST(h >= 2.2 AS DOUBLE) AS h220, CAST(h >= 4 AS DOUBLE) AS h400 FROM v JOIN a USING (vx, vy, vz)",
-           lambda p: refine.features(p).select("point_id", *[F.round(c, 6).alias(c) for c in ("h", "log_n", "v_span", "v_hmean")], "h030", "h220", "h400"))
+over_scene("voxel_features", "o AS (SELECT min(x) AS x0, min(y) AS y0, min(z) AS z0 FROM p), v AS (SELECT p.*, floor((x - x0) / 0.35) AS vx, floor((y - y0) / 0.35) AS vy, floor((z - z0) / 0.35) AS vz FROM p, o), a AS (SELECT vx, vy, vz, ln(1 + count(*)) AS log_n, max(z) - min(z) AS v_span, avg(h) AS v_hmean FROM v GROUP BY ALL) SELECT point_id, round(h, 6) AS h, round(log_n, 6) AS log_n, round(v_span, 6) AS v_span, round(v_hmean + 1e-9, 6) AS v_hmean, CAST(h >= 0.3 AS DOUBLE) AS h030, CAST(h >= 2.2 AS DOUBLE) AS h220, CAST(h >= 4 AS DOUBLE) AS h400 FROM v JOIN a USING (vx, vy, vz)",
+           lambda p: refine.features(p).select("point_id", *[F.round(c, 6).alias(c) for c in ("h", "log_n", "v_span")], F.round(F.col("v_hmean") + 1e-9, 6).alias("v_hmean"), "h030", "h220", "h400"))
 
 # blobs
 
