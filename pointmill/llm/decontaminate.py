@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .spark_tools import bit_filter, cut, in_filter, text_key
-from .words import ALNUM, split
+from .words import ALNUM, parts, split
 
 WINDOW, SHINGLE = 10, 5
 
@@ -75,7 +75,7 @@ def shingle_hits(docs: DataFrame, windows: DataFrame, window: int, shingle: int)
 
     def scan(batches):
         bits = np.frombuffer(filters.value, np.uint8)
-        for b in batches:
+        for b in parts(batches):
             w = split(b["text"], ALNUM)
             found: list[list] = [[] for _ in range(b.num_rows)]
             rows = w.row()

@@ -6,8 +6,9 @@ of documents send their distinct anchors, each with the least and greatest
 doc_id in the block, to shards by anchor; a shard answers which anchors occur in
 two documents. Of those the blocks send the word segments around them, each
 distinct segment once. A shard confirms which windows recur, compiles their word
-sequences into an automaton (pyahocorasick), streams all segments through it to
-locate every occurrence, and answers with the first document of each. Blocks
+sequences (rows of windows that stand in one segment only, as one passage) into an
+automaton (pyahocorasick), streams all segments through it to locate every
+occurrence, and answers with the first document of each. Blocks
 then remove the words of windows that an earlier document holds. Whatever is
 common to many documents is one entry a block, so no group grows with its number
 of copies.
@@ -63,14 +64,21 @@ class Runs:
         self.segment = mix((sums[end] - sums[self.start]) * down[self.start] + (end - self.start).astype(np.uint64))
 
 
-def _ends(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, a place of each, least id, greatest id)."""
+def _ends(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, a place of each, its least lo, its greatest hi)."""
     order = np.argsort(key, kind="stable")
-    key, ids = key[order], ids[order]
+    key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     if not len(first):
-        return key, order, ids, ids
-    return key[first], order[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
+        return key, order, lo, hi
+    return key[first], order[first], np.minimum.reduceat(lo[order], first), np.maximum.reduceat(hi[order], first)
+
+
+def _among(sorted_keys: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted, distinct list."""
+    if not len(sorted_keys):
+        return np.zeros(len(key), bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, key), len(sorted_keys) - 1)] == key
 
 
 def _ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -103,13 +111,14 @@ def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, a
         shard = (key % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         shard = shard[order]
-        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
-        for a, b in zip(edges, [*edges[1:], len(shard)], strict=True):
+        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])).tolist() if len(shard) else []
+        for a, b in zip(edges, [*edges, len(shard)][1:], strict=True):
             yield int(shard[a]), order[a:b]
 
     def send_anchors(key, table):
         _, runs, ids, ok = read(table)
-        anchors, _, lo, hi = _ends(runs.anchor[ok], ids[runs.row[ok]])
+        own = ids[runs.row[ok]]
+        anchors, _, lo, hi = _ends(runs.anchor[ok], own, own)
         out = [(s, key[0].as_py(), anchors[i].tobytes(), lo[i].tobytes(), (hi[i] - lo[i]).tobytes()) for s, i in shards_of(anchors)]
         return _table("shard block anchors lo more", [I64, I64, BIN, BIN, BIN], list(zip(*out, strict=True)) or [[]] * 5)
 
@@ -118,22 +127,22 @@ def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, a
         lo = np.concatenate([np.frombuffer(x, np.int64) for x in table["lo"].to_pylist()])
         hi = lo + np.concatenate([np.frombuffer(x, np.int64) for x in table["more"].to_pylist()])
         every = np.concatenate(anchors)
-        distinct, _, least, _ = _ends(every, lo)
-        _, _, _, most = _ends(every, hi)
+        distinct, _, least, most = _ends(every, lo, hi)
         twice = distinct[least < most]
-        out = [(b, a[np.isin(a, twice)].tobytes()) for b, a in zip(table["block"].to_pylist(), anchors, strict=True)]
+        out = [(b, a[_among(twice, a)].tobytes()) for b, a in zip(table["block"].to_pylist(), anchors, strict=True)]
         return _table("to_block anchors", [I64, BIN], list(zip(*[x for x in out if x[1]], strict=True)) or [[]] * 2)
 
     def chosen(runs: Runs, ok: np.ndarray, answers) -> np.ndarray:
         known = [np.frombuffer(x, np.uint64) for x in answers["anchors"].to_pylist()]
-        return np.flatnonzero(ok & np.isin(runs.anchor, np.concatenate(known))) if known else np.zeros(0, np.int64)
+        return np.flatnonzero(ok & _among(np.sort(np.concatenate(known)), runs.anchor)) if known else np.zeros(0, np.int64)
 
     def send_segments(key, table, answers):
         out = []
         if table.num_rows and answers.num_rows:
             w, runs, ids, ok = read(table)
             use = chosen(runs, ok, answers)
-            segment, at, lo, hi = _ends(runs.segment[use], ids[runs.row[use]])
+            own = ids[runs.row[use]]
+            segment, at, lo, hi = _ends(runs.segment[use], own, own)
             at = use[at]
             begin, end = w.start[runs.start[at]], w.end[runs.stop[at] + window - 2]
             raw = w.raw.tobytes()
@@ -152,39 +161,54 @@ def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, a
         first, last = np.full(len(texts), NONE), np.full(len(texts), -NONE)
         np.minimum.at(first, which, lo)
         np.maximum.at(last, which, hi)
-        word: dict[bytes, int] = {}
-        sequences = [tuple([word.setdefault(x, len(word)) for x in t.split(b" ")]) for t in texts]
-        # confirm: a window recurs if the segments that hold it belong to two documents
-        size = np.array([len(s) for s in sequences])
-        flat = np.concatenate([np.array(s, np.uint64) for s in sequences])
+        # one character a word (two if a shard has more words than characters), so that texts and passages are strings
+        split_up = [t.split(b" ") for t in texts]
+        word = {x: i for i, x in enumerate({x for t in split_up for x in t})}
+        width = 1 if len(word) < 0x110000 else 2
+        word = {x: chr(i) if width == 1 else chr(i >> 20) + chr(i & 0xFFFFF) for x, i in word.items()}
+        sequences = ["".join([word[x] for x in t]) for t in split_up]
+        del split_up
+        size = np.array([len(s) for s in sequences]) // width
+        begins = np.cumsum(size) - size
+        flat = np.frombuffer("".join(sequences).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        if width == 2:
+            flat = (flat[::2] << np.uint64(20)) + flat[1::2]
         owner = np.repeat(np.arange(len(size)), size)
+        # confirm: a window recurs if the segments that hold it belong to two documents
         n = len(flat) - window + 1
-        h = mix(flat[:n] + np.uint64(1))
+        h = flat[:n].copy()
         for j in range(1, window):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + flat[j : j + n] + np.uint64(1))
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15)) + flat[j : j + n]
         at = np.flatnonzero(owner[:n] == owner[window - 1 :])
-        key, place, least, _ = _ends(h[at], first[owner[at]])
-        _, _, _, most = _ends(h[at], last[owner[at]])
-        passages = at[place[least < most]]
-        if not len(passages):
+        order = np.argsort(h[at], kind="stable")
+        at = at[order]
+        first_of = np.flatnonzero(np.append(True, h[at[1:]] != h[at[:-1]]))
+        times = np.diff(np.append(first_of, len(at)))
+        recurs = np.minimum.reduceat(first[owner[at]], first_of) < np.maximum.reduceat(last[owner[at]], first_of)
+        # passages: each window that stands in several places, and each longest row of windows that stand in one segment only
+        several = at[first_of[recurs & (times > 1)]]
+        single = np.sort(at[first_of[recurs & (times == 1)]])
+        row = np.flatnonzero(np.append(True, (np.diff(single) != 1) | np.diff(owner[single]).astype(bool))) if len(single) else np.zeros(0, np.int64)
+        starts = np.concatenate([several, single[row]])
+        windows = np.concatenate([np.ones(len(several), np.int64), np.diff(np.append(row, len(single)))])
+        if not len(starts):
             return _table("to_block segments from till first", [I64, BIN, BIN, BIN, BIN], [[]] * 5)
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        begins = np.cumsum(size) - size
-        for p, i in enumerate(passages.tolist()):
-            o = int(owner[i])
-            automaton.add_word(sequences[o][i - int(begins[o]) : i - int(begins[o]) + window], p)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for p, (i, o, k) in enumerate(zip((starts - begins[owner[starts]]).tolist(), owner[starts].tolist(), (windows + window - 1).tolist(), strict=True)):
+            automaton.add_word(sequences[o][i * width : (i + k) * width], p)
         automaton.make_automaton()
-        hits = [(s, end - window + 1, p) for s, words in enumerate(sequences) for end, p in automaton.iter(words)]
-        seg, start, passage = (np.array(c, np.int64) for c in zip(*hits, strict=True))
-        earliest = np.full(len(passages), NONE)
+        hits = [(s, end, p) for s, words in enumerate(sequences) for end, p in automaton.iter(words) if width == 1 or end % 2]
+        seg, end, passage = (np.array(c, np.int64) for c in zip(*hits, strict=True))
+        start = end // width + 1 - (windows + window - 1)[passage]
+        earliest = np.full(len(starts), NONE)
         np.minimum.at(earliest, passage, first[seg])
-        begun = earliest[passage]
+        begun, till = earliest[passage], start + windows[passage]
         order = np.lexsort((start, seg))
-        seg, start, begun = seg[order], start[order], begun[order]
+        seg, start, till, begun = seg[order], start[order], till[order], begun[order]
         # windows side by side with one first document are one range
-        new = np.append(True, (seg[1:] != seg[:-1]) | (start[1:] != start[:-1] + 1) | (begun[1:] != begun[:-1]))
+        new = np.append(True, (seg[1:] != seg[:-1]) | (start[1:] != till[:-1]) | (begun[1:] != begun[:-1]))
         a = np.flatnonzero(new)
-        from_, till, seg, begun = start[a], start[np.append(a[1:], len(seg)) - 1] + 1, seg[a], begun[a]
+        from_, till, seg, begun = start[a], till[np.append(a[1:], len(seg)) - 1], seg[a], begun[a]
         edge = np.searchsorted(seg, np.arange(len(texts) + 1))
         out, done = [], 0
         for b, names in zip(blocks_of, name, strict=True):

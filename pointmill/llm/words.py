@@ -167,3 +167,14 @@ def split(column: pa.Array, rule: WordRule) -> Words:
         np.concatenate(hashes) if hashes else np.zeros(0, np.uint64),
         np.searchsorted(start, offsets),
     )
+
+
+def parts(batches, column: str = "text", size: int = 1 << 22):
+    """The batches in slices of about so many text bytes, so that what is derived from one slice stays small."""
+    for b in batches:
+        _, offsets = utf8(b[column])
+        lo = 0
+        while lo < b.num_rows:
+            hi = min(max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size))), b.num_rows)
+            yield b.slice(lo, hi - lo)
+            lo = hi
