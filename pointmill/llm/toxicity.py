@@ -8,11 +8,11 @@ Adam. A document is toxic if some passage is, so passages pool through a
 log-mean-exp; a long text is not washed out by its harmless rest.
 
 The classifier is fitted on a bounded sample of labelled rows (`max_docs`, by a
-hash of the id); every row is scored on its whole text. Null and empty texts get
-the score of an empty passage. Rows are scored alone, so ties, repeated rows,
-null ids and empty tables need nothing special; without labelled rows of both
-kinds every score is the rate of label 1 (0.0 without labels). Other columns are
-ignored.
+hash of the id); every row is scored on its whole text. Texts without words (null
+and empty ones among them) score 0. Rows are scored alone, so ties, repeated
+rows, null ids and empty tables need nothing special; without labelled rows of
+both kinds every other score is the rate of label 1 (0.0 without labels). Other
+columns are ignored.
 """
 
 import io
@@ -28,6 +28,8 @@ from .words import ALNUM, mix, split, utf8
 
 ORDERS, LOG2_BUCKETS, DIM, PASSAGE = (3, 4, 5, 6), 17, 4, 24
 TAU = 0.5
+#: The logit of a text without words.
+NOTHING = -1000.0
 
 
 def _distinct_words(w):
@@ -102,7 +104,7 @@ class Model:
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """0..1 for each text."""
-        out = np.full(len(texts), self.bias, np.float64)
+        out = np.full(len(texts), NOTHING, np.float64)
         for lo, hi in slices(texts):
             w = split(texts[lo:hi], ALNUM)
             if not len(w.hash):
@@ -112,7 +114,7 @@ class Model:
             word = _sums(self.logit[buckets], bounds) / np.maximum(np.diff(bounds), 1)
             first, row = _passages(w, self.passage)
             z = _sums(word[number], first) / np.diff(first) + self.bias
-            out[lo:hi] = pool(z, row, hi - lo, self.bias)
+            out[lo:hi] = pool(z, row, hi - lo)
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
@@ -126,13 +128,13 @@ def slices(texts: pa.Array, size: int = 1 << 20):
         lo = min(hi, len(texts))
 
 
-def pool(z: np.ndarray, row: np.ndarray, n: int, empty: float) -> np.ndarray:
-    """Soft maximum of the passages of each row."""
+def pool(z: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Soft maximum of the passages of each row; NOTHING without any."""
     top = np.full(n, -np.inf)
     np.maximum.at(top, row, z)
     some = np.isfinite(top)
     total = np.bincount(row, np.exp((z - top[row]) / TAU), n)
-    return np.where(some, np.where(some, top, 0) + TAU * np.log(np.maximum(total, 1e-300)), empty)
+    return np.where(some, np.where(some, top, 0) + TAU * np.log(np.maximum(total, 1e-300)), NOTHING)
 
 
 def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.08, seed: int = 7, decay: float = 1e-5) -> Model:
@@ -157,7 +159,6 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
     by_word = np.argsort(number, kind="stable")
     word_bounds = np.searchsorted(number[by_word], np.arange(len(at)))
     word_passages = of_word[by_word]
-    has_words = np.bincount(row, minlength=len(y)) > 0
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (DIM, len(used))).astype(np.float32)
     soft = rng.normal(0, 0.5, (2, DIM)).astype(np.float32)
@@ -168,13 +169,13 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
         bags = np.stack([np.add.reduceat(v[number], first[:-1]) for v in words]) / length
         logits = soft @ bags
         z = (logits[1] - logits[0] + bias[1] - bias[0]).astype(np.float64)
-        p = 1 / (1 + np.exp(-np.clip(pool(z, row, len(y), float(bias[1] - bias[0])), -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(pool(z, row, len(y)), -50, 50)))
         g_doc = (p - y) / len(y)
         top = np.full(len(y), -np.inf)
         np.maximum.at(top, row, z)
         e = np.exp((z - top[row]) / TAU)
         g_z = g_doc[row] * e / np.bincount(row, e, len(y))[row]
-        total = g_z.sum() + g_doc[~has_words].sum()
+        total = g_z.sum()
         g_bag = (g_z / length).astype(np.float32)
         g_word = np.add.reduceat(g_bag[word_passages], word_bounds) / sizes
         g_slot = np.add.reduceat(g_word[slot_words], slot_bounds)
