@@ -106,8 +106,12 @@ def _words(context: Column, origin: Column, clipped_left: Column, clipped_right:
     return F.coalesce(inside, F.array().cast("array<struct<term:string,start:int,end:int>>"))
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclosure: float = 0.5, bits: float = 4.0, radius: int = 64) -> DataFrame:
-    """doc_id, __key, start, end of the terms that reveal a value found near them."""
+def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclosure: float = 0.5, bits: float = 4.0, radius: int = 64, max_broadcast: int = 200_000) -> DataFrame:
+    """doc_id, __key, start, end of the terms that reveal a value found near them.
+
+    Up to max_broadcast terms to be counted are broadcast, so only their
+    occurrences are shuffled; more of them are joined by a shuffle of all counts.
+    """
     value = F.xxhash64("kind", "value")
     left = _words(F.col("left"), F.col("start") - F.length("left"), F.col("before") > radius, F.lit(False))
     right = _words(F.col("right"), F.col("end"), F.lit(False), F.col("after") > radius)
@@ -115,10 +119,14 @@ def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclo
     together = near.select("value", "term", *KEYS).distinct().groupBy("value", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_docs)
     together = cut(together)
     with_value = found.select(value.alias("value"), *KEYS).distinct().groupBy("value").agg(F.count("*").alias("n_value"))
-    # every term's documents, over the whole corpus; partial counts shrink them before the shuffle
+    # every such term's documents, over the whole corpus
+    wanted = together.select("term").distinct()
     terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term"))
     n_docs = docs.agg(F.count("*").alias("n_docs"))
-    with_term = terms.groupBy("term").agg(F.count("*").alias("n_term")).join(together.select("term").distinct(), "term", "left_semi")
+    if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
+        with_term = terms.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    else:
+        with_term = terms.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted.hint("merge"), "term", "left_semi")
     given = F.col("n_both") / F.greatest("n_term", "n_both")
     telling = (
         together.join(with_term, "term")
