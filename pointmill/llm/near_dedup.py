@@ -5,11 +5,13 @@ has fewer words). Equal sets form a class at once. A class keeps 256 registers:
 shingles fall into a bucket by their hash, and a bucket keeps the least second
 hash as a leading-zero count and ten mantissa bits; an empty bucket borrows from
 the first full one in an order of its own. Registers are banded, five to a band;
-classes that share a band are candidates. Inside a band each class is compared
-with one centre, verified links are joined into components, bands that still
-span several components try another centre, and what then remains is compared
-pair by pair. A pair passes if its size ratio allows it, the collision-corrected
-Jaccard estimate is not far below the threshold, and the full sets agree.
+classes that share a band are candidates. In a few bands each class is compared
+with one centre and verified links are joined into components; then, in all
+bands that still span several components, one class of each component with a
+centre; and what then remains across components is compared pair by pair, large
+bands in blocks of pairs of parts. A pair passes if its size ratio allows it, the
+collision-corrected Jaccard estimate is not far below the threshold, and the
+full sets agree.
 
 Null and empty texts have no shingles and link with nothing. Rows that share a
 doc_id are one vertex; a null doc_id links with nothing and has a null
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from .spark_tools import bit_filter, cut, in_filter
-from .words import SPACED_LOWER, Words, mix, split
+from .words import SPACED_LOWER, Words, mix, parts, split
 
 REGISTERS, MANTISSA, BAND = 256, 10, 5
 BANDS = REGISTERS // BAND
@@ -74,7 +76,7 @@ def sketches(docs: DataFrame, k: int = 2) -> DataFrame:
     """doc_id, n_shingles, set_a, set_b (128 bits of the set), sketch (bytes) per row."""
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             sets = shingle_sets(split(b["text"], SPACED_LOWER), k)
             n = np.array([len(s) for s in sets], np.int64)
             one = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -94,7 +96,7 @@ def _sketch_matrix(column: pa.Array) -> np.ndarray:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """band, rep: one row for each band of each class."""
+    """band, nth, rep: one row for each band of each class; nth is the band's number."""
 
     def run(batches):
         for b in batches:
@@ -104,30 +106,71 @@ def bands(classes: DataFrame) -> DataFrame:
                 h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), m.shape[:2]).copy()
                 for j in range(BAND):
                     h = mix(h * np.uint64(0x9E3779B97F4A7C15) + m[:, :, j] + _ONE)
-                yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), part["rep"].take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], ["band", "rep"])
+                nth = np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(nth), part["rep"].take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], ["band", "nth", "rep"])
+
+    return classes.select("rep", "sketch").mapInArrow(run, f"band bigint, nth int, rep {classes.schema['rep'].dataType.simpleString()}")
+
 
-    return classes.select("rep", "sketch").mapInArrow(run, f"band bigint, rep {classes.schema['rep'].dataType.simpleString()}")
+def likely(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, similarity: float) -> np.ndarray:
+    """Row by row: whether the sizes allow the similarity and the collision-corrected estimate is at most five deviations below it."""
+    j = ((x == y).mean(1) - ACCIDENT) / (1 - ACCIDENT)
+    small, large = np.minimum(nx, ny), np.maximum(nx, ny)
+    return (small >= similarity * large - 1e-6) & (j >= similarity - 5 * np.sqrt(similarity * (1 - similarity) / np.minimum(small, REGISTERS)))
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) that pass the size bound and the collision-corrected estimate, five deviations below the threshold."""
+    """The likely ones of the pairs (a, b)."""
     left = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
     def agree(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for sa, sb, na, nb in batches:
-            if not len(sa):
-                yield pd.Series([], dtype=bool)
-                continue
             x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, REGISTERS) for s in (sa, sb))
-            j = ((x == y).mean(1) - ACCIDENT) / (1 - ACCIDENT)
-            effective = np.minimum(np.minimum(na, nb), REGISTERS).to_numpy(float)
-            yield pd.Series(j >= similarity - 5 * np.sqrt(similarity * (1 - similarity) / effective))
+            yield pd.Series(likely(x, y, na.to_numpy(float), nb.to_numpy(float), similarity), dtype=bool)
 
     sized = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-6)
     return sized.where(F.pandas_udf(agree, "boolean")("sa", "sb", "na", "nb")).select("a", "b")
 
 
+def likely_across(groups: DataFrame, classes: DataFrame, similarity: float, part: int = 512) -> DataFrame:
+    """Likely pairs (a, b), a < b, of different components in the groups (band, rep, c).
+
+    A group is split into parts of about `part` classes; each pair of parts is a
+    task's group of its own, so a large group is spread, and only likely pairs
+    leave it.
+    """
+    parts_of = groups.groupBy("band").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    rows = groups.join(parts_of, "band").join(classes.select("rep", "n", "sketch"), "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    rows = rows.select("band", "rep", "c", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "c", "n", "sketch", "own")
+
+    def compare(key, table):
+        order = np.argsort(table["own"].to_numpy(), kind="stable")
+        table = table.take(pa.array(order)).combine_chunks()
+        n, own = table["n"].to_numpy().astype(float), table["own"].to_numpy()
+        c = np.unique(np.array(table["c"].to_pylist(), object), return_inverse=True)[1]
+        m = _sketch_matrix(table["sketch"])
+        a, b = [], []
+        for x in range(len(n) - 1):
+            y = np.arange(x + 1, len(n))
+            if key[1] != key[2]:
+                y = y[own[y] != own[x]]
+            y = y[c[y] != c[x]]
+            if len(y):
+                y = y[likely(m[y], m[x][None], n[y], np.full(len(y), n[x]), similarity)]
+                a.append(np.full(len(y), x))
+                b.append(y)
+        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+        rep = table["rep"].combine_chunks()
+        return pa.table({"a": rep.take(pa.array(a)), "b": rep.take(pa.array(b))})
+
+    kind = classes.schema["rep"].dataType.simpleString()
+    found = rows.groupBy("band", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """id, full (bytes of the sorted shingle hashes) of the documents in ids; a bounded filter spares the others' texts the shuffle."""
     ids = ids.distinct()
@@ -139,11 +182,9 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             yield pd.Series(in_filter(table, h.to_numpy(np.int64).view(np.uint64)))
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                full = [s.tobytes() for s in shingle_sets(split(part["text"], SPACED_LOWER), k)]
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array(full, pa.binary())], ["id", "full"])
+        for b in parts(batches):
+            full = [s.tobytes() for s in shingle_sets(split(b["text"], SPACED_LOWER), k)]
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array(full, pa.binary())], ["id", "full"])
 
     few = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("d"), F.col("text").cast("string").alias("text")).where(F.pandas_udf(maybe, "boolean")(F.xxhash64("d")))
     return few.join(ids, F.col("d") == F.col("id")).select("id", "text").mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, full binary")
@@ -166,7 +207,7 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(F.pandas_udf(alike, "boolean")("fa", "fb")).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands: int = 4, star_rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of docs."""
     found = cut(sketches(docs, k))
     linked = found.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -175,31 +216,25 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, star_rounds:
     shared = banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     groups = cut(banded.join(shared.select("band", F.col("lo").alias("centre")), "band"))
     similarity = percent / 100
-
-    def test(candidates: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """(all pairs tested so far, the links among the new ones)."""
-        candidates = candidates.distinct()
-        if tested is not None:
-            candidates = candidates.join(tested, ["a", "b"], "left_anti")
-        candidates = cut(candidates)
-        links = cut(verified(docs, cut(estimated(candidates, classes, similarity)), k, percent))
-        return candidates if tested is None else tested.union(candidates), links
-
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    tested, links = test(groups.where("rep <> centre").select(*pair("centre", "rep")), None)
-    for turn in range(1, star_rounds + 1):
+
+    tested = cut(groups.where((F.col("nth") < first_bands) & (F.col("rep") != F.col("centre"))).select(*pair("centre", "rep")).distinct())
+    links = cut(verified(docs, cut(estimated(tested, classes, similarity)), k, percent))
+    for turn in range(star_rounds + 1):
         components = connected_components(links)
-        named = groups.drop("centre").join(components, groups["rep"] == components["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c"))
-        named = cut(named)
-        apart = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn))).alias("centre")).where("lo < hi")
-        open_groups = named.join(apart.select("band", "centre"), "band")
-        if turn < star_rounds:
-            new = open_groups.where("c <> centre.c").select(*pair("centre.rep", "rep"))
-        else:  # what is left, pair by pair across components
-            other = named.select("band", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-            new = open_groups.join(other, "band").where("rep < rep2 AND c <> c2").select(*pair("rep", "rep2"))
-        tested, more = test(new, tested)
-        links = links.union(more)
+        named = cut(groups.drop("centre").join(components, groups["rep"] == components["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c")))
+        by = F.xxhash64("rep", F.lit(turn))
+        apart = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("rep", "c"), by).alias("centre")).where("lo < hi")
+        if turn < star_rounds:  # one class of each component with the band's centre
+            one = named.join(apart.select("band", "centre"), "band").where("c <> centre.c").groupBy("band", "c").agg(F.min_by(F.struct("rep", "centre"), by).alias("p"))
+            new = one.select(*pair("p.rep", "p.centre.rep")).distinct().join(tested, ["a", "b"], "left_anti")
+            new = cut(new)
+            passed = estimated(new, classes, similarity)
+        else:  # what is left
+            new = cut(likely_across(named.join(apart.select("band"), "band"), classes, similarity).distinct().join(tested, ["a", "b"], "left_anti"))
+            passed = new
+        tested = tested.union(new)
+        links = links.union(cut(verified(docs, cut(passed), k, percent)))
     members = linked.join(classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "rep"), ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     components = connected_components(links.union(members.where("doc_id <> rep").select("rep", "doc_id")))
     return found.join(components, found["doc_id"] == components["id"], "left").select(
