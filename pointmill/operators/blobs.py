@@ -10,12 +10,8 @@ from . import grid, terrain
 from .rules import VEGETATION, is_class
 from .spatial import near
 
-SHAPE = [
-    F.count("*").alias("n"),
-    (F.max("x") - F.min("x")).alias("dx"),
-    (F.max("y") - F.min("y")).alias("dy"),
-    (F.max("z") - F.min("z")).alias("dz"),
-]
+def extents() -> list[Column]:
+    return [F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(f"d{c}") for c in "xyz"]]
 
 
 def blobs(points: DataFrame, among: Column, cell: float, prepare=None) -> DataFrame:
@@ -40,7 +36,7 @@ def car_blobs(points: DataFrame, sources=VEGETATION, band: tuple[float, float] =
         points = grid.mark(grid.with_cells(points, 0.40), tall, "tall").drop(*grid.CELL)
         chosen = chosen & ~F.col("tall")
     members = blobs(points, chosen, cell, lambda c: grid.opened(c, 2))
-    stats = members.withColumn("h", height()).groupBy("component").agg(*SHAPE, F.percentile("h", 0.5).alias("p50"), F.percentile("h", 0.9).alias("p90"), *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
+    stats = members.withColumn("h", height()).groupBy("component").agg(*extents(), F.percentile("h", 0.5).alias("p50"), F.percentile("h", 0.9).alias("p90"), *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     fits = long.between(*length) & wide.between(*width) & (wide / long).between(0.28, 0.90) & F.col("n").between(*count)
     fits = fits & F.col("p50").between(p50, 1.9) & (F.col("p90") <= p90) & F.col("dz").between(0.45, 2.7) & (F.col("n") / (long * wide) >= 10)
@@ -69,7 +65,7 @@ def restore_curbs(points: DataFrame, noise: int = NOISE, target: int = LOW_VEG,
 def demote_pedestrians(points: DataFrame, target: int = NOISE, cell: float = 0.22, band: tuple[float, float] = (0.85, 2.35), count: tuple[int, int] = (10, 2500), width: float = 0.55, length: float = 0.95, aspect: float = 2.4, span: float = 0.75) -> DataFrame:
     """Small upright blobs of building points."""
     members = blobs(points, is_class(BUILDING) & height().between(*band), cell)
-    stats = members.withColumn("h", height()).groupBy("component").agg(*SHAPE, F.avg("h").alias("mean"))
+    stats = members.withColumn("h", height()).groupBy("component").agg(*extents(), F.avg("h").alias("mean"))
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     keep = stats.where(F.col("n").between(*count) & (wide <= width) & (long <= length) & (long / F.greatest(wide, F.lit(0.04)) <= aspect) & F.col("dz").between(span, 2.5) & F.col("mean").between(*band))
     return mark_blobs(points, members, keep, target)
@@ -80,7 +76,7 @@ def peel_islands(points: DataFrame, target: int = NOISE, cell: float = 0.18, ban
     local = terrain.with_surface(points.drop("gz"), terrain.ground_surface(points, is_class(GROUND), surface_cell), surface_cell)
     chosen = is_class(GROUND) & height().between(*band)
     members = blobs(local, chosen, cell, lambda c: grid.opened(c, 3))
-    stats = members.groupBy("component").agg(*SHAPE, F.avg(height()).alias("mean"), F.max(height()).alias("top"))
+    stats = members.groupBy("component").agg(*extents(), F.avg(height()).alias("mean"), F.max(height()).alias("top"))
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     flat = (F.col("mean") < band[0] + 0.005) & (F.col("top") < band[0] + 0.025)
     keep = stats.where((F.col("n") >= least) & (long <= length) & (wide <= width) & ~flat & ~((F.col("n") > 30_000) & (long > 2.5)))
@@ -93,7 +89,7 @@ def peel_islands(points: DataFrame, target: int = NOISE, cell: float = 0.18, ban
 def vehicle_boxes(points: DataFrame, vehicle: int = VEHICLE, cell: float = 0.5, least: int = 80) -> DataFrame:
     """Boxes of car-sized blobs of vehicle points."""
     members = blobs(points, is_class(vehicle), cell)
-    stats = members.groupBy("component").agg(*SHAPE, *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
+    stats = members.groupBy("component").agg(*extents(), *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     return stats.where(long.between(1.2, 12) & wide.between(0.4, 5) & (wide / long <= 0.92) & (F.col("n") >= least)).select("xmin", "xmax", "ymin", "ymax", "zmax", "n")
 
@@ -104,7 +100,7 @@ def cluster_shapes(points: DataFrame, key: str = "cluster_id") -> DataFrame:
     h = height()
     return (
         points.groupBy(key)
-        .agg(*SHAPE, F.percentile(h, 0.5).alias("p50"), F.percentile(h, 0.9).alias("p90"), *c.values())
+        .agg(*extents(), F.percentile(h, 0.5).alias("p50"), F.percentile(h, 0.9).alias("p90"), *c.values())
         .withColumn("long", F.greatest("dx", "dy"))
         .withColumn("wide", F.least("dx", "dy"))
         .withColumn("density", F.col("n") / F.greatest(F.col("long") * F.col("wide"), F.lit(0.01)))

@@ -1,0 +1,166 @@
+"""Density clusters of points by tiles with halos, and the object rules on them.
+
+Points go to every tile whose core or halo holds them; each tile is clustered
+from voxel centroids, so its size is bounded by its area, not by its density. A
+cluster counts only in the tile whose core holds its median, so a cluster that a
+halo covers whole is found once. Tiles are independent Spark groups.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.tiles import with_halo
+from ..sources.points import CAR, GHOST, MED_VEG, PEDESTRIAN, VEHICLE, height
+from . import grid
+from .blobs import cluster_shapes, is_car, is_ghost, is_pedestrian
+from .rules import is_class
+
+
+def spanning_tree(xyz: np.ndarray, samples: int) -> np.ndarray:
+    """Rows (a, b, distance) of the minimum spanning tree under mutual reachability, by distance."""
+    n = len(xyz)
+    core = np.empty(n)
+    for lo in range(0, n, 512):
+        d = np.sqrt(((xyz[lo : lo + 512, None] - xyz[None]) ** 2).sum(2))
+        core[lo : lo + 512] = np.partition(d, min(samples, n - 1), axis=1)[:, min(samples, n - 1)]
+    reach, parent, left = np.full(n, np.inf), np.zeros(n, np.int64), np.ones(n, bool)
+    at, edges = 0, []
+    left[0] = False
+    for _ in range(n - 1):
+        d = np.maximum(np.maximum(np.sqrt(((xyz - xyz[at]) ** 2).sum(1)), core), core[at])
+        closer = left & (d < reach)
+        reach[closer], parent[closer] = d[closer], at
+        at = int(np.where(left, reach, np.inf).argmin())
+        edges.append((parent[at], at, reach[at]))
+        left[at] = False
+    edges.sort(key=lambda e: e[2])
+    return np.array(edges).reshape(-1, 3)
+
+
+def density_labels(xyz: np.ndarray, weight: np.ndarray, least: int, samples: int, epsilon: float) -> np.ndarray:
+    """Cluster numbers, -1 for noise: the most stable clusters of at least `least` points; splits below epsilon do not count."""
+    n = len(xyz)
+    if weight.sum() < least or n < 2:
+        return np.full(n, -1)
+    root = list(range(2 * n - 1))
+
+    def find(a: int) -> int:
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    size, kids, height_of = [*weight.tolist(), *[0] * (n - 1)], {}, {}
+    for k, (a, b, d) in enumerate(spanning_tree(xyz, samples)):
+        new, x, y = n + k, find(int(a)), find(int(b))
+        root[x] = root[y] = new
+        size[new], kids[new], height_of[new] = size[x] + size[y], (x, y), max(float(d), 1e-9)
+    # from the top: a split of two large enough parts makes two clusters, else the cluster goes on
+    top = 2 * n - 2
+    born, members, children, gain = {top: 0.0}, {top: []}, {top: []}, {top: 0.0}
+    walk = [(top, top, True)]
+    order = [top]
+    while walk:
+        node, cluster, live = walk.pop()
+        if node not in kids:
+            members[cluster].append(node)
+            continue
+        level = 1.0 / height_of[node]
+        big = [x for x in kids[node] if live and size[x] >= least]
+        if len(big) == 2 and height_of[node] >= epsilon:
+            gain[cluster] += size[node] * (level - born[cluster])
+            for x in big:
+                born[x], members[x], children[x], gain[x] = level, [], [], 0.0
+                children[cluster].append(x)
+                order.append(x)
+                walk.append((x, x, True))
+            continue
+        for x in kids[node]:
+            stays = x in big
+            if live and not stays:  # its points leave here, but keep the cluster's label
+                gain[cluster] += size[x] * (level - born[cluster])
+            walk.append((x, cluster, stays))
+    chosen, total = {}, {}
+    for c in reversed(order):
+        below = sum(total[x] for x in children[c])
+        chosen[c] = c != top and (not children[c] or gain[c] >= below)
+        total[c] = max(gain[c], below) if children[c] else gain[c]
+    labels, stack, number = np.full(n, -1), [top], 0
+    while stack:
+        c = stack.pop()
+        if chosen[c] or (c == top and not children[c]):
+            own = [c]
+            while own:
+                x = own.pop()
+                labels[members[x]] = number
+                own.extend(children[x])
+            number += 1
+        else:
+            stack.extend(children[c])
+    return labels
+
+
+def density_clusters(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.4, voxel: float = 0.08, tile: float = 30.0, overlap: float = 7.0) -> DataFrame:
+    """points with cluster_id (null for noise): clusters of voxel centroids by tile."""
+    keys = ["vx", "vy", "vz"]
+    boxed = grid.with_voxels(points, voxel)
+    centroids = boxed.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in "xyz"], F.count("*").alias("n"))
+
+    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
+        labels = density_labels(pdf[["x", "y", "z"]].to_numpy(), pdf["n"].to_numpy(), least, samples, epsilon)
+        pdf = pdf.assign(label=labels)[labels >= 0]
+        if not len(pdf):
+            return pd.DataFrame({k: pd.Series([], dtype="int64") for k in (*keys, "cluster_id")})
+        size = pdf[["tx", "ty"]].iloc[0]
+        middle = pdf.groupby("label")[["x", "y"]].median()
+        inside = ((middle["x"] - pdf["x0"].iloc[0]) // tile == size["tx"]) & ((middle["y"] - pdf["y0"].iloc[0]) // tile == size["ty"])
+        pdf = pdf[pdf["label"].map(inside)]
+        return pdf.assign(cluster_id=((pdf["tx"] * 1_000_003 + pdf["ty"]) * 100_003 + pdf["label"]).astype("int64"))[[*keys, "cluster_id"]]
+
+    corner = centroids.agg(F.min("x").alias("x0"), F.min("y").alias("y0"))
+    tiles = with_halo(centroids, tile, overlap).join(F.broadcast(corner))
+    found = tiles.groupBy("tx", "ty").applyInPandas(cluster, "vx long, vy long, vz long, cluster_id long")
+    found = found.groupBy(*keys).agg(F.min("cluster_id").alias("cluster_id"))
+    return boxed.join(found, keys, "left").drop(*keys)
+
+
+def object_classes(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, **options) -> DataFrame:
+    """Clusters of medium vegetation that look like a car, else a ghost, else a person."""
+    chosen = points.where(is_class(MED_VEG))
+    clustered = density_clusters(chosen, **options).where("cluster_id IS NOT NULL")
+    kind = F.when(is_car(), car).when(is_ghost(), ghost).when(is_pedestrian(), person)
+    kinds = cluster_shapes(clustered).select("cluster_id", kind.alias("kind")).where("kind IS NOT NULL")
+    new = clustered.join(kinds, "cluster_id").select("point_id", "kind")
+    return points.join(new, "point_id", "left").withColumn("cls", F.coalesce("kind", "cls").cast("int")).drop("kind")
+
+
+def extract_cars(points: DataFrame, sources, target: int = VEHICLE, min_h: float = 0.10, max_h: float | None = None, strict: bool = False, least: int = 25, samples: int = 6, epsilon: float = 0.45, **options) -> DataFrame:
+    """Clusters of source points in a height band that look like cars."""
+    h = height()
+    band = is_class(*sources) & (h > min_h) if max_h is None else is_class(*sources) & (h > min_h) & (h <= max_h)
+    clustered = density_clusters(points.where(band), least, samples, epsilon, **options).where("cluster_id IS NOT NULL")
+    cars = cluster_shapes(clustered).where(is_car(strict)).select("cluster_id")
+    hit = clustered.join(cars, "cluster_id", "left_semi").select("point_id").withColumn("hit", F.lit(True))
+    return points.join(hit, "point_id", "left").withColumn("cls", F.when(F.col("hit"), target).otherwise(F.col("cls")).cast("int")).drop("hit")
+
+
+def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius: float = 1.0) -> DataFrame:
+    """point_id of points whose mean distance to their nearest neighbours is over the mean plus ratio deviations.
+
+    Neighbours are sought within `radius`; a point with fewer counts the radius
+    for each that is missing. A voxel's pairs are bounded by its density.
+    """
+    p = points.select("point_id", "x", "y", "z", *[F.floor(F.col(c) / radius).alias(f"b{c}") for c in "xyz"])
+    around = F.explode(F.array(*[F.struct((F.col("bx") + i).alias("bx"), (F.col("by") + j).alias("by"), (F.col("bz") + k).alias("bz")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]))
+    t = p.select(F.col("point_id").alias("t"), F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"), around.alias("b")).select("t", "tx", "ty", "tz", "b.*")
+    d = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2 + (F.col("z") - F.col("tz")) ** 2)
+    near = p.join(t, ["bx", "by", "bz"]).where("point_id <> t").withColumn("d", d).where(F.col("d") < radius)
+    best = near.groupBy("point_id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, neighbours).alias("ds"))
+    mean = (F.aggregate("ds", F.lit(0.0), lambda a, x: a + x) + (neighbours - F.size("ds")) * radius) / neighbours
+    each = points.select("point_id").join(best.select("point_id", mean.alias("m")), "point_id", "left").select("point_id", F.coalesce("m", F.lit(radius)).alias("m"))
+    limit = each.agg((F.avg("m") + ratio * F.stddev_pop("m")).alias("limit"))
+    return each.join(F.broadcast(limit)).where("m > limit").select("point_id")
