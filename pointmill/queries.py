@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import blobs, grid, refine, rules, spatial, terrain
-from .plans import evaluate, tasks, tiles
+from .functions.storage import cut
+from .operators import blobs, clusters, grid, refine, rules, spatial, terrain
+from .plans import classify, evaluate, tasks, tiles
 from .sources.points import BUILDING, GROUND, NOISE, VEHICLE, height, scene, scene_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -322,3 +323,19 @@ over_queue("claim_fifo", f"{_CLAIM} ORDER BY sub.task_id, id LIMIT 5", lambda t,
 over_queue("stale_lease", "SELECT id, task_id, worker_id FROM sub JOIN wk USING (worker_id) WHERE status = 'processing' AND (last_heartbeat < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE OR started_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE AND current_subtask_id IS DISTINCT FROM id)", lambda t, s, w: tasks.stale(s, w, F.lit("2024-01-30 12:00:00").cast("timestamp")))
 over_queue("heartbeats", "SELECT * FROM wk", lambda t, s, w: w)
 over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pending' THEN 'cancelled' ELSE status END AS status FROM sub", lambda t, s, w: tasks.cancelled(s, 3).select("id", "status"))
+
+# beyond SQL: density clusters, the forest, the stages; tests hold them against small fixtures
+
+over_scene("object_clusters", None, lambda p: clusters.object_classes(p, voxel=0.2, tile=5.0, overlap=2.0).groupBy("cls").agg(F.count("*").alias("n")))
+over_scene("density_cars", None, lambda p: clusters.extract_cars(p, (3, 4, 5, 9), 66, 0.08, 2.5, voxel=0.2, tile=10.0, overlap=5.0).groupBy("cls").agg(F.count("*").alias("n")))
+over_scene("outliers", None, lambda p: clusters.outliers(p, 10, 2.2, 0.5))
+over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).groupBy("cls").agg(F.count("*").alias("n")))
+
+
+@register("forest_refine")
+def forest_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest learnt from a balanced part of the scene and applied to all of it."""
+    table = cut(refine.features(scene(spark, sf_dir)).withColumn("gt", F.when(F.col("gt") == 8, 7).otherwise(F.col("gt"))))
+    model = refine.train(cut(refine.balanced(table, 1000)), trees=10, depth=6)
+    refined = refine.score(table, model).withColumn("cls", refine.override().cast("int"))
+    return evaluate.confusion(refined)
