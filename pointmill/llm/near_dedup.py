@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .spark_tools import bit_filter, cut, in_filter
+from .spark_tools import batches_of, bit_filter, cut, in_filter
 from .words import SPACED_LOWER, Words, mix, parts, split
 
 REGISTERS, MANTISSA, BAND = 256, 10, 5
@@ -113,10 +113,10 @@ def bands(classes: DataFrame) -> DataFrame:
 
 
 def likely(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, similarity: float) -> np.ndarray:
-    """Row by row: whether the sizes allow the similarity and the collision-corrected estimate is at most five deviations below it."""
+    """Row by row: whether the sizes allow the similarity and the collision-corrected estimate is at most four deviations below it."""
     j = ((x == y).mean(1) - ACCIDENT) / (1 - ACCIDENT)
     small, large = np.minimum(nx, ny), np.maximum(nx, ny)
-    return (small >= similarity * large - 1e-6) & (j >= similarity - 5 * np.sqrt(similarity * (1 - similarity) / np.minimum(small, REGISTERS)))
+    return (small >= similarity * large - 1e-6) & (j >= similarity - 4 * np.sqrt(similarity * (1 - similarity) / np.minimum(small, REGISTERS)))
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
@@ -191,7 +191,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 
 def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
+    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets, written."""
     sets = cut(full_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), k))
     left, right = sets.select(F.col("id").alias("a"), F.col("full").alias("fa")), sets.select(F.col("id").alias("b"), F.col("full").alias("fb"))
 
@@ -204,10 +204,11 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
                 out.append(bool(both) and 100 * both >= percent * (len(x) + len(y) - both))
             yield pd.Series(out, dtype=bool)
 
-    return pairs.join(left, "a").join(right, "b").where(F.pandas_udf(alike, "boolean")("fa", "fb")).select("a", "b").distinct()
+    with batches_of(docs.sparkSession, 500):
+        return cut(pairs.join(left, "a").join(right, "b").where(F.pandas_udf(alike, "boolean")("fa", "fb")).select("a", "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands: int = 4, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands: int = 4, star_rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of docs."""
     found = cut(sketches(docs, k))
     linked = found.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -219,7 +220,7 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands:
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
     tested = cut(groups.where((F.col("nth") < first_bands) & (F.col("rep") != F.col("centre"))).select(*pair("centre", "rep")).distinct())
-    links = cut(verified(docs, cut(estimated(tested, classes, similarity)), k, percent))
+    links = verified(docs, cut(estimated(tested, classes, similarity)), k, percent)
     for turn in range(star_rounds + 1):
         components = connected_components(links)
         named = cut(groups.drop("centre").join(components, groups["rep"] == components["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c")))
@@ -234,7 +235,7 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands:
             new = cut(likely_across(named.join(apart.select("band"), "band"), classes, similarity).distinct().join(tested, ["a", "b"], "left_anti"))
             passed = new
         tested = tested.union(new)
-        links = links.union(cut(verified(docs, cut(passed), k, percent)))
+        links = links.union(verified(docs, cut(passed), k, percent))
     members = linked.join(classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "rep"), ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     components = connected_components(links.union(members.where("doc_id <> rep").select("rep", "doc_id")))
     return found.join(components, found["doc_id"] == components["id"], "left").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,18 @@ from pyspark.sql import functions as F
 from ..functions.storage import cut, shared_dir  # noqa: F401  used by the operators
 
 
+@contextmanager
+def batches_of(spark, rows: int):
+    """Arrow batches of so many rows for the actions inside: for columns of large values."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_key() -> Column:
     """Tells rows of one doc_id apart; 0 for null texts."""
     return F.coalesce(F.xxhash64("text"), F.lit(0))
