@@ -16,15 +16,13 @@ columns are ignored.
 """
 
 import io
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM, mix, split, utf8
+from .words import ALNUM, mix, parts, split, utf8
 
 ORDERS, LOG2_BUCKETS, DIM, PASSAGE = (3, 4, 5, 6), 17, 4, 24
 TAU = 0.5
@@ -51,7 +49,7 @@ def _bags(w, at) -> tuple[np.ndarray, np.ndarray]:
     marked[inner] = np.frombuffer(w.rule.shown, np.uint8)[w.raw[take]]
     marked = marked.astype(np.uint64)
     left = np.repeat(ends, lengths) - np.arange(len(marked))
-    owner = np.repeat(np.arange(len(at)), lengths)
+    owner = np.repeat(np.arange(len(at), dtype=np.int32), lengths)
     buckets, owners = [], []
     for n in ORDERS:
         ok = left >= n
@@ -61,10 +59,10 @@ def _bags(w, at) -> tuple[np.ndarray, np.ndarray]:
         for j in range(1, n):
             h = h * np.uint64(0x9E3779B97F4A7C15) + marked[j : len(marked) - n + 1 + j]
         ok = ok[: len(h)]
-        buckets.append((mix(h[ok] + np.uint64(n)) >> np.uint64(64 - LOG2_BUCKETS)).astype(np.int64))
+        buckets.append((mix(h[ok] + np.uint64(n)) >> np.uint64(64 - LOG2_BUCKETS)).astype(np.int32))
         owners.append(owner[: len(h)][ok])
     if not buckets:
-        return np.zeros(0, np.int64), np.zeros(len(at) + 1, np.int64)
+        return np.zeros(0, np.int32), np.zeros(len(at) + 1, np.int64)
     owners, buckets = np.concatenate(owners), np.concatenate(buckets)
     order = np.argsort(owners, kind="stable")
     return buckets[order], np.searchsorted(owners[order], np.arange(len(at) + 1))
@@ -137,7 +135,7 @@ def pool(z: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.where(some, np.where(some, top, 0) + TAU * np.log(np.maximum(total, 1e-300)), NOTHING)
 
 
-def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.08, seed: int = 7, decay: float = 1e-5) -> Model:
+def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.15, seed: int = 7, decay: float = 1e-5) -> Model:
     """Fit embeddings and softmax together; full-batch Adam on the mean log loss."""
     n_buckets = 1 << LOG2_BUCKETS
     y = labels.astype(np.float64)
@@ -147,18 +145,23 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
     w = split(texts, ALNUM)
     number, at = _distinct_words(w)
     buckets, bounds = _bags(w, at)  # a word has one 3-gram at least, so no range is empty
-    used, slot = np.unique(buckets, return_inverse=True)
+    used = np.flatnonzero(np.bincount(buckets, minlength=n_buckets))
+    dense = np.zeros(n_buckets, np.int32)
+    dense[used] = np.arange(len(used))
+    slot = dense[buckets]
     sizes = np.diff(bounds).astype(np.float32)
-    word_of = np.repeat(np.arange(len(at)), np.diff(bounds))
     by_slot = np.argsort(slot, kind="stable")
-    slot_bounds = np.searchsorted(slot[by_slot], np.arange(len(used)))
-    slot_words = word_of[by_slot]
+    slot_bounds = np.cumsum(np.bincount(slot, minlength=len(used)))
+    slot_bounds = np.append(0, slot_bounds[:-1])
+    slot_words = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(bounds))[by_slot]
+    del by_slot, buckets
     first, row = _passages(w, PASSAGE)
     length = np.diff(first).astype(np.float32)
-    of_word = np.repeat(np.arange(len(row)), np.diff(first))
+    number = number.astype(np.int32)
     by_word = np.argsort(number, kind="stable")
-    word_bounds = np.searchsorted(number[by_word], np.arange(len(at)))
-    word_passages = of_word[by_word]
+    word_bounds = np.append(0, np.cumsum(np.bincount(number, minlength=len(at)))[:-1])
+    word_passages = np.repeat(np.arange(len(row), dtype=np.int32), np.diff(first))[by_word]
+    del by_word, w
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (DIM, len(used))).astype(np.float32)
     soft = rng.normal(0, 0.5, (2, DIM)).astype(np.float32)
@@ -190,31 +193,41 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
     return Model(logit, float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, target: str = "toxic", max_docs: int = 4000) -> Model:
-    """Fit on at most max_docs labelled rows: by hash, up to half of them of label 1. Ids of the sample go through a bounded filter, so texts of other rows are not shuffled."""
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, target: str = "toxic", max_docs: int = 4500) -> Model:
+    """Fit on at most max_docs labelled rows: by hash, up to a third of them of label 1.
+
+    The sample's ids are bounded, so they are broadcast and other texts are not
+    shuffled; one task trains on the sample's texts and returns the model.
+    """
     known = labels.select(F.col("doc_id").alias("id"), F.col(target).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
     if held_out is not None:
         known = known.where(~held_out)
     by = F.xxhash64(F.col("id").cast("string"))
-    sample = [r for y in (1, 0) for r in known.where(F.col("y") == y).distinct().orderBy(by, "id").limit(max_docs // 2).collect()]
+    sample = [r for y, n in ((1, max_docs // 3), (0, max_docs - max_docs // 3)) for r in known.where(F.col("y") == y).distinct().orderBy(by, "id").limit(n).collect()]
     label = {r.id: r.y for r in sample}
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(int(i),) for i in label] or [], "id bigint")
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r.doc_id)
-    return train(pa.array([r.text for r in rows], pa.string()), np.array([label[r.doc_id] for r in rows]))
+    chosen = docs.sparkSession.createDataFrame(list(label.items()), "id bigint, y int")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).dropDuplicates(["doc_id"]).select("id", "y", "text")
+
+    def learn(batches):
+        table = pa.Table.from_batches(list(batches), pa.schema([("id", pa.int64()), ("y", pa.int32()), ("text", pa.string())])).sort_by("id").combine_chunks()
+        texts = table["text"].combine_chunks()
+        model = train(texts, table["y"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], ["model"])
+
+    learnt = rows.repartition(1).mapInArrow(learn, "model binary").first() if label else None
+    return Model.loads(learnt.model) if learnt else train(pa.array([], pa.string()), np.zeros(0))
 
 
-def scorer(spark, model: Model):
-    """A column function text -> score; the model is of a fixed size."""
-    shared = spark.sparkContext.broadcast(model.dumps())
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score per row of docs; the model is of a fixed size."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.dumps())
 
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches):
         own = Model.loads(shared.value)
-        for s in texts:
-            yield pd.Series(own.score(pa.Array.from_pandas(s, type=pa.string())))
+        for b in parts(batches):
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(own.score(b["text"]))], ["doc_id", "score"])
 
-    return F.pandas_udf(run, "double")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def held_out(column: str, kinds: int, which: int) -> Column:
@@ -224,10 +237,17 @@ def held_out(column: str, kinds: int, which: int) -> Column:
 
 def op8_toxicity(spark, sf_dir) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    score = scorer(spark, fit(docs, labels, held_out("id", 4, 2)))
-    return docs.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), score(F.col("text").cast("string")).alias("score")).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+    scored = scores(docs, fit(docs, labels, held_out("id", 4, 2)))
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of docs scored below the threshold, with all their columns."""
-    return docs.where(scorer(docs.sparkSession, model)(F.col("text").cast("string")) < threshold)
+    shared = docs.sparkSession.sparkContext.broadcast(model.dumps())
+
+    def run(batches):
+        own = Model.loads(shared.value)
+        for b in parts(batches):
+            yield b.filter(pa.array(own.score(b["text"].cast(pa.string())) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
