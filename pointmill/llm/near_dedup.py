@@ -8,8 +8,8 @@ the first full one in an order of its own. Registers are banded, five to a band;
 classes that share a band are candidates. In a few bands each class is compared
 with one centre and verified links are joined into components; then, in all
 bands that still span several components, one class of each component with a
-centre; and what then remains across components is compared pair by pair, large
-bands in blocks of pairs of parts. A pair passes if its size ratio allows it, the
+centre; and what then remains across components is compared pair by pair inside
+tasks, large bands in pairs of parts, each pair in the first band it shares. A pair passes if its size ratio allows it, the
 collision-corrected Jaccard estimate is not far below the threshold, and the
 full sets agree.
 
@@ -133,61 +133,81 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
     return sized.where(F.pandas_udf(agree, "boolean")("sa", "sb", "na", "nb")).select("a", "b")
 
 
-def likely_across(groups: DataFrame, classes: DataFrame, similarity: float, part: int = 512) -> DataFrame:
-    """Likely pairs (a, b), a < b, of different components in the groups (band, rep, c).
+def _likely_pairs(table: pa.Table, part_i: int, part_j: int, similarity: float):
+    """For each row x of a group, the later rows y of another component that it is likely to resemble and shares this band with first; across parts if they differ."""
+    n, own = table["n"].to_numpy().astype(float), table["own"].to_numpy()
+    c = np.unique(np.array(table["c"].to_pylist(), object), return_inverse=True)[1]
+    m = _sketch_matrix(table["sketch"])
+    banded = m[:, : BANDS * BAND].reshape(len(m), BANDS, BAND)
+    nth = table["nth"][0].as_py() if len(m) else 0
+    for x in range(len(m) - 1):
+        y = np.arange(x + 1, len(m))
+        y = y[(c[y] != c[x]) & ((own[y] != own[x]) | (part_i == part_j))]
+        if len(y):
+            y = y[likely(m[y], m[x][None], n[y], np.full(len(y), n[x]), similarity)]
+        if len(y):
+            y = y[(banded[y] == banded[x]).all(2).argmax(1) == nth]
+        if len(y):
+            yield x, y
+
+
+def links_across(docs: DataFrame, groups: DataFrame, classes: DataFrame, k: int, percent: int, part: int = 512) -> DataFrame:
+    """Verified links (a, b) between different components in the groups (band, nth, rep, c), written.
 
     A group is split into parts of about `part` classes; each pair of parts is a
-    task's group of its own, so a large group is spread, and only likely pairs
-    leave it.
+    group of its own, so a large band is spread. First the classes with some
+    likely partner are named; then their full sets meet in the same groups, and
+    only verified links leave them.
     """
+    similarity = percent / 100
     parts_of = groups.groupBy("band").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
     rows = groups.join(parts_of, "band").join(classes.select("rep", "n", "sketch"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    rows = rows.select("band", "rep", "c", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "c", "n", "sketch", "own")
-
-    def compare(key, table):
-        order = np.argsort(table["own"].to_numpy(), kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
-        n, own = table["n"].to_numpy().astype(float), table["own"].to_numpy()
-        c = np.unique(np.array(table["c"].to_pylist(), object), return_inverse=True)[1]
-        m = _sketch_matrix(table["sketch"])
+    rows = rows.select("band", "nth", "rep", "c", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = cut(rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "nth", "rep", "c", "n", "sketch", "own"))
+    kind = classes.schema["rep"].dataType.simpleString()
+
+    def hopeful(key, table):
+        some = np.zeros(table.num_rows, bool)
+        for x, y in _likely_pairs(table, key[1].as_py(), key[2].as_py(), similarity):
+            some[x] = some[y] = True
+        return table.select(["band", "i", "j", "rep"]).filter(pa.array(some))
+
+    def verify(key, table):
+        full = [np.frombuffer(v, np.uint64) for v in table["full"].to_pylist()]
         a, b = [], []
-        for x in range(len(n) - 1):
-            y = np.arange(x + 1, len(n))
-            if key[1] != key[2]:
-                y = y[own[y] != own[x]]
-            y = y[c[y] != c[x]]
-            if len(y):
-                y = y[likely(m[y], m[x][None], n[y], np.full(len(y), n[x]), similarity)]
-                a.append(np.full(len(y), x))
-                b.append(y)
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+        for x, ys in _likely_pairs(table, key[1].as_py(), key[2].as_py(), similarity):
+            for y in ys.tolist():
+                both = len(np.intersect1d(full[x], full[y], assume_unique=True))
+                if both and 100 * both >= percent * (len(full[x]) + len(full[y]) - both):
+                    a.append(x)
+                    b.append(y)
         rep = table["rep"].combine_chunks()
-        return pa.table({"a": rep.take(pa.array(a)), "b": rep.take(pa.array(b))})
+        return pa.table({"a": rep.take(pa.array(a, pa.int64())), "b": rep.take(pa.array(b, pa.int64()))})
 
-    kind = classes.schema["rep"].dataType.simpleString()
-    found = rows.groupBy("band", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    keys = ["band", "i", "j"]
+    named = cut(rows.groupBy(*keys).applyInArrow(hopeful, f"band bigint, i int, j int, rep {kind}"))
+    sets = cut(full_sets(docs, named.select(F.col("rep").alias("id")), k))
+    wanted = named.join(rows, [*keys, "rep"]).join(sets, F.col("rep") == F.col("id")).drop("id")
+    found = wanted.groupBy(*keys).applyInArrow(verify, f"a {kind}, b {kind}")
+    return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """id, full (bytes of the sorted shingle hashes) of the documents in ids; a bounded filter spares the others' texts the shuffle."""
+    """id, full (bytes of the sorted shingle hashes) of the documents in ids; a bounded filter spares the others' sets the work and the shuffle."""
     ids = ids.distinct()
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("h")), 24))
 
-    def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = np.frombuffer(bits.value, np.uint8)
-        for h in batches:
-            yield pd.Series(in_filter(table, h.to_numpy(np.int64).view(np.uint64)))
-
     def run(batches):
-        for b in parts(batches):
-            full = [s.tobytes() for s in shingle_sets(split(b["text"], SPACED_LOWER), k)]
-            yield pa.RecordBatch.from_arrays([b["id"], pa.array(full, pa.binary())], ["id", "full"])
+        table = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            b = b.filter(pa.array(in_filter(table, b["h"].to_numpy().view(np.uint64))))
+            for p in parts([b]):
+                full = [s.tobytes() for s in shingle_sets(split(p["text"], SPACED_LOWER), k)]
+                yield pa.RecordBatch.from_arrays([p["id"], pa.array(full, pa.binary())], ["id", "full"])
 
-    few = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("d"), F.col("text").cast("string").alias("text")).where(F.pandas_udf(maybe, "boolean")(F.xxhash64("d")))
-    return few.join(ids, F.col("d") == F.col("id")).select("id", "text").mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, full binary")
+    slim = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, f"id {ids.schema['id'].dataType.simpleString()}, full binary").join(ids, "id", "left_semi")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -223,19 +243,17 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, first_bands:
     links = verified(docs, cut(estimated(tested, classes, similarity)), k, percent)
     for turn in range(star_rounds + 1):
         components = connected_components(links)
-        named = cut(groups.drop("centre").join(components, groups["rep"] == components["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c")))
+        named = cut(groups.drop("centre").join(components, groups["rep"] == components["id"], "left").select("band", "nth", "rep", F.coalesce("component", "rep").alias("c")))
         by = F.xxhash64("rep", F.lit(turn))
         apart = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("rep", "c"), by).alias("centre")).where("lo < hi")
         if turn < star_rounds:  # one class of each component with the band's centre
             one = named.join(apart.select("band", "centre"), "band").where("c <> centre.c").groupBy("band", "c").agg(F.min_by(F.struct("rep", "centre"), by).alias("p"))
             new = one.select(*pair("p.rep", "p.centre.rep")).distinct().join(tested, ["a", "b"], "left_anti")
             new = cut(new)
-            passed = estimated(new, classes, similarity)
+            tested = tested.union(new)
+            links = links.union(verified(docs, cut(estimated(new, classes, similarity)), k, percent))
         else:  # what is left
-            new = cut(likely_across(named.join(apart.select("band"), "band"), classes, similarity).distinct().join(tested, ["a", "b"], "left_anti"))
-            passed = new
-        tested = tested.union(new)
-        links = links.union(verified(docs, cut(passed), k, percent))
+            links = links.union(links_across(docs, named.join(apart.select("band"), "band"), classes, k, percent))
     members = linked.join(classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "rep"), ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     components = connected_components(links.union(members.where("doc_id <> rep").select("rep", "doc_id")))
     return found.join(components, found["doc_id"] == components["id"], "left").select(

@@ -237,19 +237,19 @@ def brute_substrings(rows, window):
     return Counter(out)
 
 
-def test_pairs_in_parts_are_all_pairs(spark):
-    """Many classes in one band, split into parts: no pair across components is lost or kept inside one."""
-    r = np.random.default_rng(9)
-    base = r.integers(0, 2**64, 300, dtype=np.uint64)
-    rows = [(i, 300, near_dedup.registers(np.unique(np.append(base[: 300 - i % 40], r.integers(0, 2**64, i % 40, dtype=np.uint64)))).tobytes()) for i in range(60)]
-    classes = spark.createDataFrame(rows, "rep long, n long, sketch binary")
-    groups = spark.createDataFrame([(1, i, i % 7) for i in range(60)], "band long, rep long, c long")
-    sketch = [np.frombuffer(x[2], np.uint16) for x in rows]
-    n = np.array([300.0])
-    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7 and near_dedup.likely(sketch[a][None], sketch[b][None], n, n, 0.8)[0]}
+def test_links_in_parts_are_all_links(spark):
+    """Many classes in shared bands, split into parts: no link across components is lost or kept inside one."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(f"v{r.randrange(10**6)}" if r.random() < 0.04 else x for x in base)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = near_dedup.sketches(docs).selectExpr("doc_id AS rep", "n_shingles AS n", "sketch")
+    groups = near_dedup.bands(classes).selectExpr("band", "nth", "rep", "rep % 7 AS c")
+    sets = {i: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in rows}
+    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert 50 < len(want) < 1500
     for part in (512, 9):
-        got = near_dedup.likely_across(groups, classes, 0.8, part).collect()
-        assert len(got) == len(want) and {tuple(x) for x in got} == want
+        assert Counter(tuple(x) for x in near_dedup.links_across(docs, groups, classes, 2, 80, part).collect()) == Counter(want)
 
 
 @pytest.mark.parametrize(("window", "block"), [(13, 1000), (13, 3), (7, 2)])
