@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM, mix, parts, split, utf8
+from .words import ALNUM, mix, parts, release, split, utf8
 
 ORDERS, LOG2_BUCKETS, DIM, PASSAGE = (3, 4, 5, 6), 17, 4, 24
 TAU = 0.5
@@ -212,6 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, targ
         table = pa.Table.from_batches(list(batches), pa.schema([("id", pa.int64()), ("y", pa.int32()), ("text", pa.string())])).sort_by("id").combine_chunks()
         texts = table["text"].combine_chunks()
         model = train(texts, table["y"].to_numpy())
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], ["model"])
 
     learnt = rows.repartition(1).mapInArrow(learn, "model binary").first() if label else None

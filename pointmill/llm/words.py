@@ -9,6 +9,7 @@ Null texts have no words.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -169,6 +170,14 @@ def split(column: pa.Array, rule: WordRule) -> Words:
     )
 
 
+def release() -> None:
+    """Give freed memory back to the system where its C library can; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def parts(batches, column: str = "text", size: int = 1 << 22):
     """The batches in slices of about so many text bytes, so that what is derived from one slice stays small."""
     for b in batches:
@@ -178,3 +187,4 @@ def parts(batches, column: str = "text", size: int = 1 << 22):
             hi = min(max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size))), b.num_rows)
             yield b.slice(lo, hi - lo)
             lo = hi
+            release()
