@@ -8,7 +8,7 @@ value, the share of the term's documents that hold the value with it,
 P(value | term), against the value's own share, P(value). Terms seen with a
 value in `min_docs` documents or more, with P(value | term) of at least
 `disclosure` and log2(P(value | term) / P(value)) of at least `bits`, become
-spans too. `sanitise` generalises base spans to their kind and removes terms.
+spans too, wherever in the corpus they occur. `sanitise` generalises base spans to their kind and removes terms.
 
 Null and empty texts have no spans. Rows alike in id and text share their spans;
 each input row gives one output row, null ids included; empty tables give empty
@@ -36,6 +36,8 @@ PATTERNS = (
 )
 HINTS = ("@", ".", None, "+")
 TERM = r"\p{L}{4,}"
+#: A term, or a whole address, whose words are not terms.
+WORD = rf"{PATTERNS[0]}|{TERM}"
 KEYS = ("doc_id", "__key")
 
 
@@ -106,8 +108,40 @@ def _words(context: Column, origin: Column, clipped_left: Column, clipped_right:
     return F.coalesce(inside, F.array().cast("array<struct<term:string,start:int,end:int>>"))
 
 
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    words = F.filter(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: ~F.contains(w, F.lit("@")))
+    return F.array_distinct(F.transform(words, F.lower))
+
+
+def _if_few(rows: DataFrame, max_broadcast: int) -> DataFrame:
+    return F.broadcast(rows) if rows.limit(max_broadcast + 1).count() <= max_broadcast else rows.hint("merge")
+
+
+def _holding(docs: DataFrame, keys: DataFrame, max_broadcast: int) -> DataFrame:
+    """doc_id, __key and text of the documents whose keys are given."""
+    slim = docs.select("doc_id", text_key().alias("__key"), F.col("text").cast("string").alias("text")).alias("d")
+    return slim.join(_if_few(keys, max_broadcast).alias("k"), F.expr("d.doc_id <=> k.doc_id AND d.__key = k.__key"), "left_semi")
+
+
+def occurrences(docs: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFrame:
+    """doc_id, __key, start, end of every place of the terms in all documents; only documents that hold one are cut into words."""
+    terms = _if_few(terms, max_broadcast)
+    said = docs.select("doc_id", text_key().alias("__key"), F.explode(_terms(F.col("text").cast("string"))).alias("term"))
+    having = cut(said.join(terms, "term", "left_semi").select(*KEYS).distinct())
+    # rows alike in id and text are one
+    texts = _holding(docs, having, max_broadcast).dropDuplicates(KEYS)
+    pieces = texts.select(*KEYS, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("m"), F.split("text", WORD, -1).alias("p"))
+    each = F.transform(F.sequence(F.lit(0), F.size("m") - 1), lambda i: F.struct(i.alias("i"), F.get("m", i).alias("word"), F.length(F.get("p", i)).alias("before")))
+    rows = pieces.select(*KEYS, F.explode(each).alias("e")).select(*KEYS, "e.*")
+    w = Window.partitionBy(*KEYS).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("before") + F.length("word")).over(w).cast("int")
+    placed = rows.select(*KEYS, F.lower("word").alias("term"), (end - F.length("word")).alias("start"), end.alias("end"))
+    return placed.join(terms, "term", "left_semi").select(*KEYS, "start", "end")
+
+
 def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclosure: float = 0.5, bits: float = 4.0, radius: int = 64, max_broadcast: int = 200_000) -> DataFrame:
-    """doc_id, __key, start, end of the terms that reveal a value found near them.
+    """doc_id, __key, start, end of every occurrence, in all documents, of the terms that reveal a value.
 
     Up to max_broadcast terms to be counted are broadcast, so only their
     occurrences are shuffled; more of them are joined by a shuffle of all counts.
@@ -121,7 +155,7 @@ def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclo
     with_value = found.select(value.alias("value"), *KEYS).distinct().groupBy("value").agg(F.count("*").alias("n_value"))
     # every such term's documents, over the whole corpus
     wanted = together.select("term").distinct()
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term"))
+    terms = docs.select(F.explode(_terms(F.col("text").cast("string"))).alias("term"))
     n_docs = docs.agg(F.count("*").alias("n_docs"))
     if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
         with_term = terms.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
@@ -133,9 +167,10 @@ def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclo
         .join(with_value, "value")
         .join(F.broadcast(n_docs))  # one row
         .where((given >= disclosure) & (F.log2(given * F.col("n_docs") / F.col("n_value")) >= bits))
-        .select("value", "term")
+        .select("term")
+        .distinct()
     )
-    return near.join(telling, ["value", "term"], "left_semi").select(*KEYS, "start", "end").distinct()
+    return occurrences(docs, cut(telling), max_broadcast)
 
 
 def find_spans(docs: DataFrame, **thresholds) -> DataFrame:

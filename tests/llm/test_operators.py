@@ -456,6 +456,21 @@ def test_terms_that_reveal_a_value(spark):
     assert "zanzibar" not in pii.sanitise(docs).where("doc_id = 0").first().text
 
 
+def test_every_occurrence_of_a_revealing_term_goes(spark):
+    filler = "of no use at all " * 10
+    rows = [(i, f"Zanzibar kline@example.com {filler} ZANZIBAR, {filler} zanzibar") for i in range(3)]
+    rows += [(3, f"{filler} 😀 Zanzibar alone"), (4, "zanzibar"), (4, "zanzibar"), (None, "x zanzibars Zanzibar@elsewhere.org")]
+    rows += [(10 + i, f"contact someone today about {'abcdefghij'[i % 10]}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (200_000, 0):
+        got = {r.doc_id: [tuple(s) for s in r.spans if s.kind == 4] for r in pii.find_spans(docs, max_broadcast=most).collect()}
+        for i, t in rows[:5]:
+            assert got[i] == [(m.start(), 4, m.end()) for m in re.finditer("zanzibar", t, re.I)], i
+        assert got[None] == [] and all(i in (None, *range(5)) for i in got)
+    clean = pii.sanitise(docs)
+    assert not any("zanzibar" in r.text.lower() for r in clean.where("doc_id < 5").collect())
+
+
 # 10 URLs
 
 
