@@ -3,8 +3,8 @@
 Base spans (e-mail, IP, card and phone numbers) come from regular expressions
 over whole texts. A match's place is the running length of what stands before
 it, summed by a window over the pieces and matches of its document. Terms that
-reveal a protected value are found from the whole corpus: for a term near a
-value, the share of the term's documents that hold the value with it,
+reveal a protected value are found from the whole corpus: for a term and a value
+that share documents, the share of the term's documents that hold the value,
 P(value | term), against the value's own share, P(value). Terms seen with a
 value in `min_docs` documents or more, with P(value | term) of at least
 `disclosure` and log2(P(value | term) / P(value)) of at least `bits`, become
@@ -65,8 +65,8 @@ def acceptable(kind: Column, value: Column) -> Column:
     )
 
 
-def matches(docs: DataFrame, radius: int = 64) -> DataFrame:
-    """doc_id, __key, kind, start, end, value, and the text of up to `radius` code points on either side."""
+def matches(docs: DataFrame) -> DataFrame:
+    """doc_id, __key, kind, start, end, value."""
     slim = docs.select("doc_id", text_key().alias("__key"), F.col("text").cast("string").alias("text"))
     found = []
     for kind, (pattern, hint) in enumerate(zip(PATTERNS, HINTS, strict=True)):
@@ -83,31 +83,18 @@ def matches(docs: DataFrame, radius: int = 64) -> DataFrame:
             i.alias("i"),
             F.get("m", i).alias("value"),
             F.length(F.get("p", i)).alias("before"),
-            F.right(F.get("p", i), F.lit(radius)).alias("left"),
-            F.substring(F.get("p", i + 1), 1, radius).alias("right"),
-            F.length(F.get("p", i + 1)).alias("after"),
         ),
     )
     rows = pieces.select(*KEYS, "kind", F.explode(each).alias("e")).select(*KEYS, "kind", "e.*")
     group = [*KEYS, "kind"]
     # rows alike in id and text are one
-    rows = rows.groupBy(*group, "i").agg(*[F.first(c).alias(c) for c in ("value", "before", "left", "right", "after")])
+    rows = rows.groupBy(*group, "i").agg(*[F.first(c).alias(c) for c in ("value", "before")])
     w = Window.partitionBy(*group).orderBy("i")
     end = F.sum(F.col("before") + F.length("value")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    placed = rows.select(*group, "value", "before", "left", "right", "after", (end - F.length("value")).alias("start"), end.alias("end"))
+    placed = rows.select(*group, "value", (end - F.length("value")).alias("start"), end.alias("end"))
     return placed.where(acceptable(F.col("kind"), F.col("value")))
 
 
-def _words(context: Column, origin: Column, clipped_left: Column, clipped_right: Column) -> Column:
-    """array<struct<term,start,end>> of a context that begins at code point `origin`; words cut by its edges are left out."""
-    m = F.regexp_extract_all(context, F.lit(TERM), F.lit(0))
-    p = F.split(context, TERM, -1)
-    begin = lambda i: F.aggregate(F.sequence(F.lit(0), i), F.lit(0), lambda t, j: t + F.length(F.get(p, j)) + F.when(j < i, F.length(F.get(m, j))).otherwise(0))
-    every = F.when(F.size(m) > 0, F.transform(F.sequence(F.lit(0), F.size(m) - 1), lambda i: F.struct(F.lower(F.get(m, i)).alias("term"), (origin + begin(i)).alias("start"), (origin + begin(i) + F.length(F.get(m, i))).alias("end"))))
-    inside = F.filter(every, lambda x: ~(clipped_left & (x["start"] == origin)) & ~(clipped_right & (x["end"] == origin + F.length(context))))
-    return F.coalesce(inside, F.array().cast("array<struct<term:string,start:int,end:int>>"))
-
-
 def _terms(text: Column) -> Column:
     """The distinct terms of a text, in lower case."""
     words = F.filter(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: ~F.contains(w, F.lit("@")))
@@ -140,37 +127,37 @@ def occurrences(docs: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFr
     return placed.join(terms, "term", "left_semi").select(*KEYS, "start", "end")
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclosure: float = 0.5, bits: float = 4.0, radius: int = 64, max_broadcast: int = 200_000) -> DataFrame:
+def revealing_terms(docs: DataFrame, found: DataFrame, min_docs: int = 2, disclosure: float = 0.5, bits: float = 4.0, max_broadcast: int = 200_000) -> DataFrame:
     """doc_id, __key, start, end of every occurrence, in all documents, of the terms that reveal a value.
 
-    Up to max_broadcast terms to be counted are broadcast, so only their
-    occurrences are shuffled; more of them are joined by a shuffle of all counts.
+    A term and a value meet where one document holds both, however far apart.
+    Before they are paired, values and terms go whose counts alone rule out any
+    passing pair: n_both is at most n_value, and P(value | term) at most 1. Up to
+    max_broadcast rows of documents, terms or values are broadcast; more of them
+    are joined by a shuffle.
     """
-    value = F.xxhash64("kind", "value")
-    left = _words(F.col("left"), F.col("start") - F.length("left"), F.col("before") > radius, F.lit(False))
-    right = _words(F.col("right"), F.col("end"), F.lit(False), F.col("after") > radius)
-    near = cut(found.select(*KEYS, value.alias("value"), F.explode(F.concat(left, right)).alias("t")).select(*KEYS, "value", "t.*"))
-    together = near.select("value", "term", *KEYS).distinct().groupBy("value", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_docs)
-    together = cut(together)
-    with_value = found.select(value.alias("value"), *KEYS).distinct().groupBy("value").agg(F.count("*").alias("n_value"))
+    n_docs = docs.agg(F.count("*").alias("n_docs"))
+    holders = found.select(F.xxhash64("kind", "value").alias("value"), *KEYS).distinct()
+    values = holders.groupBy("value").agg(F.count("*").alias("n_value")).where(F.col("n_value") >= min_docs)
+    values = values.join(F.broadcast(n_docs)).where(F.log2(F.col("n_docs") / F.col("n_value")) >= bits)  # one row
+    held = cut(holders.join(values, "value"))
+    texts = _holding(docs, cut(held.select(*KEYS).distinct()), max_broadcast)
+    theirs = cut(texts.select(*KEYS, F.explode(_terms(F.col("text"))).alias("term")).distinct())
+    wanted = cut(theirs.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("term"))
     # every such term's documents, over the whole corpus
-    wanted = together.select("term").distinct()
     terms = docs.select(F.explode(_terms(F.col("text").cast("string"))).alias("term"))
-    n_docs = docs.agg(F.count("*").alias("n_docs"))
     if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
         with_term = terms.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
     else:
         with_term = terms.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted.hint("merge"), "term", "left_semi")
-    given = F.col("n_both") / F.greatest("n_term", "n_both")
-    telling = (
-        together.join(with_term, "term")
-        .join(with_value, "value")
-        .join(F.broadcast(n_docs))  # one row
-        .where((given >= disclosure) & (F.log2(given * F.col("n_docs") / F.col("n_value")) >= bits))
-        .select("term")
-        .distinct()
-    )
-    return occurrences(docs, cut(telling), max_broadcast)
+    share = lambda n: F.col(n) / F.greatest("n_term", n)
+    most = held.agg(F.max("n_value").alias("most"))
+    rare = cut(with_term.join(F.broadcast(most)).where(share("most") >= disclosure).select("term", "n_term"))  # one row
+    said = theirs.join(_if_few(rare, max_broadcast), "term").alias("d")
+    pairs = said.join(_if_few(held, max_broadcast).alias("k"), F.expr("d.doc_id <=> k.doc_id AND d.__key = k.__key")).where(share("n_value") >= disclosure)
+    together = pairs.groupBy("value", "term", "n_value", "n_term", "n_docs").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_docs)
+    telling = together.where((share("n_both") >= disclosure) & (F.log2(share("n_both") * F.col("n_docs") / F.col("n_value")) >= bits))
+    return occurrences(docs, cut(telling.select("term").distinct()), max_broadcast)
 
 
 def find_spans(docs: DataFrame, **thresholds) -> DataFrame:

@@ -471,6 +471,19 @@ def test_every_occurrence_of_a_revealing_term_goes(spark):
     assert not any("zanzibar" in r.text.lower() for r in clean.where("doc_id < 5").collect())
 
 
+def test_terms_far_from_the_value_count(spark):
+    filler = "of no use at all " * 10
+    rows = [(i, f"Zanzibar {filler} kline@example.com {filler} +1 (988) 555-2485" if i else f"zanzibar kline@example.com {filler}") for i in range(4)]
+    rows += [(4, "tanganyika once kline@example.com"), (5, f"tanganyika {filler}"), (6, f"{filler} tanganyika"), (7, "tanganyika"), (8, "tanganyika")]
+    rows += [(None, "nyasaland q@w.er"), (None, f"nyasaland {filler} q@w.er")]
+    rows += [(10 + i, f"contact someone today about {'abcdefghij'[i % 10]}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (200_000, 0):
+        found = pii.find_spans(docs, max_broadcast=most).select("doc_id", "__key", "spans").collect()
+        assert sorted((r.doc_id, s.start, s.end) for r in found for s in r.spans if s.kind == 4 and r.doc_id is not None) == [(i, 0, 8) for i in range(4)]
+        assert [(s.start, s.end) for r in found for s in r.spans if s.kind == 4 and r.doc_id is None] == [(0, 9), (0, 9)]
+
+
 # 10 URLs
 
 
