@@ -8,11 +8,15 @@ halo covers whole is found once. Tiles are independent Spark groups.
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions.storage import cut
 from ..plans.tiles import with_halo
 from ..sources.points import CAR, GHOST, MED_VEG, PEDESTRIAN, VEHICLE, height
 from . import grid
@@ -151,16 +155,30 @@ def extract_cars(points: DataFrame, sources, target: int = VEHICLE, min_h: float
 def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius: float = 1.0) -> DataFrame:
     """point_id of points whose mean distance to their nearest neighbours is over the mean plus ratio deviations.
 
-    Neighbours are sought within `radius`; a point with fewer counts the radius
-    for each that is missing. A voxel's pairs are bounded by its density.
+    Neighbours are sought within `radius` first; points that have too few there
+    go on with twice the radius until they have all, so no distance is cut.
+    Points without finite coordinates are neither judged nor neighbours.
     """
-    p = points.select("point_id", "x", "y", "z", *[F.floor(F.col(c) / radius).alias(f"b{c}") for c in "xyz"])
-    around = F.explode(F.array(*[F.struct((F.col("bx") + i).alias("bx"), (F.col("by") + j).alias("by"), (F.col("bz") + k).alias("bz")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]))
-    t = p.select(F.col("point_id").alias("t"), F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"), around.alias("b")).select("t", "tx", "ty", "tz", "b.*")
+    finite = [F.abs(F.coalesce(F.col(c), F.lit(float("nan")))) < float("inf") for c in "xyz"]
+    p = points.select("point_id", "x", "y", "z").where(finite[0] & finite[1] & finite[2])
+    n, *spans = p.agg(F.count("*"), *[F.max(c) - F.min(c) for c in "xyz"]).first()
+    k = min(neighbours, n - 1)
+    if k < 1:
+        return points.select("point_id").limit(0)
+    boxes = [F.struct(*[(F.col(f"b{c}") + i).alias(f"b{c}") for c, i in zip("xyz", ijk, strict=True)]) for ijk in product((-1, 0, 1), repeat=3)]
     d = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2 + (F.col("z") - F.col("tz")) ** 2)
-    near = p.join(t, ["bx", "by", "bz"]).where("point_id <> t").withColumn("d", d).where(F.col("d") < radius)
-    best = near.groupBy("point_id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, neighbours).alias("ds"))
-    mean = (F.aggregate("ds", F.lit(0.0), lambda a, x: a + x) + (neighbours - F.size("ds")) * radius) / neighbours
-    each = points.select("point_id").join(best.select("point_id", mean.alias("m")), "point_id", "left").select("point_id", F.coalesce("m", F.lit(radius)).alias("m"))
+    first = Window.partitionBy("t").orderBy("d")
+    left, each, last = p, None, False
+    while not last:
+        last = radius > sum(spans)
+        boxed = lambda q: q.select("*", *[F.floor(F.col(c) / radius).alias(f"b{c}") for c in "xyz"])  # noqa: B023, E731
+        t = boxed(left).select(F.col("point_id").alias("t"), *[F.col(c).alias(f"t{c}") for c in "xyz"], F.explode(F.array(*boxes)).alias("b")).select("t", "tx", "ty", "tz", "b.*")
+        near = boxed(p).join(t, ["bx", "by", "bz"]).where("point_id <> t").select("t", d.alias("d")).where(F.col("d") < radius)
+        nearest = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k)
+        found = cut(nearest.groupBy(F.col("t").alias("point_id")).agg(F.count("*").alias("n"), F.avg("d").alias("m")).where(F.col("n") == k).select("point_id", "m"))
+        each = found if each is None else each.union(found)
+        left = cut(left.join(found, "point_id", "left_anti"))
+        last = last or left.isEmpty()
+        radius *= 2
     limit = each.agg((F.avg("m") + ratio * F.stddev_pop("m")).alias("limit"))
     return each.join(F.broadcast(limit)).where("m > limit").select("point_id")

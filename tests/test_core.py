@@ -146,6 +146,17 @@ def test_outliers(spark):
     assert {x.point_id for x in clusters.outliers(p, 10, 4.0).collect()} == {300}
 
 
+def test_outliers_of_sparse_clouds(spark):
+    r = np.random.default_rng(7)
+    xyz = np.vstack([np.column_stack([r.uniform(0, 6, (540, 2)), np.zeros(540)]), [[3, 3, 48], [3, 3, 5]]])
+    far = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(2))
+    mean = np.sort(far, axis=1)[:, 1:11].mean(1)
+    want = set(np.flatnonzero(mean > mean.mean() + 2.2 * mean.std()).tolist())
+    p = cloud(spark, [(*row, 4) for row in xyz.tolist()])
+    assert 540 in want and {x.point_id for x in clusters.outliers(p, 10, 2.2, 0.5).collect()} == want
+    assert clusters.outliers(p.limit(1), 10, 2.2, 0.5).count() == 0 and clusters.outliers(p.limit(5), 10, 2.2, 0.5).count() == 0
+
+
 def test_forest_learns_and_overrides(spark):
     table = refine.features(scene(spark, SF))
     model = refine.train(refine.balanced(table.where("gt IN (2, 6, 9)"), 300), trees=10, depth=6, leaf=2)
