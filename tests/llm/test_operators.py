@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from pointmill.llm import decontaminate, near_dedup, packing, pii, quality, secrets, substring_dedup, topk, toxicity, url_filter, words
@@ -158,6 +159,28 @@ def test_plan_holds_each_length_and_nears_the_bound():
     assert packing.plan({}) == []
 
 
+def test_the_program_decides_and_beats_best_fit():
+    r = np.random.default_rng(0)
+    wide = Counter(r.integers(300, 1000, 5000).tolist())
+    few = Counter(r.choice([440, 470, 520, 610, 690, 760, 830], 3000).tolist())
+    for counts in (wide, few):
+        whole = sum(n for _, n in packing.plan(counts))
+        assert whole < 0.98 * sum(n for _, n in packing.place_rest(dict(counts), 2048))
+        decided = packing.programmed(dict(counts), 2048)
+        assert sum(n for items, n in decided if len(items) > 1) > 0.8 * whole
+        assert Counter(packing.plan(counts)) == Counter(packing.plan(counts))
+    lengths = np.array(sorted(few))
+    chosen, amount, bound = packing.program(lengths, np.array([few[x] for x in lengths.tolist()]), 2048)
+    cover = Counter()
+    for c, a in zip(chosen, amount, strict=True):
+        assert sum(int(lengths[j]) for j in c) <= 2048
+        for j in c:
+            cover[j] += a
+    assert all(abs(cover[j] / few[x] - 1) < 0.01 for j, x in enumerate(lengths.tolist()))
+    assert bound <= amount.sum() * 1.01 and amount.sum() < bound * 1.02
+    assert sum(n for _, n in packing.plan(few)) <= amount.sum() + len(chosen)
+
+
 def test_packing_round_trip(docs, rows, empty):
     encoder = packing.public_encoder()
     got = packing.pack(docs, size=512).collect()
@@ -180,8 +203,9 @@ def test_packing_round_trip(docs, rows, empty):
 
 def test_both_vocabularies_agree():
     e = packing.public_encoder()
-    for t in ("a <|endoftext|> b", "don't  stop\n\n x", "日本語 ✓ 😀", " " * 5000, "a" * 3000, "\u00a0\u2003x\u200b٣"):
-        assert e.ids(t) == e.exact.encode(t, add_special_tokens=False).ids
+    whole = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    for t in ("a <|endoftext|> b", "don't  stop\n\n x", "日本語 ✓ 😀", " " * 5000, "a" * 3000, "\u00a0\u2003x\u200b٣", *whole):
+        assert e.ids(t or "") == e.exact.encode(t or "", add_special_tokens=False).ids
 
 
 # 4 secrets
