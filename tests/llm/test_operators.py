@@ -314,11 +314,40 @@ def test_top_k(spark):
     from pyspark.sql import functions as F
 
     for block in (8192, 100):
-        got = topk.top_k(df, F.col("vec_id") % 10 == 0, block_rows=block, group_rows=16, sample=50, pivots=8)
+        got = topk.top_k(df, F.col("vec_id") % 10 == 0, block_rows=block, group_rows=16, sample=50, pivot_rows=100)
         assert {tuple(x) for x in got.select("query_id", "rank", "vec_id", "score").collect()} == brute_top_k(rows, 10, lambda i: i % 10 == 0)
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_large_components_are_exact_or_refused(spark):
+    rows = [(0, [1.0, 1.0])] + [(i, [float(2**40 + i), 1.0]) for i in range(1, 8)] + [(8, [float(2**41), 0.0]), (9, [-float(2**41), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    from pyspark.sql import functions as F
+
+    got = topk.top_k(df, F.col("vec_id") == 0, k=3).orderBy("rank").collect()
+    want = sorted(((1024 * (int(v[0]) + int(v[1])) * 1024, i) for i, v in rows if i), key=lambda x: (-x[0], x[1]))[:3]
+    assert [(r.score, r.vec_id) for r in got] == want
+    for bad in ([(0, [2.0**60])], [(0, [2.0**30]), (1, [2.0**30])]):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            topk.top_k(spark.createDataFrame(bad, "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
+def test_most_pairs_of_query_groups_and_cells_are_pruned(spark):
+    r = np.random.default_rng(4)
+    centres = r.normal(0, 1, (5, 16))
+    centres /= np.sqrt((centres**2).sum(1))[:, None]
+    rows = [(i, [float(x) for x in centres[i % 5] + r.normal(0, 0.02, 16)]) for i in range(2000)]
+    data = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    known = data.limit(400).collect()
+    shared = spark.sparkContext.broadcast(topk.Pivots(known, 40))
+    placed = topk.dealt(data, shared).withColumnRenamed("far", "floor").selectExpr("vec_id", "v", "dim", "cell", "floor AS far", "0 AS part", "cast(null AS bigint) AS floor")
+    cells = placed.groupBy("dim", "cell").agg({"far": "max"}).collect()
+    radii = spark.sparkContext.broadcast({(x.dim, x.cell): (x[2], 1) for x in cells})
+    queries = placed.where("vec_id % 10 = 0").drop("far")
+    met = topk.meetings(queries, shared, radii, 10, own=False).select("cell", "group").collect()
+    assert 0 < len(met) < 0.5 * len(cells) * (len(cells) - 1)
+
+
 def test_cover_tree_prunes_and_covers():
     r = np.random.default_rng(3)
     x = np.vstack([r.normal(c, 0.05, (300, 3)) for c in ((0, 0, 9), (9, 0, 0), (0, 9, 0))])
