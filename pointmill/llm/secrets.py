@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spark_tools import cut, text_key
+from .spark_tools import cut, join_counted, text_key
+from .words import parts
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 #: Whole runs, so a minimal length in the pattern drops the same matches as a later test.
@@ -62,7 +63,7 @@ def scan(docs: DataFrame, min_entropy: float = 3.5) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("h", pa.int64())]))
 
     def find(batches):
-        for b in batches:
+        for b in parts(batches):
             spans = [
                 [{"start": s, "kind": k, "end": e, "h": int.from_bytes(hashlib.blake2b(v.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)} for s, k, e, v in candidates(t, min_entropy)]
                 for t in b["text"].to_pylist()
@@ -90,10 +91,10 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_secrets(docs: DataFrame, max_owners: int = 1, min_entropy: float = 3.5) -> DataFrame:
     """Per row: doc_id, spans array<struct<start,kind,end,live,n_owners,n_repos>> with opaque ones only if live."""
     found = cut(scan(docs, min_entropy))
-    owned = ownership(found)
-    each = found.where(F.size("spans") > 0).select("doc_id", "__key", "owner", "repo", F.explode("spans").alias("s"))
+    owned = cut(ownership(found))
+    each = found.where(F.size("spans") > 0).select("doc_id", "__key", "owner", "repo", F.explode("spans").alias("s")).withColumn("h", F.col("s.h"))
     judged = (
-        each.join(owned, F.col("s.h") == owned["h"])
+        join_counted(each, owned, "h", "n_seen")
         .where((F.col("s.kind") < 3) | (F.col("n_owners") <= max_owners))
         .groupBy("doc_id", "__key", "owner", "repo")
         .agg(
@@ -115,9 +116,10 @@ def op4_secrets(spark, sf_dir) -> DataFrame:
     said = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"], x["end"])), ",")
     base = F.filter("spans", lambda x: x["kind"] < 3)
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda k: count(lambda x: x["kind"] == k)  # noqa: E731  a lambda with a second parameter would get the index there
     return found.select(
         "doc_id",
-        *[count(lambda x, k=k: x["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        *[of_kind(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(said(base), 256).alias("base_sha256"),
         said(F.col("spans")).alias("spans"),
         count(lambda x: x["live"]).alias("n_live"),

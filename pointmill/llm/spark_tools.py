@@ -23,9 +23,22 @@ def batches_of(spark, rows: int):
         spark.conf.set(name, before)
 
 
-def text_key() -> Column:
+def text_key(text: str = "text") -> Column:
     """Tells rows of one doc_id apart; 0 for null texts."""
-    return F.coalesce(F.xxhash64("text"), F.lit(0))
+    return F.coalesce(F.xxhash64(text), F.lit(0))
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, n: str, least: int = 100_000, most: int = 10_000) -> DataFrame:
+    """Inner join with a written table of one row a key that says how many of the rows hold the key.
+
+    Keys of more than `least` rows and more than a share of 1 / most of all are
+    broadcast: there are fewer than `most` of them whatever the input. The others
+    are shuffled, so no task gets more than that many rows of one key.
+    """
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    limit = max(least, total // most)
+    hot = F.broadcast(counted.where(F.col(n) > limit))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(counted.where(F.col(n) <= limit), key))
 
 
 def bit_filter(hashes: DataFrame, log2_bits: int = 22) -> bytes:
