@@ -55,11 +55,12 @@ def acceptable(kind: Column, value: Column) -> Column:
     """The tests that follow a match."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     n = F.length(digits)
-    small = F.forall(F.split(value, r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.when(F.length(F.ltrim(p, F.lit("0"))) <= 3, p.cast("decimal(38,0)")).otherwise(999) <= 255))
-    short_parts = F.forall(F.split(value, r"\."), lambda p: F.length(p) <= 38)
+    # leading zeros do not count, however many
+    number = lambda p: F.when(p == "", 0).when(F.length(p) <= 3, p.cast("int")).otherwise(999)
+    small = F.forall(F.split(value, r"\."), lambda p: number(F.ltrim(p, F.lit("0"))) <= 255)
     return (
         F.when(kind == 0, True)
-        .when(kind == 1, short_parts & F.when(short_parts, small).otherwise(False))
+        .when(kind == 1, small)
         .when(kind == 2, F.when(n.between(12, 19), luhn(digits)).otherwise(False))
         .otherwise(n.between(9, 15))
     )
@@ -164,11 +165,15 @@ def find_spans(docs: DataFrame, **thresholds) -> DataFrame:
     """doc_id, __key, spans array<struct<start,kind,end>> of the documents that have any."""
     found = cut(matches(docs))
     terms = revealing_terms(docs, found, **thresholds)
-    every = found.select(*KEYS, "start", "kind", "end").union(terms.select(*KEYS, "start", F.lit(len(KINDS) - 1), "end"))
-    spans = every.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("spans"))
-    base = F.filter("spans", lambda x: x["kind"] < 4)
-    apart = lambda x: (x["kind"] < 4) | ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    return spans.withColumn("spans", F.filter("spans", apart))
+    every = found.select(*KEYS, "start", "kind", "end").union(terms.select(*KEYS, "start", F.lit(len(KINDS) - 1), "end")).distinct()
+    # a term goes if a base span covers a part of it: one that begins no later, or one that begins inside
+    base = F.col("kind") < len(KINDS) - 1
+    up, down = Window.partitionBy(*KEYS).orderBy("start"), Window.partitionBy(*KEYS).orderBy(F.desc("start"))
+    reach = F.max(F.when(base, F.col("end"))).over(up.rangeBetween(Window.unboundedPreceding, 0))
+    next_one = F.min(F.when(base, F.col("start"))).over(down.rangeBetween(Window.unboundedPreceding, 0))
+    covered = (F.coalesce(reach, F.lit(0)) > F.col("start")) | (F.coalesce(next_one, F.col("end")) < F.col("end"))
+    apart = every.withColumn("covered", covered).where(base | ~F.col("covered"))
+    return apart.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
 
 
 def op9_pii(spark, sf_dir) -> DataFrame:
@@ -197,19 +202,16 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     rows = found.select(*KEYS, F.explode("spans").alias("s")).withColumn("reach", F.max("s.end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.withColumn("nth", F.sum(F.when(F.col("s.start") < F.col("reach"), 0).otherwise(1)).over(w))
     one = rows.groupBy(*KEYS, "nth").agg(F.min("s").alias("s"), F.max("s.end").alias("end"))
-    joined = one.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct(F.col("s.start").alias("start"), "end", F.col("s.kind").alias("kind")))).alias("__spans"))
-    joined = joined.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"), "__spans")
+    joined = one.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct(F.col("s.start").alias("start"), "end", F.col("s.kind").alias("kind")))).alias("spans"))
+    out = docs.alias("d").join(joined.alias("j"), F.col("d.doc_id").eqNullSafe(F.col("j.doc_id")) & (text_key("d.text") == F.col("j.__key")), "left")
+    text, spans = F.col("d.text").cast("string"), F.col("j.spans")
     labels = F.array(*[F.lit(f"[{k.upper()}]" if k != "term" else "") for k in KINDS])
-    text = F.col("text").cast("string")
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("__spans", i - 1)["end"])
-    part = lambda i: F.concat(F.substring(text, begin(i) + 1, F.get("__spans", i)["start"] - begin(i)), F.get(labels, F.get("__spans", i)["kind"]))
-    n = F.size("__spans")
+    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
+    part = lambda i: F.concat(F.substring(text, begin(i) + 1, F.get(spans, i)["start"] - begin(i)), F.get(labels, F.get(spans, i)["kind"]))
+    n = F.size(spans)
     new = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), part), ""), F.substring(text, begin(n) + 1, F.length(text)))
-    out = docs.join(joined, docs["doc_id"].eqNullSafe(joined["__id"]) & (text_key() == joined["__k"]), "left")
-    changed = F.col("__spans").isNotNull()
-    columns = [F.when(changed, new).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("__n", F.when(changed, F.length(new).cast(kind)).otherwise(F.col("n_chars")))
-        columns = [F.col("__n").alias("n_chars") if c == "n_chars" else x for c, x in zip(docs.columns, columns, strict=True)]
-    return out.select(*columns)
+    own = {c: F.col(f"d.`{c}`") for c in docs.columns}
+    put = {"text": F.when(spans.isNotNull(), new).otherwise(text)}
+    if "n_chars" in own:
+        put["n_chars"] = F.when(spans.isNotNull(), F.length(new).cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
+    return out.select(*[put.get(c, x).alias(c) for c, x in own.items()])
