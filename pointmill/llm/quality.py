@@ -106,13 +106,14 @@ class Fourier:
         return np.hstack([np.ones((len(s), 1)), s, np.cos(s @ self.weights + self.phase) * np.sqrt(2 / len(self.phase))])
 
 
-def normal_equations(rows: DataFrame, fourier: Fourier, max_parts: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """rows: x, y, fold (0 or 1). (sums of z z', sums of z y) by fold; each partition sends one matrix a fold."""
+def normal_equations(rows: DataFrame, fourier: Fourier, branches: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """rows: x, y, fold (0 or 1). (sums of z z', sums of z y) by fold; each partition sends one matrix a fold, added up in two steps."""
     size = 1 + D + len(fourier.phase)
 
     def sums(batches):
-        total = np.zeros((2, size, size + 1))
+        total, branch = np.zeros((2, size, size + 1)), 0
         for b in batches:
+            branch = b["branch"][0].as_py() if b.num_rows else branch
             x = np.asarray(b["x"].flatten().to_numpy(zero_copy_only=False)).reshape(-1, D)
             y, fold = b["y"].to_numpy(), b["fold"].to_numpy()
             for lo in range(0, len(x), 2000):
@@ -122,13 +123,17 @@ def normal_equations(rows: DataFrame, fourier: Fourier, max_parts: int = 64) ->
                     own = fold[lo : lo + 2000] == f
                     total[f] += z[own].T @ zy[own]
         at = [(f, i) for f in (0, 1) for i in range(size)]
-        yield pa.RecordBatch.from_arrays([pa.array([f * size + i for f, i in at], pa.int32()), pa.array([total[f, i].tobytes() for f, i in at], pa.binary())], ["i", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([branch] * len(at), pa.int32()), pa.array([f * size + i for f, i in at], pa.int32()), pa.array([total[f, i].tobytes() for f, i in at], pa.binary())], ["branch", "i", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(v) for v in table["sums"].to_pylist()], axis=0)
-        return pa.table({"i": table["i"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    got = rows.coalesce(max_parts).mapInArrow(sums, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary").collect()
+        total = np.zeros(size + 1)
+        for v in table["sums"]:
+            total += np.frombuffer(v.as_py())
+        return table.slice(0, 1).set_column(table.schema.get_field_index("sums"), "sums", pa.array([total.tobytes()], pa.binary()))
+
+    kind = "branch int, i int, sums binary"
+    parts = rows.withColumn("branch", F.spark_partition_id() % branches).mapInArrow(sums, kind)
+    got = parts.groupBy("branch", "i").applyInArrow(add, kind).groupBy("i").applyInArrow(add, kind).collect()
     total = np.zeros((2 * size, size + 1))
     for r in got:
         total[r.i] = np.frombuffer(r.sums)
