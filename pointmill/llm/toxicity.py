@@ -196,7 +196,8 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, target: str = "toxic", max_docs: int = 4500) -> Model:
     """Fit on at most max_docs labelled rows: by hash, up to a third of them of label 1.
 
-    The sample's ids are bounded, so they are broadcast and other texts are not
+    An id with several texts counts with the least of them, one with both labels as
+    0. The sample's ids are bounded, so they are broadcast and other texts are not
     shuffled; one task trains on the sample's texts and returns the model.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col(target).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
@@ -206,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, targ
     sample = [r for y, n in ((1, max_docs // 3), (0, max_docs - max_docs // 3)) for r in known.where(F.col("y") == y).distinct().orderBy(by, "id").limit(n).collect()]
     label = {r.id: r.y for r in sample}
     chosen = docs.sparkSession.createDataFrame(list(label.items()), "id bigint, y int")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).dropDuplicates(["doc_id"]).select("id", "y", "text")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def learn(batches):
         table = pa.Table.from_batches(list(batches), pa.schema([("id", pa.int64()), ("y", pa.int32()), ("text", pa.string())])).sort_by("id").combine_chunks()
