@@ -5,7 +5,7 @@ fits decides. Where none fits, boosted trees over lexical features decide:
 lengths, depth, digit ratio, entropy, parameter counts and corpus-wide
 statistics of the host's suffix. They are trained on URLs that rules label, a
 bounded sample of them (`max_rows`, by a hash of the URL); the suffix statistics
-cover all URLs.
+cover all URLs, but for a labelled one the labels of the other four folds only.
 
 A null URL, or one without "://", has an empty host and path and is judged by
 the trees like any other. Repeated rows and null ids are kept, one output row
@@ -20,6 +20,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .spark_tools import cut, join_counted
+
+FOLDS = 5
 RULES = (
     ("block", "com/en/"),
     ("allow", "example.com/en/7"),
@@ -27,7 +30,7 @@ RULES = (
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
-NAMES = ("length", "host_length", "path_length", "depth", "labels", "digits", "host_digits", "entropy", "params", "query_length", "fragment", "hyphens", "longest_part", "suffix_log_n", "suffix_rate", "suffix_known")
+NAMES = ("entropy", "length", "host_length", "path_length", "depth", "labels", "digits", "host_digits", "params", "query_length", "fragment", "hyphens", "longest_part", "suffix_log_n", "suffix_rate", "suffix_known")
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -51,36 +54,46 @@ def rule_column(rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def lexical(url, host, path, n, rate, known) -> np.ndarray:
-    out = np.zeros((len(url), len(NAMES)))
-    for i, (u, h, p) in enumerate(zip(url, host, path, strict=True)):
-        raw = np.frombuffer(u.encode("utf-8", "replace"), np.uint8)
-        counts = np.bincount(raw, minlength=256)
-        counts, digits = counts[counts > 0] / max(len(raw), 1), counts[48:58].sum()
-        query = u.partition("?")[2].partition("#")[0]
-        out[i, :13] = (
-            len(u),
-            len(h),
-            len(p),
-            p.count("/"),
-            h.count(".") + 1 if h else 0,
-            digits / max(len(raw), 1),
-            sum(c.isdigit() for c in h),
-            -(counts * np.log2(counts)).sum(),
-            query.count("&") + 1 if query else 0,
-            len(query),
-            "#" in u,
-            u.count("-"),
-            max(map(len, p.split("/"))),
-        )
-    out[:, 13:] = np.stack([np.log1p(np.asarray(n, float)), np.asarray(rate, float), np.log1p(np.asarray(known, float))], 1)
-    return out
+def lexical() -> list[Column]:
+    """The columns of NAMES but the entropy, of a parsed URL with its suffix's n, rate and known."""
+    url, host, path = F.col("url"), F.col("host"), F.col("path")
+    count = lambda text, c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+    digits = lambda text: F.length(F.regexp_replace(text, "[^0-9]", ""))
+    query = F.regexp_extract(url, r"^[^?]*\?([^#]*)", 1)
+    columns = {
+        "length": F.length(url),
+        "host_length": F.length(host),
+        "path_length": F.length(path),
+        "depth": count(path, "/"),
+        "labels": F.when(host == "", 0).otherwise(count(host, ".") + 1),
+        "digits": digits(url) / F.greatest(F.octet_length(url), F.lit(1)),
+        "host_digits": digits(host),
+        "params": F.when(query == "", 0).otherwise(count(query, "&") + 1),
+        "query_length": F.length(query),
+        "fragment": F.contains(url, F.lit("#")),
+        "hyphens": count(url, "-"),
+        "longest_part": F.array_max(F.transform(F.split(path, "/"), F.length)),
+        "suffix_log_n": F.log1p("n"),
+        "suffix_rate": F.col("rate"),
+        "suffix_known": F.log1p("known"),
+    }
+    return [columns[name].cast("double").alias(f"x_{name}") for name in NAMES[1:]]
+
+
+def entropy(url) -> np.ndarray:
+    """Bits a byte of each URL."""
+    raw = [u.encode("utf-8", "replace") for u in url]
+    size = np.array([len(r) for r in raw], np.int64)
+    owner = np.repeat(np.arange(len(raw)), size)
+    pair, n = np.unique(owner * 256 + np.frombuffer(b"".join(raw), np.uint8), return_counts=True)
+    share = n / size[pair // 256]
+    return np.bincount(pair // 256, -share * np.log2(share), len(raw))
 
 
 class Trees:
-    """Boosted regression trees on the log loss, over quantile bins; a tree is a full binary one of fixed depth."""
+    """Boosted regression trees on the log loss, over quantile bins; a tree is a full binary one of fixed depth, a split leaves a curvature of `least` on both sides."""
 
-    def __init__(self, depth: int = 4, rounds: int = 40, rate: float = 0.3, bins: int = 32, least: float = 5.0) -> None:
+    def __init__(self, depth: int = 4, rounds: int = 40, rate: float = 0.1, bins: int = 32, least: float = 5.0) -> None:
         self.depth, self.rounds, self.rate, self.bins, self.least = depth, rounds, rate, bins, least
         self.base, self.trees = 0.0, []
 
@@ -106,7 +119,7 @@ class Trees:
                     gl, hl = gs.cumsum(1)[:, :-1], hs.cumsum(1)[:, :-1]
                     gt, ht = gs.sum(1, keepdims=True), hs.sum(1, keepdims=True)
                     score = lambda a, b: a * a / (b + 1.0)
-                    gain = np.where((hl > self.least / 10) & (ht - hl > self.least / 10), score(gl, hl) + score(gt - gl, ht - hl) - score(gt, ht), 0)
+                    gain = np.where((hl > self.least) & (ht - hl > self.least), score(gl, hl) + score(gt - gl, ht - hl) - score(gt, ht), 0)
                     k = gain.argmax(1)
                     top = gain[np.arange(width), k]
                     for q in np.flatnonzero(top > best):
@@ -129,23 +142,47 @@ class Trees:
         return 1 / (1 + np.exp(-f))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, max_rows: int = 20_000, prior: float = 20.0) -> DataFrame:
-    """page_id, host, path, rule, verdict, p_block (of the trees) per row."""
+def with_features(pages: DataFrame, rules=RULES, prior: float = 20.0, hidden: Column | None = None) -> DataFrame:
+    """page_id, url, host, path, rule, said (the rule's verdict) and the columns of `lexical`; the labels of a labelled URL's own fold, of five, are not part of its suffix's rate.
+
+    hidden: a condition on url, host and path under which `said` is withheld, for held-out figures.
+    """
     rule, said = rule_column(rules)
-    urls = parsed(pages).withColumn("rule", rule).withColumn("said", said)
-    blocked = F.sum(F.when(F.col("said") == "block", 1).otherwise(0))
-    stats = urls.groupBy(F.col("suffix").alias("s")).agg(F.count("*").alias("n"), F.count("said").alias("known"), blocked.alias("blocked"))
-    joined = urls.join(stats, urls["suffix"] == stats["s"]).withColumn("rate", (F.col("blocked") + prior / 2) / (F.col("known") + prior))
-    inputs = ["url", "host", "path", "n", "rate", "known"]
-    sample = joined.where("said IS NOT NULL").select(*inputs, (F.col("said") == "block").cast("double").alias("y")).orderBy(F.xxhash64("url"), "url", "y").limit(max_rows).toPandas()
-    model = pages.sparkSession.sparkContext.broadcast(Trees().fit(lexical(*(sample[c] for c in inputs)), sample["y"].to_numpy(float)))
+    urls = parsed(pages).withColumn("rule", rule).withColumn("said", said if hidden is None else F.when(~hidden, said))
+    urls = urls.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int"))
+    tally = [F.count("*").alias("n")]
+    for f in range(FOLDS):
+        tally += [F.count_if(F.col("said").isNotNull() & (F.col("fold") == f)).alias(f"known_{f}"), F.count_if((F.col("said") == "block") & (F.col("fold") == f)).alias(f"block_{f}")]
+    joined = join_counted(urls, cut(urls.groupBy("suffix").agg(*tally)), "suffix", "n")
+    apart = lambda c: sum((F.when(F.col("said").isNotNull() & (F.col("fold") == f), 0).otherwise(F.col(f"{c}_{f}")) for f in range(FOLDS)), F.lit(0))
+    joined = joined.withColumn("known", apart("known")).withColumn("rate", (apart("block") + prior / 2) / (F.col("known") + prior))
+    return joined.select("page_id", "url", "host", "path", "rule", "said", *lexical())
+
+
+def fit(features: DataFrame, max_rows: int) -> Trees:
+    """Trees over at most max_rows of the labelled URLs, by a hash of the URL."""
+    inputs = [f"x_{n}" for n in NAMES[1:]]
+    rows = features.where("said IS NOT NULL").select("url", *inputs, (F.col("said") == "block").cast("double").alias("y"))
+    sample = rows.orderBy(F.xxhash64("url"), "url", "y", *inputs).limit(max_rows).toPandas()
+    return Trees().fit(np.column_stack([entropy(sample["url"]), sample[inputs].to_numpy(float)]), sample["y"].to_numpy(float))
+
+
+def judged(features: DataFrame, trees: Trees) -> DataFrame:
+    """features with p_block, what the trees say of each URL."""
+    model = features.sparkSession.sparkContext.broadcast(trees)
 
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series(model.value.predict(lexical(*b)))
+        for url, *x in batches:
+            yield pd.Series(model.value.predict(np.column_stack([entropy(url), *(c.to_numpy(float) for c in x)])))
+
+    return features.withColumn("p_block", F.pandas_udf(score, "double")("url", *[f"x_{n}" for n in NAMES[1:]]))
 
-    p = F.pandas_udf(score, "double")(*inputs)
-    return joined.select("page_id", "host", "path", "rule", "said", p.alias("p_block")).select("page_id", "host", "path", "rule", F.coalesce("said", F.when(F.col("p_block") >= 0.5, "block").otherwise("allow")).alias("verdict"), "p_block")
+
+def filter_urls(pages: DataFrame, rules=RULES, max_rows: int = 20_000, prior: float = 20.0) -> DataFrame:
+    """page_id, host, path, rule, verdict, p_block (of the trees) per row."""
+    features = with_features(pages, rules, prior)
+    verdict = F.coalesce("said", F.when(F.col("p_block") >= 0.5, "block").otherwise("allow")).alias("verdict")
+    return judged(features, fit(features, max_rows)).select("page_id", "host", "path", "rule", verdict, "p_block")
 
 
 def op10_url_filter(spark, sf_dir) -> DataFrame:
