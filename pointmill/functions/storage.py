@@ -1,4 +1,4 @@
-"""Lineage cuts in the folder that the whole cluster shares."""
+"""Lineage cuts in the folder that driver and executors share."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only where none is set, a folder of our own."""
+    """The shared checkpoint folder of the session; a local session without one gets a folder of its own."""
     there = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_pointmill_dir", None)
     if not there:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         there = spark._pointmill_dir = tempfile.mkdtemp(prefix="pointmill-")
         spark.sparkContext.setCheckpointDir(there)
     return there.rstrip("/")
