@@ -2,16 +2,19 @@
 
 A passage is a window of 13 words. Every window takes as its anchor the least
 hash among its runs of five words, so equal windows have equal anchors. Blocks
-of documents send their distinct anchors, each with the least and greatest
-doc_id in the block, to shards by anchor; a shard answers which anchors occur in
-two documents. Of those the blocks send the word segments around them, each
-distinct segment once. A shard confirms which windows recur, compiles their word
-sequences (rows of windows that stand in one segment only, as one passage) into an
-automaton (pyahocorasick), streams all segments through it to locate every
-occurrence, and answers with the first document of each. Blocks
-then remove the words of windows that an earlier document holds. Whatever is
-common to many documents is one entry a block, so no group grows with its number
-of copies.
+of documents tell shards the hashes of their anchors, and shards answer which
+occur in two documents; of windows with such anchors the blocks tell the
+windows' own hashes, dealt by these, and learn which recur. What is left are
+stretches of recurring windows, cut free of the words around them, so copies in
+different contexts are alike; each distinct stretch of a block is sent once, to
+the shard of its anchor. There full words confirm which windows recur, the word
+sequences (rows of windows that stand in one stretch only, as one passage) are
+compiled into an automaton (pyahocorasick), all stretches of all documents
+stream through it, which locates every occurrence, and the answer is the first
+document of each. Blocks then remove the words of windows that an earlier
+document holds. Hashes only ever rule windows out; a false one costs time.
+Whatever is common to many documents is one entry a block, so no group grows
+with its number of copies.
 
 Null texts have no words. A null doc_id is neither earlier than others nor loses
 words. Rows sharing a doc_id are one document: they remove nothing from each
@@ -27,10 +30,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import _POWERS, SPACED, Words, mix, split
+from .words import _POWERS, SPACED, Words, mix, parts, split
 
 WINDOW, ANCHOR = 13, 5
 NONE = np.iinfo(np.int64).max
@@ -60,8 +64,17 @@ class Runs:
         up, down = _POWERS.get(len(w.hash) + 1)
         sums = np.zeros(len(w.hash) + 1, np.uint64)
         np.cumsum(w.hash * up[:-1], out=sums[1:])
-        end = self.stop + window - 1
-        self.segment = mix((sums[end] - sums[self.start]) * down[self.start] + (end - self.start).astype(np.uint64))
+        self._sums, self._down = sums, down
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the words from start to before end."""
+        return mix((self._sums[end] - self._sums[start]) * self._down[start] + (end - start).astype(np.uint64))
+
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, run) of each window of these runs."""
+        size = (self.stop - self.start)[which]
+        run = np.repeat(which, size)
+        return self.start[run] + np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size), run
 
 
 def _ends(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -81,74 +94,106 @@ def _among(sorted_keys: np.ndarray, key: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, key), len(sorted_keys) - 1)] == key
 
 
-def _ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(doc ids, which are not null)."""
-    column = table["doc_id"].combine_chunks()
-    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), column.is_valid().to_numpy(zero_copy_only=False)
-
-
 def _table(names: str, kinds: list, columns: list) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names.split())
 
 
+def _pack(keys: np.ndarray) -> bytes:
+    """The low 48 bits of each."""
+    return np.ascontiguousarray(keys.view(np.uint16).reshape(-1, 4)[:, :3]).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 4), np.uint16)
+    out[:, :3] = np.frombuffer(data, np.uint16).reshape(-1, 3)
+    return out.view(np.uint64).ravel()
+
+
+LOW = np.uint64((1 << 48) - 1)
 I64, BIN, STR = pa.int64(), pa.binary(), pa.string()
 
 
 def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, anchor: int = ANCHOR, text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one space) or kept_sha256 per row of docs; doc_id must be an integer."""
     n_blocks = -(-docs.select("doc_id").count() // block_docs) or 1
-    shards = -(-n_blocks // 2)
+    hash_shards, shards = -(-n_blocks // 8), -(-n_blocks // 2)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = slim.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text").groupBy("block")
+    judged = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    blocks = slim.where(judged).select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text").groupBy("block")
 
-    def read(table) -> tuple[Words, Runs, np.ndarray, np.ndarray]:
-        ids, valid = _ids(table)
+    def read(table) -> tuple[Words, Runs, np.ndarray]:
         w = split(table["text"], SPACED)
-        runs = Runs(w, window, anchor)
-        return w, runs, ids, valid[runs.row]
+        return w, Runs(w, window, anchor), table["doc_id"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def shards_of(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        shard = (key % np.uint64(shards)).astype(np.int64)
+    def shards_of(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        shard = (key % np.uint64(n)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         shard = shard[order]
         edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])).tolist() if len(shard) else []
         for a, b in zip(edges, [*edges, len(shard)][1:], strict=True):
             yield int(shard[a]), order[a:b]
 
+    def questions(key: np.ndarray, own: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(shard, distinct keys of one document of the block, those of several) for the keys of documents `own`."""
+        keys, _, lo, hi = _ends(key & LOW, own, own)
+        for s, i in shards_of(keys, hash_shards):
+            many = lo[i] < hi[i]
+            yield s, keys[i][~many], keys[i][many]
+
+    def ask(block: int, key: np.ndarray, own: np.ndarray) -> pa.Table:
+        out = [(s, block, _pack(one), _pack(many)) for s, one, many in questions(key, own)]
+        return _table("shard block one many", [I64, I64, BIN, BIN], list(zip(*out, strict=True)) or [[]] * 4)
+
+    def recurring(turn: int):
+        """Bits that say which keys of one document others have too."""
+
+        def answer(table):
+            one, many = ([_unpack(x) for x in table[c].to_pylist()] for c in ("one", "many"))
+            keys, times = np.unique(np.concatenate(one + many), return_counts=True)
+            twice = keys[times > 1]
+            out = [(b, s, turn, np.packbits(_among(twice, k)).tobytes()) for b, s, k in zip(table["block"].to_pylist(), table["shard"].to_pylist(), one, strict=True)]
+            return _table("to_block shard turn bits", [I64, I64, I64, BIN], list(zip(*out, strict=True)))
+
+        return answer
+
+    def recur(key: np.ndarray, own: np.ndarray, answers: pa.Table, turn: int) -> np.ndarray:
+        """Which keys, as asked before, recur."""
+        bits = {s: b for s, t, b in zip(*(answers[c].to_pylist() for c in ("shard", "turn", "bits")), strict=True) if t == turn}
+        known = [x for s, one, many in questions(key, own) for x in (many, one[np.unpackbits(np.frombuffer(bits[s], np.uint8))[: len(one)] == 1])]
+        return _among(np.sort(np.concatenate(known)), key & LOW) if known else np.zeros(len(key), bool)
+
+    def stretches(w: Words, runs: Runs, ids: np.ndarray, answers: pa.Table):
+        """(first window, end of windows, anchor, row, hash) of the stretches of recurring windows, each within a run."""
+        start, run = runs.windows(np.flatnonzero(recur(runs.anchor, ids[runs.row], answers, 1)))
+        good = recur(runs.hash(start, start + window), ids[runs.row[run]], answers, 2)
+        start, run = start[good], run[good]
+        head = np.flatnonzero(np.append(True, (start[1:] != start[:-1] + 1) | (run[1:] != run[:-1]))) if len(start) else np.zeros(0, np.int64)
+        begin, run = start[head], run[head]
+        stop = begin + np.diff(np.append(head, len(start)))
+        return begin, stop, runs.anchor[run], runs.row[run], runs.hash(begin, stop + window - 1)
+
     def send_anchors(key, table):
-        _, runs, ids, ok = read(table)
-        own = ids[runs.row[ok]]
-        anchors, _, lo, hi = _ends(runs.anchor[ok], own, own)
-        out = [(s, key[0].as_py(), anchors[i].tobytes(), lo[i].tobytes(), (hi[i] - lo[i]).tobytes()) for s, i in shards_of(anchors)]
-        return _table("shard block anchors lo more", [I64, I64, BIN, BIN, BIN], list(zip(*out, strict=True)) or [[]] * 5)
-
-    def recurring(table):
-        anchors = [np.frombuffer(x, np.uint64) for x in table["anchors"].to_pylist()]
-        lo = np.concatenate([np.frombuffer(x, np.int64) for x in table["lo"].to_pylist()])
-        hi = lo + np.concatenate([np.frombuffer(x, np.int64) for x in table["more"].to_pylist()])
-        every = np.concatenate(anchors)
-        distinct, _, least, most = _ends(every, lo, hi)
-        twice = distinct[least < most]
-        out = [(b, a[_among(twice, a)].tobytes()) for b, a in zip(table["block"].to_pylist(), anchors, strict=True)]
-        return _table("to_block anchors", [I64, BIN], list(zip(*[x for x in out if x[1]], strict=True)) or [[]] * 2)
-
-    def chosen(runs: Runs, ok: np.ndarray, answers) -> np.ndarray:
-        known = [np.frombuffer(x, np.uint64) for x in answers["anchors"].to_pylist()]
-        return np.flatnonzero(ok & _among(np.sort(np.concatenate(known)), runs.anchor)) if known else np.zeros(0, np.int64)
-
-    def send_segments(key, table, answers):
+        _, runs, ids = read(table)
+        return ask(key[0].as_py(), runs.anchor, ids[runs.row])
+
+    def send_windows(key, table, answers):
+        if not table.num_rows:
+            return ask(0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        _, runs, ids = read(table)
+        start, run = runs.windows(np.flatnonzero(recur(runs.anchor, ids[runs.row], answers, 1)))
+        return ask(key[0].as_py(), runs.hash(start, start + window), ids[runs.row[run]])
+
+    def send_stretches(key, table, answers):
         out = []
         if table.num_rows and answers.num_rows:
-            w, runs, ids, ok = read(table)
-            use = chosen(runs, ok, answers)
-            own = ids[runs.row[use]]
-            segment, at, lo, hi = _ends(runs.segment[use], own, own)
-            at = use[at]
-            begin, end = w.start[runs.start[at]], w.end[runs.stop[at] + window - 2]
+            w, runs, ids = read(table)
+            begin, stop, anchors, row, name = stretches(w, runs, ids, answers)
+            name, at, lo, hi = _ends(name, ids[row], ids[row])
+            first, last = w.start[begin[at]], w.end[stop[at] + window - 2]
             raw = w.raw.tobytes()
-            for s, i in shards_of(runs.anchor[at]):
-                text = b"\n".join(b" ".join(raw[a:b].split()) for a, b in zip(begin[i].tolist(), end[i].tolist(), strict=True))
-                out.append((s, key[0].as_py(), segment[i].tobytes(), lo[i].tobytes(), hi[i].tobytes(), text))
+            for s, i in shards_of(anchors[at], shards):
+                text = b"\n".join(b" ".join(raw[a:b].split()) for a, b in zip(first[i].tolist(), last[i].tolist(), strict=True))
+                out.append((s, key[0].as_py(), name[i].tobytes(), lo[i].tobytes(), hi[i].tobytes(), text))
         return _table("shard block segments lo hi text", [I64, I64, BIN, BIN, BIN, BIN], list(zip(*out, strict=True)) or [[]] * 6)
 
     def locate(table):
@@ -223,25 +268,7 @@ def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, a
                 out.append((b, names[which_name].tobytes(), from_[r].astype(np.int32).tobytes(), till[r].astype(np.int32).tobytes(), begun[r].tobytes()))
         return _table("to_block segments from till first", [I64, BIN, BIN, BIN, BIN], list(zip(*out, strict=True)) or [[]] * 5)
 
-    def remove(key, table, answers):
-        if not table.num_rows:
-            return _table("doc_id n_words n_removed kept", [I64, I64, I64, STR], [[]] * 4)
-        w, runs, ids, ok = read(table)
-        n = len(w.hash)
-        cover = np.zeros(n + 1, np.int64)
-        if answers.num_rows:
-            name, from_, till, first = (np.concatenate([np.frombuffer(x, k) for x in answers[c].to_pylist()]) for c, k in (("segments", np.uint64), ("from", np.int32), ("till", np.int32), ("first", np.int64)))
-            order = np.argsort(name, kind="stable")
-            name, from_, till, first = name[order], from_[order], till[order], first[order]
-            a, b = np.searchsorted(name, runs.segment, "left"), np.searchsorted(name, runs.segment, "right")
-            count = np.where(ok, b - a, 0)
-            run = np.repeat(np.arange(len(count)), count)
-            r = np.repeat(a, count) + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
-            late = first[r] < ids[runs.row[run]]
-            r, run = r[late], run[late]
-            np.add.at(cover, runs.start[run] + from_[r], 1)
-            np.add.at(cover, runs.start[run] + till[r] + window - 1, -1)
-        gone = np.cumsum(cover[:-1]) > 0
+    def kept_words(w: Words, gone: np.ndarray) -> pa.Table:
         removed = np.diff(np.append(0, np.cumsum(gone))[w.first])
         raw, kept = w.raw.tobytes(), []
         for r, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
@@ -250,14 +277,42 @@ def deduplicate(docs: DataFrame, block_docs: int = 1000, window: int = WINDOW, a
                 words = [x for x, g in zip(words, gone[a:b].tolist(), strict=True) if not g]
             joined = b" ".join(words)
             kept.append(joined.decode("utf-8", "replace") if text else hashlib.sha256(joined).hexdigest())
-        return _table("doc_id n_words n_removed kept", [I64, I64, I64, STR], [table["doc_id"].combine_chunks(), w.count(), removed, kept])
-
-    anchors = blocks.applyInArrow(send_anchors, "shard long, block long, anchors binary, lo binary, more binary")
-    twice = anchors.groupBy("shard").applyInArrow(recurring, "to_block long, anchors binary")
-    segments = blocks.cogroup(twice.groupBy("to_block")).applyInArrow(send_segments, "shard long, block long, segments binary, lo binary, hi binary, text binary")
-    found = segments.groupBy("shard").applyInArrow(locate, "to_block long, segments binary, from binary, till binary, first binary")
-    kept = "kept" if text else "kept_sha256"
-    return blocks.cogroup(found.groupBy("to_block")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, kept string").withColumnRenamed("kept", kept)
+        return _table("n_words n_removed kept", [I64, I64, STR], [w.count(), removed, kept])
+
+    def remove(key, table, answers):
+        if not table.num_rows:
+            return _table("doc_id n_words n_removed kept", [I64, I64, I64, STR], [[]] * 4)
+        w, runs, ids = read(table)
+        cover = np.zeros(len(w.hash) + 1, np.int64)
+        found = answers.filter(pa.compute.is_valid(answers["segments"]))
+        if found.num_rows:
+            begin, _, _, row, own = stretches(w, runs, ids, answers)
+            name, from_, till, first = (np.concatenate([np.frombuffer(x, k) for x in found[c].to_pylist()]) for c, k in (("segments", np.uint64), ("from", np.int32), ("till", np.int32), ("first", np.int64)))
+            order = np.argsort(name, kind="stable")
+            name, from_, till, first = name[order], from_[order], till[order], first[order]
+            a, b = np.searchsorted(name, own, "left"), np.searchsorted(name, own, "right")
+            which = np.repeat(np.arange(len(own)), b - a)
+            r = np.repeat(a, b - a) + np.arange(len(which)) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
+            late = first[r] < ids[row[which]]
+            r, which = r[late], which[late]
+            np.add.at(cover, begin[which] + from_[r], 1)
+            np.add.at(cover, begin[which] + till[r] + window - 1, -1)
+        return kept_words(w, np.cumsum(cover[:-1]) > 0).add_column(0, "doc_id", table["doc_id"])
+
+    def as_they_are(batches):
+        for b in parts(batches):
+            w = split(b["text"], SPACED)
+            yield from kept_words(w, np.zeros(len(w.hash), bool)).add_column(0, "doc_id", b["doc_id"]).to_batches()
+
+    asked, bits, out = "shard long, block long, one binary, many binary", "to_block long, shard long, turn long, bits binary", "doc_id long, n_words long, n_removed long, kept string"
+    one = blocks.applyInArrow(send_anchors, asked).groupBy("shard").applyInArrow(recurring(1), bits)
+    two = blocks.cogroup(one.groupBy("to_block")).applyInArrow(send_windows, asked).groupBy("shard").applyInArrow(recurring(2), bits)
+    both = one.unionByName(two)
+    sent = blocks.cogroup(both.groupBy("to_block")).applyInArrow(send_stretches, "shard long, block long, segments binary, lo binary, hi binary, text binary")
+    found = sent.groupBy("shard").applyInArrow(locate, "to_block long, segments binary, from binary, till binary, first binary")
+    every = both.unionByName(found, allowMissingColumns=True)
+    kept = blocks.cogroup(every.groupBy("to_block")).applyInArrow(remove, out).unionByName(slim.where(~judged).mapInArrow(as_they_are, out))
+    return kept.withColumnRenamed("kept", "kept" if text else "kept_sha256")
 
 
 def op5_substring_dedup(spark, sf_dir) -> DataFrame:
