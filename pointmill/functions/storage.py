@@ -25,4 +25,13 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._pointmill_path = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables of `cut` that nothing reads any more."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._pointmill_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

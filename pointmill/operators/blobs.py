@@ -1,4 +1,4 @@
-"""Connected blobs of cells and cluster shapes, judged by their aggregates."""
+"""Connected blobs of cells and group shapes, judged by their aggregates."""
 
 from __future__ import annotations
 
@@ -14,6 +14,10 @@ def extents() -> list[Column]:
     return [F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(f"d{c}") for c in "xyz"]]
 
 
+def edges() -> list[Column]:
+    return [*[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax")]
+
+
 def blobs(points: DataFrame, among: Column, cell: float, prepare=None) -> DataFrame:
     """The points of `among` with ix, iy and the component of their cell; prepare may dilate or open the cells."""
     chosen = grid.with_cells(points, cell, among).where(among)
@@ -36,7 +40,7 @@ def car_blobs(points: DataFrame, sources=VEGETATION, band: tuple[float, float] =
         points = grid.mark(grid.with_cells(points, 0.40), tall, "tall").drop(*grid.CELL)
         chosen = chosen & ~F.col("tall")
     members = blobs(points, chosen, cell, lambda c: grid.opened(c, 2))
-    stats = members.withColumn("h", height()).groupBy("component").agg(*extents(), F.percentile("h", 0.5).alias("p50"), F.percentile("h", 0.9).alias("p90"), *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
+    stats = members.withColumn("h", height()).groupBy("component").agg(*extents(), F.percentile("h", 0.5).alias("p50"), F.percentile("h", 0.9).alias("p90"), *edges())
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     fits = long.between(*length) & wide.between(*width) & (wide / long).between(0.28, 0.90) & F.col("n").between(*count)
     fits = fits & F.col("p50").between(p50, 1.9) & (F.col("p90") <= p90) & F.col("dz").between(0.45, 2.7) & (F.col("n") / (long * wide) >= 10)
@@ -89,18 +93,25 @@ def peel_islands(points: DataFrame, target: int = NOISE, cell: float = 0.18, ban
 def vehicle_boxes(points: DataFrame, vehicle: int = VEHICLE, cell: float = 0.5, least: int = 80) -> DataFrame:
     """Boxes of car-sized blobs of vehicle points."""
     members = blobs(points, is_class(vehicle), cell)
-    stats = members.groupBy("component").agg(*extents(), *[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax"))
+    stats = members.groupBy("component").agg(*extents(), *edges())
     long, wide = F.greatest("dx", "dy"), F.least("dx", "dy")
     return stats.where(long.between(1.2, 12) & wide.between(0.4, 5) & (wide / long <= 0.92) & (F.col("n") >= least)).select("xmin", "xmax", "ymin", "ymax", "zmax", "n")
 
 
-def cluster_shapes(points: DataFrame, key: str = "cluster_id") -> DataFrame:
-    """Aggregates of each cluster that the shape rules need."""
+def blob_sizes(points: DataFrame, vehicle: int = VEHICLE, cell: float = 0.25, least: int = 8) -> DataFrame:
+    """n, n_cells, long, wide of each blob of vehicle points with at least so many cells."""
+    members = blobs(points, is_class(vehicle), cell)
+    sizes = members.groupBy("component").agg(*extents(), F.count_distinct(*grid.CELL).alias("n_cells")).where(F.col("n_cells") >= least)
+    return sizes.select("component", "n", "n_cells", F.greatest("dx", "dy").alias("long"), F.least("dx", "dy").alias("wide"))
+
+
+def group_shapes(points: DataFrame, key: str = "group_id") -> DataFrame:
+    """Aggregates of each group that the shape rules need, and its box."""
     c = {a + b: (F.covar_pop(a, b) if a != b else F.var_pop(a)).alias(f"c{a}{b}") for a, b in ("xx", "yy", "zz", "xy", "xz", "yz")}
     h = height()
     return (
         points.groupBy(key)
-        .agg(*extents(), F.percentile(h, 0.5).alias("p50"), F.percentile(h, 0.9).alias("p90"), *c.values())
+        .agg(*extents(), F.percentile(h, 0.5).alias("p50"), F.percentile(h, 0.9).alias("p90"), *c.values(), *edges())
         .withColumn("long", F.greatest("dx", "dy"))
         .withColumn("wide", F.least("dx", "dy"))
         .withColumn("density", F.col("n") / F.greatest(F.col("long") * F.col("wide"), F.lit(0.01)))
@@ -122,7 +133,7 @@ def _eigen_ratio() -> Column:
 
 
 def is_car(strict: bool = False, max_upright: float = 2.2) -> Column:
-    """A condition on cluster_shapes."""
+    """A condition on group_shapes."""
     c = F.col
     aspect = c("wide") / F.greatest("long", F.lit(0.01))
     ok = c("dz") / F.greatest("wide", F.lit(0.05)) <= max_upright

@@ -1,163 +1,101 @@
-"""Density clusters of points by tiles with halos, and the object rules on them.
-
-Points go to every tile whose core or halo holds them; each tile is clustered
-from voxel centroids, so its size is bounded by its area, not by its density. A
-cluster counts only in the tile whose core holds its median, so a cluster that a
-halo covers whole is found once. Tiles are independent Spark groups.
+"""Density groups of points, the object rules on them, and outliers, as joins.
+
+Voxel centroids stand for their points. A centroid is dense if at least
+`samples` points lie within `epsilon` of it, itself counted; dense centroids
+closer than that are connected, and each component of at least `least` points
+is a group. This is the density hierarchy cut at `epsilon`; points that reach
+no dense neighbour are noise. Cells of a diagonal of epsilon hold centroids that
+are connected anyway, so components are found over cells, not over points, and
+no tile cuts a group however long it is.
 """
 
 from __future__ import annotations
 
 from itertools import product
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.storage import cut
-from ..plans.tiles import with_halo
 from ..sources.points import CAR, GHOST, MED_VEG, PEDESTRIAN, VEHICLE, height
 from . import grid
-from .blobs import cluster_shapes, is_car, is_ghost, is_pedestrian
-from .rules import is_class
-
-
-def spanning_tree(xyz: np.ndarray, samples: int) -> np.ndarray:
-    """Rows (a, b, distance) of the minimum spanning tree under mutual reachability, by distance."""
-    n = len(xyz)
-    core = np.empty(n)
-    for lo in range(0, n, 512):
-        d = np.sqrt(((xyz[lo : lo + 512, None] - xyz[None]) ** 2).sum(2))
-        core[lo : lo + 512] = np.partition(d, min(samples, n - 1), axis=1)[:, min(samples, n - 1)]
-    reach, parent, left = np.full(n, np.inf), np.zeros(n, np.int64), np.ones(n, bool)
-    at, edges = 0, []
-    left[0] = False
-    for _ in range(n - 1):
-        d = np.maximum(np.maximum(np.sqrt(((xyz - xyz[at]) ** 2).sum(1)), core), core[at])
-        closer = left & (d < reach)
-        reach[closer], parent[closer] = d[closer], at
-        at = int(np.where(left, reach, np.inf).argmin())
-        edges.append((parent[at], at, reach[at]))
-        left[at] = False
-    edges.sort(key=lambda e: e[2])
-    return np.array(edges).reshape(-1, 3)
-
-
-def density_labels(xyz: np.ndarray, weight: np.ndarray, least: int, samples: int, epsilon: float) -> np.ndarray:
-    """Cluster numbers, -1 for noise: the most stable clusters of at least `least` points; splits below epsilon do not count."""
-    n = len(xyz)
-    if weight.sum() < least or n < 2:
-        return np.full(n, -1)
-    root = list(range(2 * n - 1))
-
-    def find(a: int) -> int:
-        while root[a] != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        return a
-
-    size, kids, height_of = [*weight.tolist(), *[0] * (n - 1)], {}, {}
-    for k, (a, b, d) in enumerate(spanning_tree(xyz, samples)):
-        new, x, y = n + k, find(int(a)), find(int(b))
-        root[x] = root[y] = new
-        size[new], kids[new], height_of[new] = size[x] + size[y], (x, y), max(float(d), 1e-9)
-    # from the top: a split of two large enough parts makes two clusters, else the cluster goes on
-    top = 2 * n - 2
-    born, members, children, gain = {top: 0.0}, {top: []}, {top: []}, {top: 0.0}
-    walk = [(top, top, True)]
-    order = [top]
-    while walk:
-        node, cluster, live = walk.pop()
-        if node not in kids:
-            members[cluster].append(node)
-            continue
-        level = 1.0 / height_of[node]
-        big = [x for x in kids[node] if live and size[x] >= least]
-        if len(big) == 2 and height_of[node] >= epsilon:
-            gain[cluster] += size[node] * (level - born[cluster])
-            for x in big:
-                born[x], members[x], children[x], gain[x] = level, [], [], 0.0
-                children[cluster].append(x)
-                order.append(x)
-                walk.append((x, x, True))
-            continue
-        for x in kids[node]:
-            stays = x in big
-            if live and not stays:  # its points leave here, but keep the cluster's label
-                gain[cluster] += size[x] * (level - born[cluster])
-            walk.append((x, cluster, stays))
-    chosen, total = {}, {}
-    for c in reversed(order):
-        below = sum(total[x] for x in children[c])
-        chosen[c] = c != top and (not children[c] or gain[c] >= below)
-        total[c] = max(gain[c], below) if children[c] else gain[c]
-    labels, stack, number = np.full(n, -1), [top], 0
-    while stack:
-        c = stack.pop()
-        if chosen[c] or (c == top and not children[c]):
-            own = [c]
-            while own:
-                x = own.pop()
-                labels[members[x]] = number
-                own.extend(children[x])
-            number += 1
-        else:
-            stack.extend(children[c])
-    return labels
-
-
-def density_clusters(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.4, voxel: float = 0.08, tile: float = 30.0, overlap: float = 7.0) -> DataFrame:
-    """points with cluster_id (null for noise): clusters of voxel centroids by tile."""
+from .blobs import group_shapes, is_car, is_ghost, is_pedestrian, vehicle_boxes
+from .graph import connected_components
+from .rules import is_class, peel_car_volume
+
+BOX = ["bx", "by", "bz"]
+
+
+def boxes(size: float) -> list[Column]:
+    return [F.floor(F.col(c) / size).alias(f"b{c}") for c in "xyz"]
+
+
+def around(rows: DataFrame, reach: int) -> DataFrame:
+    """Each row once for every box around its own, up to `reach` boxes away."""
+    steps = product(range(-reach, reach + 1), repeat=3)
+    near = F.explode(F.array(*[F.struct(*[(F.col(b) + i).alias(b) for b, i in zip(BOX, step, strict=True)]) for step in steps])).alias("near")
+    rest = [c for c in rows.columns if c not in BOX]
+    return rows.select(near, *rest).select("near.*", *rest)
+
+
+def _d2() -> Column:
+    return sum(((F.col(c) - F.col(f"t{c}")) ** 2 for c in "xyz"), F.lit(0.0))
+
+
+def density_groups(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.4, voxel: float = 0.08) -> DataFrame:
+    """points with group_id (the least cell of the group; null for noise)."""
     keys = ["vx", "vy", "vz"]
     boxed = grid.with_voxels(points, voxel)
-    centroids = boxed.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in "xyz"], F.count("*").alias("n"))
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        labels = density_labels(pdf[["x", "y", "z"]].to_numpy(), pdf["n"].to_numpy(), least, samples, epsilon)
-        pdf = pdf.assign(label=labels)[labels >= 0]
-        if not len(pdf):
-            return pd.DataFrame({k: pd.Series([], dtype="int64") for k in (*keys, "cluster_id")})
-        size = pdf[["tx", "ty"]].iloc[0]
-        middle = pdf.groupby("label")[["x", "y"]].median()
-        inside = ((middle["x"] - pdf["x0"].iloc[0]) // tile == size["tx"]) & ((middle["y"] - pdf["y0"].iloc[0]) // tile == size["ty"])
-        pdf = pdf[pdf["label"].map(inside)]
-        return pdf.assign(cluster_id=((pdf["tx"] * 1_000_003 + pdf["ty"]) * 100_003 + pdf["label"]).astype("int64"))[[*keys, "cluster_id"]]
-
-    corner = centroids.agg(F.min("x").alias("x0"), F.min("y").alias("y0"))
-    tiles = with_halo(centroids, tile, overlap).join(F.broadcast(corner))
-    found = tiles.groupBy("tx", "ty").applyInPandas(cluster, "vx long, vy long, vz long, cluster_id long")
-    found = found.groupBy(*keys).agg(F.min("cluster_id").alias("cluster_id"))
-    return boxed.join(found, keys, "left").drop(*keys)
-
-
-def object_classes(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, **options) -> DataFrame:
-    """Clusters of medium vegetation that look like a car, else a ghost, else a person."""
-    chosen = points.where(is_class(MED_VEG))
-    clustered = density_clusters(chosen, **options).where("cluster_id IS NOT NULL")
+    centroids = cut(boxed.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in "xyz"], F.count("*").alias("n")))
+    targets = [F.col(c).alias(f"t{c}") for c in "xyz"]
+    within = centroids.select(*keys, *boxes(epsilon), "x", "y", "z").join(around(centroids.select(*boxes(epsilon), *targets, "n"), 1), BOX).where(_d2() <= epsilon * epsilon)
+    dense = within.groupBy(*keys).agg(F.sum("n").alias("near"), *[F.first(c).alias(c) for c in "xyz"]).where(F.col("near") >= samples)
+    side = epsilon / 3**0.5
+    dense = cut(dense.select(*keys, *boxes(side), "x", "y", "z"))
+    other = around(dense.select(*boxes(side), *targets, F.struct(*BOX).alias("b")), 2)
+    pairs = dense.select(*BOX, "x", "y", "z", F.struct(*BOX).alias("a")).join(other, BOX).where(F.col("a") < F.col("b")).where(_d2() <= epsilon * epsilon)
+    parts = connected_components(pairs.select("a", "b").distinct())
+    own = dense.select(*keys, F.struct(*BOX).alias("box")).join(parts, F.col("box") == parts["id"], "left").select(*keys, F.coalesce("component", "box").alias("group_id"))
+    members = boxed.join(own, keys, "left")
+    many = members.where("group_id IS NOT NULL").groupBy(F.col("group_id").alias("g")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    kept = members.join(many.select("g"), F.col("group_id") == F.col("g"), "left")
+    return kept.withColumn("group_id", F.col("g")).drop("g", *keys)
+
+
+def object_classes(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, peel: dict | None = None, **options) -> DataFrame:
+    """Groups of medium vegetation that look like a car, else a ghost, else a person; then what is left of medium vegetation (or of the classes that `peel` names) in the cars' boxes."""
+    found = cut(density_groups(points.where(is_class(MED_VEG)), **options).where("group_id IS NOT NULL"))
     kind = F.when(is_car(), car).when(is_ghost(), ghost).when(is_pedestrian(), person)
-    kinds = cluster_shapes(clustered).select("cluster_id", kind.alias("kind")).where("kind IS NOT NULL")
-    new = clustered.join(kinds, "cluster_id").select("point_id", "kind")
-    return points.join(new, "point_id", "left").withColumn("cls", F.coalesce("kind", "cls").cast("int")).drop("kind")
+    kinds = cut(group_shapes(found).select("group_id", kind.alias("kind"), "xmin", "xmax", "ymin", "ymax", "zmax").where("kind IS NOT NULL"))
+    new = found.join(kinds.select("group_id", "kind"), "group_id").select("point_id", "kind")
+    named = points.join(new, "point_id", "left").withColumn("cls", F.coalesce("kind", "cls").cast("int")).drop("kind")
+    return peel_car_volume(named, kinds.where(F.col("kind") == car).drop("group_id", "kind"), target=car, **({"sources": (MED_VEG,)} | (peel or {})))
 
 
 def extract_cars(points: DataFrame, sources, target: int = VEHICLE, min_h: float = 0.10, max_h: float | None = None, strict: bool = False, least: int = 25, samples: int = 6, epsilon: float = 0.45, **options) -> DataFrame:
-    """Clusters of source points in a height band that look like cars."""
+    """Groups of source points in a height band that look like cars."""
     h = height()
     band = is_class(*sources) & (h > min_h) if max_h is None else is_class(*sources) & (h > min_h) & (h <= max_h)
-    clustered = density_clusters(points.where(band), least, samples, epsilon, **options).where("cluster_id IS NOT NULL")
-    cars = cluster_shapes(clustered).where(is_car(strict)).select("cluster_id")
-    hit = clustered.join(cars, "cluster_id", "left_semi").select("point_id").withColumn("hit", F.lit(True))
+    found = cut(density_groups(points.where(band), least, samples, epsilon, **options).where("group_id IS NOT NULL"))
+    cars = group_shapes(found).where(is_car(strict)).select("group_id")
+    hit = found.join(cars, "group_id", "left_semi").select("point_id").withColumn("hit", F.lit(True))
     return points.join(hit, "point_id", "left").withColumn("cls", F.when(F.col("hit"), target).otherwise(F.col("cls")).cast("int")).drop("hit")
 
 
-def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius: float = 1.0) -> DataFrame:
+def last_cars(points: DataFrame, target: int = VEHICLE, **options) -> DataFrame:
+    """The final sweep over vegetation: cars among its groups, then what is left of it in the vehicles' boxes."""
+    swept = extract_cars(points, (3, 4, 5), target, **options)
+    return peel_car_volume(swept, vehicle_boxes(swept, target), target=target, sources=(3, 4, 5), pad=0.60, min_h=0.05, dilate=2)
+
+
+def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius: float | None = None) -> DataFrame:
     """point_id of points whose mean distance to their nearest neighbours is over the mean plus ratio deviations.
 
-    Neighbours are sought within `radius` first; points that have too few there
-    go on with twice the radius until they have all, so no distance is cut.
-    Points without finite coordinates are neither judged nor neighbours.
+    Neighbours are sought within `radius` first (by default the one that holds
+    twice as many at the cloud's mean density); points that have too few there go
+    on with twice the radius until they have all, so no distance is cut. Points
+    without finite coordinates are neither judged nor neighbours.
     """
     finite = [F.abs(F.coalesce(F.col(c), F.lit(float("nan")))) < float("inf") for c in "xyz"]
     p = points.select("point_id", "x", "y", "z").where(finite[0] & finite[1] & finite[2])
@@ -165,17 +103,15 @@ def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius
     k = min(neighbours, n - 1)
     if k < 1:
         return points.select("point_id").limit(0)
-    boxes = [F.struct(*[(F.col(f"b{c}") + i).alias(f"b{c}") for c, i in zip("xyz", ijk, strict=True)]) for ijk in product((-1, 0, 1), repeat=3)]
-    d = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2 + (F.col("z") - F.col("tz")) ** 2)
-    first = Window.partitionBy("t").orderBy("d")
+    radius = radius or max((2 * k * max(spans[0], 1e-3) * max(spans[1], 1e-3) / (3.14 * n)) ** 0.5, 1e-3)
+    first = Window.partitionBy("t").orderBy("d2")
     left, each, last = p, None, False
     while not last:
         last = radius > sum(spans)
-        boxed = lambda q: q.select("*", *[F.floor(F.col(c) / radius).alias(f"b{c}") for c in "xyz"])  # noqa: B023, E731
-        t = boxed(left).select(F.col("point_id").alias("t"), *[F.col(c).alias(f"t{c}") for c in "xyz"], F.explode(F.array(*boxes)).alias("b")).select("t", "tx", "ty", "tz", "b.*")
-        near = boxed(p).join(t, ["bx", "by", "bz"]).where("point_id <> t").select("t", d.alias("d")).where(F.col("d") < radius)
+        targets = around(left.select(*boxes(radius), F.col("point_id").alias("t"), *[F.col(c).alias(f"t{c}") for c in "xyz"]), 1)
+        near = p.select(*boxes(radius), "point_id", "x", "y", "z").join(targets, BOX).where("point_id <> t").select("t", _d2().alias("d2")).where(F.col("d2") < radius * radius)
         nearest = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k)
-        found = cut(nearest.groupBy(F.col("t").alias("point_id")).agg(F.count("*").alias("n"), F.avg("d").alias("m")).where(F.col("n") == k).select("point_id", "m"))
+        found = cut(nearest.groupBy(F.col("t").alias("point_id")).agg(F.count("*").alias("n"), F.avg(F.sqrt("d2")).alias("m")).where(F.col("n") == k).select("point_id", "m"))
         each = found if each is None else each.union(found)
         left = cut(left.join(found, "point_id", "left_anti"))
         last = last or left.isEmpty()

@@ -36,7 +36,8 @@ def mark(points: DataFrame, cells: DataFrame, name: str = "hit", keys: list[str]
 def dense(cells: DataFrame, value: str) -> DataFrame:
     """The full rectangle from (0, 0) to the greatest ix and iy; holes take the median of the occupied cells."""
     extent = cells.agg(F.max("ix").alias("nx"), F.max("iy").alias("ny"), F.percentile(value, 0.5).alias("__fill"))
-    every = extent.select(F.explode(F.sequence(F.lit(0).cast("long"), "nx")).alias("ix"), "ny", "__fill").select("ix", F.explode(F.sequence(F.lit(0).cast("long"), "ny")).alias("iy"), "__fill")
+    # one column of cells a row first, so that the rectangle is made by all tasks
+    every = extent.select(F.explode(F.sequence(F.lit(0).cast("long"), "nx")).alias("ix"), "ny", "__fill").repartition("ix").select("ix", F.explode(F.sequence(F.lit(0).cast("long"), "ny")).alias("iy"), "__fill")
     return every.join(cells, CELL, "left").select("ix", "iy", F.coalesce(value, "__fill").alias(value))
 
 

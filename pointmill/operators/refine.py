@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..sources.points import BUILDING, height
 from . import grid
-from .spatial import nearest
+from .spatial import nearest_distance
 
 FEATURES = ["h", "log_n", "v_span", "v_hmean", "inten", "d_bldg", "cls_f", "h030", "h220", "h400"]
 
@@ -22,20 +22,10 @@ def intensity_norm(points: DataFrame) -> DataFrame:
 
 
 def building_distance(points: DataFrame, tall: float = 3.5, limit: float = 20.0) -> DataFrame:
-    """point_id, d_bldg: distance to the nearest tall building point, at most `limit`. Rings of growing buckets spare far points the wide search."""
-    target = (F.col("cls") == BUILDING) & (height() >= tall)
-    best, left, radius = None, points, 1.0
-    towers = points.where(target).select("point_id", "x", "y")
-    while True:
-        radius = min(radius, limit)
-        both = left.select("point_id", "x", "y", F.lit(False).alias("t")).union(towers.select("point_id", "x", "y", F.lit(True).alias("t")))
-        found = nearest(both, ~F.col("t"), F.col("t"), radius, ["point_id"]).select("point_id", F.sqrt("d2").alias("d_bldg"))
-        best = found if best is None else best.union(found)
-        left = left.join(found, "point_id", "left_anti")
-        if radius >= limit:
-            break
-        radius *= 5
-    return points.select("point_id").join(best, "point_id", "left").select("point_id", F.coalesce("d_bldg", F.lit(limit)).alias("d_bldg"))
+    """point_id, d_bldg: distance to the nearest tall building point, at most `limit`."""
+    towers = points.where((F.col("cls") == BUILDING) & (height() >= tall))
+    found = nearest_distance(points, towers, limit)
+    return points.select("point_id").join(found, "point_id", "left").select("point_id", F.coalesce("distance", F.lit(limit)).alias("d_bldg"))
 
 
 def features(points: DataFrame, voxel: float = 0.35) -> DataFrame:

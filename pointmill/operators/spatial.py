@@ -4,36 +4,97 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions.storage import cut
 
-def _bucketed(points: DataFrame, radius: float, spread: bool) -> DataFrame:
-    bx, by = F.floor(F.col("x") / radius), F.floor(F.col("y") / radius)
-    if not spread:
-        return points.withColumn("bx", bx).withColumn("by", by)
-    near = F.explode(F.array(*[F.struct((bx + i).alias("bx"), (by + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    return points.withColumn("b", near).select(*points.columns, "b.bx", "b.by")
+AROUND = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
 
 
-def pairs_within(points: DataFrame, targets: DataFrame, radius: float, keep: list[str]) -> DataFrame:
-    """point_id, d2 and the `keep` columns of each target closer than radius in the plane (strictly).
+def bucket(size: float) -> list[Column]:
+    return [F.floor(F.col("x") / size).alias("bx"), F.floor(F.col("y") / size).alias("by")]
 
-    Only the targets are spread, over the nine buckets around their own; a bucket
-    holds what lies in radius x radius, so the join's size follows the density.
-    """
-    t = _bucketed(targets.select("x", "y", *keep), radius, True).select("bx", "by", F.col("x").alias("tx"), F.col("y").alias("ty"), *[F.col(k).alias(f"t_{k}") for k in keep])
-    p = _bucketed(points.select("point_id", "x", "y"), radius, False)
+
+def spread(targets: DataFrame, size: float, keep: list[str] = ()) -> DataFrame:
+    """bx, by, tx, ty and t_* columns: each target in the nine buckets around its own."""
+    own = targets.select(*bucket(size), F.col("x").alias("tx"), F.col("y").alias("ty"), *[F.col(k).alias(f"t_{k}") for k in keep])
+    near = F.explode(F.array(*[F.struct((F.col("bx") + i).alias("bx"), (F.col("by") + j).alias("by")) for i, j in AROUND])).alias("b")
+    return own.select(near, *own.columns[2:]).select("b.bx", "b.by", *own.columns[2:])
+
+
+def _d2() -> Column:
     dx, dy = F.col("x") - F.col("tx"), F.col("y") - F.col("ty")
-    return p.join(t, ["bx", "by"]).withColumn("d2", dx * dx + dy * dy).where(F.col("d2") < radius * radius).select("point_id", "d2", *[f"t_{k}" for k in keep])
+    return dx * dx + dy * dy
 
 
 def near(points: DataFrame, source: Column, target: Column, radius: float, name: str = "near") -> DataFrame:
-    """Adds a boolean: a source point has a target point closer than radius in the plane."""
-    hit = pairs_within(points.where(source), points.where(target), radius, []).select("point_id").distinct().withColumn(name, F.lit(True))
-    return points.join(hit, "point_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    """Adds a boolean: a source point has a target point closer than radius in the plane (strictly).
+
+    A semi-join stops at a point's first target, so dense surroundings cost no
+    more than thin ones; only the targets are spread over buckets.
+    """
+    p = points.where(source).select("point_id", "x", "y", *bucket(radius)).alias("p")
+    t = spread(points.where(target), radius).alias("t")
+    hit = p.join(t, F.expr("p.bx = t.bx AND p.by = t.by") & (_d2() < radius * radius), "left_semi")
+    return points.join(hit.select("point_id", F.lit(True).alias(name)), "point_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
-def nearest(points: DataFrame, source: Column, target: Column, radius: float, keep: list[str]) -> DataFrame:
-    """point_id, d2 and columns n_* of the nearest target closer than radius, ties to the smaller target id. Partial minima shrink it before the shuffle."""
-    pairs = pairs_within(points.where(source), points.where(target), radius, ["point_id", *[k for k in keep if k != "point_id"]])
-    best = F.min(F.struct("d2", "t_point_id", *[f"t_{k}" for k in keep if k != "point_id"])).alias("best")
-    return pairs.groupBy("point_id").agg(best).select("point_id", "best.d2", *[F.col(f"best.t_{k}").alias(f"n_{k}") for k in keep])
+def nearest(points: DataFrame, source: Column, target: Column, radius: float, keep: list[str], first: float | None = None) -> DataFrame:
+    """point_id, d2 and columns n_* of the nearest target closer than radius, ties to the smaller target id.
+
+    The search begins with a small radius; what finds a target there is done, the
+    rest goes on with twice the radius. Partial minima shrink the pairs before the shuffle.
+    """
+    extra = [k for k in keep if k != "point_id"]
+    targets = points.where(target).select("point_id", "x", "y", *extra)
+    left, found, reach = points.where(source).select("point_id", "x", "y"), None, first or radius / 16
+    while True:
+        reach = min(reach, radius)
+        pairs = left.select("point_id", "x", "y", *bucket(reach)).join(spread(targets, reach, ["point_id", *extra]), ["bx", "by"]).withColumn("d2", _d2()).where(F.col("d2") < reach * reach)
+        best = F.min(F.struct("d2", "t_point_id", *[f"t_{k}" for k in extra])).alias("best")
+        new = pairs.groupBy("point_id").agg(best).select("point_id", "best.d2", *[F.col(f"best.t_{k}").alias(f"n_{k}") for k in keep])
+        if reach >= radius:
+            return new if found is None else found.union(new)
+        new = cut(new)
+        found = new if found is None else found.union(new)
+        left = cut(left.join(new, "point_id", "left_anti"))
+        reach = radius if left.isEmpty() else reach * 2
+
+
+def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest: float = 0.16) -> DataFrame:
+    """point_id, distance to the nearest target in the plane, for points that have one closer than limit.
+
+    Occupied cells of both sides are compared first, from large cells to small
+    ones: a pair of cells lives while its least possible distance is not above
+    the least greatest possible one of its point cell. Only points and targets of
+    the cells that are left meet, so far points cost as little as near ones.
+    """
+    levels = 0
+    while limit / 2 ** (levels + 1) >= finest:
+        levels += 1
+    size = limit / 2**levels
+    p = points.select("point_id", "x", "y", *bucket(size))
+    t = cut(targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")).distinct())
+    mine, theirs = cut(p.select("bx", "by").distinct()), cut(t.select("cx", "cy").distinct())
+    up = lambda c, n: F.floor(F.col(c) / 2**n)
+    least = lambda a, b: F.greatest(F.abs(F.col(a) - F.col(b)) - 1, F.lit(0))
+    most = lambda a, b: F.abs(F.col(a) - F.col(b)) + 1
+    pairs = mine.select(up("bx", levels).alias("bx"), up("by", levels).alias("by")).distinct()
+    top = theirs.select(up("cx", levels).alias("cx"), up("cy", levels).alias("cy")).distinct()
+    beside = F.explode(F.array(*[F.struct((F.col("cx") + i).alias("bx"), (F.col("cy") + j).alias("by")) for i, j in AROUND])).alias("b")
+    pairs = pairs.join(top.select("cx", "cy", beside).select("cx", "cy", "b.*"), ["bx", "by"])
+    for level in range(levels - 1, -1, -1):
+        child = lambda table, a, b: table.select(up(a, level).alias(f"n{a}"), up(b, level).alias(f"n{b}")).distinct().select(F.floor(F.col(f"n{a}") / 2).alias(a), F.floor(F.col(f"n{b}") / 2).alias(b), f"n{a}", f"n{b}")  # noqa: B023, E731
+        down = pairs.join(child(mine, "bx", "by"), ["bx", "by"]).join(child(theirs, "cx", "cy"), ["cx", "cy"]).select(*[F.col(f"n{c}").alias(c) for c in ("bx", "by", "cx", "cy")])
+        bounds = down.withColumn("low", least("bx", "cx") ** 2 + least("by", "cy") ** 2).withColumn("best", F.min(most("bx", "cx") ** 2 + most("by", "cy") ** 2).over(Window.partitionBy("bx", "by")))
+        pairs = cut(bounds.where((F.col("low") <= F.col("best")) & (F.col("low") * size * size * 4**level < limit * limit)).select("bx", "by", "cx", "cy"))
+    # a point's own bound is tighter than its cell's
+    gap = lambda c, v: F.greatest(c * size - F.col(v), F.col(v) - (c + 1) * size, F.lit(0.0))
+    width = lambda c, v: F.greatest(F.abs(F.col(v) - c * size), F.abs(F.col(v) - (c + 1) * size))
+    cells = p.join(pairs.groupBy("bx", "by").agg(F.collect_list(F.struct("cx", "cy")).alias("cells")), ["bx", "by"])
+    best = F.array_min(F.transform("cells", lambda c: width(c["cx"], "x") ** 2 + width(c["cy"], "y") ** 2))
+    cells = cells.withColumn("best", best * (1 + 1e-12) + 1e-12)
+    alive = F.filter("cells", lambda c: gap(c["cx"], "x") ** 2 + gap(c["cy"], "y") ** 2 <= F.col("best"))
+    chosen = cells.select("point_id", "x", "y", F.explode(alive).alias("c")).select("point_id", "x", "y", "c.cx", "c.cy")
+    found = chosen.join(t, ["cx", "cy"]).groupBy("point_id").agg(F.min(_d2()).alias("d2"))
+    return found.where(F.col("d2") < limit * limit).select("point_id", F.sqrt("d2").alias("distance"))

@@ -40,7 +40,7 @@ def refiner_surface(points: DataFrame, cell: float = 1.0, least: int = 100) -> D
     scalars = points.agg(F.count_if(ground).alias("n"), F.percentile("z", 0.5).alias("all"), F.percentile(F.when(ground, F.col("z")), 0.5).alias("mid"))
     extent = cells.agg(F.max("ix").alias("nx"), F.max("iy").alias("ny"))
     zero = F.lit(0).cast("long")
-    full = extent.select(F.explode(F.sequence(zero, "nx")).alias("ix"), "ny").select("ix", F.explode(F.sequence(zero, "ny")).alias("iy"))
+    full = extent.select(F.explode(F.sequence(zero, "nx")).alias("ix"), "ny").repartition("ix").select("ix", F.explode(F.sequence(zero, "ny")).alias("iy"))
     filled = full.join(cells, grid.CELL, "left").join(F.broadcast(scalars)).select("ix", "iy", F.when(F.col("n") < least, F.col("all")).otherwise(F.coalesce("gz", "mid")).alias("gz"))
     return grid.erode(filled, "gz", 3)
 
@@ -50,6 +50,12 @@ def with_surface(points: DataFrame, surface: DataFrame, cell: float) -> DataFram
     return grid.with_cells(points.drop("gz"), cell).join(surface, grid.CELL, "left").drop(*grid.CELL)
 
 
+def radius_low_points(points: DataFrame, depth: float = 0.2, cell: float = 0.5) -> DataFrame:
+    """Points more than `depth` below their cell's least z. As that least z is over the same points there are none for any depth of 0 or more: a stated no-op."""
+    with_low = grid.with_cells(points, cell).join(cell_heights(points, cell), grid.CELL)
+    return with_low.where(F.col("z") < F.col("low") - depth).select("point_id")
+
+
 def split_ground(points: DataFrame, above: float = 0.06, below: float = 0.04) -> DataFrame:
     """Ground is what lies within the tolerances of gz."""
     return relabel(points, F.col("z").between(F.col("gz") - below, F.col("gz") + above), GROUND)

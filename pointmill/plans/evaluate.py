@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.grid import with_cells
+
 GROUND, BUILDING, NOISE, VEHICLE = 2, 6, 7, 9
 
 
@@ -66,6 +68,39 @@ def top_confusions(matrix: DataFrame, k: int = 25) -> DataFrame:
     return wrong.orderBy(F.desc("n"), "gt", "pred").limit(k)
 
 
+def band_shares(points: DataFrame, bands=(-0.05, 0.05, 0.12, 0.35, 1.0, 2.2, 4.0)) -> DataFrame:
+    """gt, band (its lower edge, null below the first), n and share of the class's points in each height band."""
+    h = F.col("z") - F.col("gz")
+    band = F.array_max(F.filter(F.array(*[F.lit(float(b)) for b in bands]), lambda b: b <= h))
+    counts = points.groupBy("gt", band.alias("band")).agg(F.count("*").alias("n"))
+    total = counts.groupBy("gt").agg(F.sum("n").alias("total"))
+    return counts.join(total, "gt").select("gt", "band", "n", (F.col("n") / F.col("total")).alias("share"))
+
+
+def cell_spans(points: DataFrame, cell: float = 0.5, least: int = 8) -> DataFrame:
+    """gt, n_cells, and percentiles of the height spans and tops of cells with at least so many points of the class."""
+    cells = with_cells(points, cell).groupBy("gt", "ix", "iy").agg(F.count("*").alias("n"), (F.max("z") - F.min("z")).alias("span"), F.max(F.col("z") - F.col("gz")).alias("top"))
+    full = cells.where(F.col("n") >= least)
+    return full.groupBy("gt").agg(F.count("*").alias("n_cells"), *[F.percentile(c, q / 100).alias(f"{c}_p{q}") for c in ("span", "top") for q in (50, 95)])
+
+
+def leave_one_out(scenes: DataFrame, train, refine, truth: str = "gt") -> DataFrame:
+    """scene, accuracy before and after, n_changed: each scene refined by a model of the others (train(rows) -> model, refine(rows, model) -> rows with `new`)."""
+    names = [r[0] for r in scenes.select("scene").distinct().orderBy("scene").collect()]
+    out = None
+    for name in names:
+        rows = refine(scenes.where(F.col("scene") == name), train(scenes.where(F.col("scene") != name)))
+        right = lambda c: F.avg((F.col(c) == F.col(truth)).cast("double"))
+        one = rows.agg(F.lit(name).alias("scene"), F.count("*").alias("n"), right("cls").alias("before"), right("new").alias("after"), F.count_if(F.col("new") != F.col("cls")).alias("n_changed"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def write_report(table: DataFrame, path: str) -> None:
+    """A report as JSON lines: metrics tables are small, so one file."""
+    table.coalesce(1).write.mode("overwrite").json(path)
+
+
 def profile(points: DataFrame) -> DataFrame:
     """Per true class: count, mean and spread of the height, and its percentiles."""
     h = F.col("z") - F.col("gz")

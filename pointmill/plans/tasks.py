@@ -12,7 +12,7 @@ def from_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     """(tasks, subtasks, workers) that the events table stands for."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     state = F.create_map(*[F.lit(x) for p in (("signup", "pending"), ("view", "processing"), ("purchase", "success"), ("click", "skipped"), ("error", "error")) for x in p])
-    task = F.floor(F.col("event_id") / 40).cast("long")
+    task = F.floor(F.col("event_id") / 3).cast("long")
     sub = e.select(
         F.col("event_id").cast("long").alias("id"),
         task.alias("task_id"),
@@ -22,12 +22,12 @@ def from_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         F.concat(F.lit("/out/f"), F.pmod("event_id", F.lit(977)).cast("string"), F.lit(".las")).alias("output_file"),
     )
     workers = sub.groupBy("worker_id").agg(F.max("started_at").alias("last_heartbeat"), F.max_by("id", F.struct("started_at", "id")).alias("current_subtask_id"))
-    tasks = rolled_up(sub).select(F.col("task_id").alias("id"), "status", F.concat(F.lit("/in/"), F.col("task_id").cast("string")).alias("input_path"))
+    tasks = rolled_up(sub).select(F.col("task_id").alias("id"), "status", F.concat(F.lit("/in/"), F.col("task_id").cast("string")).alias("input_path"), F.concat(F.lit("/Out/"), F.pmod("task_id", F.lit(7)).cast("string"), F.lit("_%")).alias("output_path"), F.concat(F.lit("u"), F.col("task_id").cast("string")).alias("uid"))
     return tasks, sub, workers
 
 
-def rolled_up(subtasks: DataFrame) -> DataFrame:
-    """task_id, total, done, status of each task from its subtasks."""
+def rolled_up(subtasks: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    """task_id, total, done, status of each task from its subtasks; with tasks (id, status), one without subtasks is completed and a cancelled one stays so."""
     has = lambda s: F.coalesce(F.bool_or(F.col("status") == s), F.lit(False))
     status = (
         F.when(has("processing"), "processing")
@@ -36,12 +36,18 @@ def rolled_up(subtasks: DataFrame) -> DataFrame:
         .when(has("error"), "error")
         .otherwise("completed")
     )
-    return subtasks.groupBy("task_id").agg(F.count("*").alias("total"), F.count_if(~F.col("status").isin(*OPEN)).alias("done"), status.alias("status"))
+    rolled = subtasks.groupBy("task_id").agg(F.count("*").alias("total"), F.count_if(~F.col("status").isin(*OPEN)).alias("done"), status.alias("status"))
+    if tasks is None:
+        return rolled
+    every = tasks.select(F.col("id").alias("task_id"), F.col("status").alias("before")).join(rolled, "task_id", "left")
+    final = F.when(F.col("before") == "cancelled", "cancelled").otherwise(F.coalesce("status", F.lit("completed")))
+    return every.select("task_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "done")], final.alias("status"))
 
 
 def search(tasks: DataFrame, text: str, status: str | None = None, page: int = 0, size: int = 20) -> DataFrame:
-    """Newest first; the text is literal, any case, in the path or equal to the id."""
-    hit = F.contains(F.lower("input_path"), F.lit(text.lower()))
+    """Newest first; the text is literal, any case, in the uid or one of the paths, or equal to the id."""
+    columns = [c for c in ("uid", "input_path", "output_path") if c in tasks.columns]
+    hit = F.greatest(F.lit(False), F.lit(False), *[F.coalesce(F.contains(F.lower(c), F.lit(text.lower())), F.lit(False)) for c in columns])
     if text.isascii() and text.isdigit() and len(text) < 19:
         hit = hit | (F.col("id") == int(text))
     rows = tasks.where(hit) if status is None else tasks.where(hit & (F.col("status") == status))
@@ -66,6 +72,36 @@ def claim(tasks: DataFrame, subtasks: DataFrame, n: int = 1) -> DataFrame:
     return claimable(tasks, subtasks).orderBy("task_id", "id").limit(n)
 
 
+def claimed(tasks: DataFrame, subtasks: DataFrame, workers: DataFrame, worker: str, now: Column, n: int = 1) -> DataFrame:
+    """subtasks after a worker's claim: first the stale ones go back to pending, then the first n that may be claimed,
+    each still pending and with an output that no other holds, become the worker's."""
+    gone = stale(subtasks, workers, now).select(F.col("id").alias("gone"))
+    back = subtasks.join(gone, F.col("id") == F.col("gone"), "left")
+    free = F.col("gone").isNotNull()
+    none = lambda c: F.when(~free, F.col(c)).alias(c)
+    reclaimed = back.select(*[F.when(free, "pending").otherwise(F.col(c)).alias(c) if c == "status" else none(c) if c in ("worker_id", "started_at") else F.col(c) for c in subtasks.columns])
+    # one claim an output: the first of each
+    once = claimable(tasks, reclaimed).groupBy("output_file").agg(F.min(F.struct("task_id", "id")).alias("first"))
+    taken = once.select("first.*").orderBy("task_id", "id").limit(n).select(F.col("id").alias("taken"))
+    mine = F.col("taken").isNotNull() & (F.col("status") == "pending")
+    put = {"status": F.lit("processing"), "worker_id": F.lit(worker), "started_at": now}
+    held = reclaimed.join(F.broadcast(taken), F.col("id") == F.col("taken"), "left")  # at most n rows
+    return held.select(*[F.when(mine, put[c]).otherwise(F.col(c)).alias(c) if c in put else F.col(c) for c in subtasks.columns])
+
+
+def restarted(tasks: DataFrame, subtasks: DataFrame, task_id: int, new_id: int) -> tuple[DataFrame, DataFrame]:
+    """(task row, subtask rows) of a new task over the files and outputs of an old one, all pending again."""
+    task = tasks.where(F.col("id") == task_id).withColumn("id", F.lit(new_id).cast("long")).withColumn("status", F.lit("pending"))
+    rows = subtasks.where(F.col("task_id") == task_id).select(F.lit(new_id).cast("long").alias("task_id"), "output_file", F.lit("pending").alias("status"))
+    return task, rows
+
+
+def progressed(subtasks: DataFrame, subtask_id: int, worker: str, progress: float) -> DataFrame:
+    """The owner's progress, clamped to 0..100; others change nothing."""
+    hit = (F.col("id") == subtask_id) & (F.col("worker_id") == worker) & (F.col("status") == "processing")
+    return subtasks.withColumn("progress", F.when(hit, min(max(float(progress), 0.0), 100.0)).otherwise(F.col("progress")))
+
+
 def stale(subtasks: DataFrame, workers: DataFrame, now: Column, lease: str = "30 minutes") -> DataFrame:
     """Processing subtasks whose worker is gone, silent past the lease, or long busy with another one."""
     cutoff = now - F.expr(f"INTERVAL {lease}")
@@ -90,6 +126,7 @@ def completed(subtasks: DataFrame, subtask_id: int, worker: str, status: str, ta
 
 def new_tasks(files: DataFrame, first_id: int, root: str, output: str) -> DataFrame:
     """Subtask rows, one a file (column path): relative path kept under the output root."""
-    relative = F.regexp_replace("path", f"^{root.rstrip('/')}/", "")
+    begin = root.rstrip("/") + "/"
+    relative = F.when(F.startswith("path", F.lit(begin)), F.substring("path", len(begin) + 1, 1 << 30)).otherwise(F.col("path"))
     rows = files.where(F.lower("path").rlike(r"\.(las|laz)$"))
     return rows.select(F.lit(first_id).cast("long").alias("task_id"), F.col("path").alias("input_file"), relative.alias("relative_path"), F.concat(F.lit(output.rstrip("/") + "/"), relative).alias("output_file"), F.lit("pending").alias("status"))

@@ -37,6 +37,13 @@ def with_halo(points: DataFrame, tile: float, overlap: float) -> DataFrame:
     return spread.select(*points.columns, "tx", "ty", ((F.col("tx") == F.col("__cx")) & (F.col("ty") == F.col("__cy"))).alias("is_core"))
 
 
+def uncovered(points: DataFrame, judged: DataFrame) -> DataFrame:
+    """point_id of points that no tile has judged, and of those that several have: empty if the cores cover the cloud once."""
+    missing = points.select("point_id").join(judged.select("point_id"), "point_id", "left_anti")
+    twice = judged.groupBy("point_id").agg(F.count("*").alias("n")).where("n > 1").select("point_id")
+    return missing.union(twice)
+
+
 def tile_counts(points: DataFrame, tile: float, overlap: float) -> DataFrame:
     return with_halo(points, tile, overlap).groupBy("tx", "ty").agg(F.count_if("is_core").alias("n_core"), F.count("*").alias("n_load"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.storage import cut
-from .operators import blobs, clusters, grid, refine, rules, spatial, terrain
+from .operators import blobs, density, grid, refine, rules, spatial, terrain
 from .plans import classify, evaluate, tasks, tiles
 from .sources.points import BUILDING, GROUND, NOISE, VEHICLE, height, scene, scene_sql
 
@@ -113,8 +113,8 @@ over_scene(
     f" d AS (SELECT a.ix, b.iy, CASE WHEN k.n < 100 THEN k.a ELSE coalesce(m.low, k.b) END AS low FROM e, k, unnest(range(0, nx + 1)) AS a(ix), unnest(range(0, ny + 1)) AS b(iy) LEFT JOIN m ON m.ix = a.ix AND m.iy = b.iy), {_slide('d', 'low', 1, 'min', 'er')} SELECT ix, iy, round(low, 6) AS gz FROM er",
     lambda p: terrain.refiner_surface(p).select("ix", "iy", F.round("gz", 6).alias("gz")),
 )
-over_scene("ground_residuals", f"{cells(0.5)}, m AS (SELECT *, z - min(z) OVER (PARTITION BY ix, iy) AS r FROM c WHERE cls = 2) SELECT count(*) AS n, round(quantile_cont(r, 0.5), 6) AS p50, round(quantile_cont(r, 0.9), 6) AS p90, round(max(r), 6) AS top, count(*) FILTER (r > 0.1) AS over10 FROM m",
-           lambda p: (lambda g: g.join(g.groupBy("ix", "iy").agg(F.min("z").alias("lo")), ["ix", "iy"]).withColumn("r", F.col("z") - F.col("lo")).agg(F.count("*").alias("n"), F.round(F.percentile("r", 0.5), 6).alias("p50"), F.round(F.percentile("r", 0.9), 6).alias("p90"), F.round(F.max("r"), 6).alias("top"), F.count_if(F.col("r") > 0.1).alias("over10")))(grid.with_cells(p, 0.5).where("cls = 2")))
+over_scene("ground_residuals", f"{cells(0.5)}, m AS (SELECT *, z - min(z) OVER (PARTITION BY ix, iy) AS r FROM c WHERE cls = 2) SELECT count(*) AS n, round(quantile_cont(r, 0.5), 6) AS p50, round(quantile_cont(r, 0.9), 6) AS p90, round(max(r), 6) AS top, round(quantile_cont(r, 0.99), 6) AS p99, count(*) FILTER (r > 0.05) AS over5, count(*) FILTER (r > 0.1) AS over10, count(*) FILTER (r > 0.2) AS over20 FROM m",
+           lambda p: (lambda g: g.join(g.groupBy("ix", "iy").agg(F.min("z").alias("lo")), ["ix", "iy"]).withColumn("r", F.col("z") - F.col("lo")).agg(F.count("*").alias("n"), F.round(F.percentile("r", 0.5), 6).alias("p50"), F.round(F.percentile("r", 0.9), 6).alias("p90"), F.round(F.max("r"), 6).alias("top"), F.round(F.percentile("r", 0.99), 6).alias("p99"), *[F.count_if(F.col("r") > c / 100).alias(f"over{c}") for c in (5, 10, 20)]))(grid.with_cells(p, 0.5).where("cls = 2")))
 
 # height rules
 
@@ -123,7 +123,7 @@ _LAYERS = "CASE WHEN {} THEN CASE WHEN h <= 0.08 THEN 2 WHEN h < {} THEN 3 WHEN
 rule("ground_layers", lambda p: rules.ground_layers(p, rules.is_class(NOISE)), _LAYERS.format("cls = 7", 0.30))
 rule("relayer", rules.relayer, _LAYERS.format("cls IN (3, 4, 5)", 0.35))
 rule("class_reset", lambda p: p.withColumn("cls", F.lit(1)), "1")
-rule("below_surface", lambda p: rules.below_surface(p, rules.is_class(GROUND, NOISE)), "CASE WHEN cls IN (2, 7) AND z < gz - 0.12 THEN 7 END")
+rule("below_surface", lambda p: rules.below_surface(p, rules.is_class(GROUND, 3, 4)), "CASE WHEN cls IN (2, 3, 4) AND z < gz - 0.12 THEN 7 END")
 rule("false_vehicles", lambda p: rules.demote_false_vehicles(p, max_h=0.5), "CASE WHEN cls = 9 AND h < 0.5 THEN 2 END")
 _NEAR = "{name} AS (SELECT DISTINCT s.point_id FROM {source} s JOIN p b ON b.cls = {target} AND abs(b.x - s.x) < {r} AND abs(b.y - s.y) < {r} AND (s.x - b.x) * (s.x - b.x) + (s.y - b.y) * (s.y - b.y) < {r} * {r} WHERE {cond})"
 
@@ -178,8 +178,8 @@ _W = "cls NOT IN (2, 6, 9) AND h >= 0.2"
 rule("detect_walls", lambda p: rules.detect_walls(p, count=(5, 220)), f"CASE WHEN {_W} AND (ix, iy) IN (SELECT (ix, iy) FROM k) THEN 6 END", f"{cells(0.5)}, k AS (SELECT ix, iy FROM c WHERE {_W} GROUP BY ALL HAVING count(*) BETWEEN 5 AND 220 AND quantile_cont(h, 0.9) BETWEEN 0.9 AND 3.4 AND max(z) - min(z) >= 0.55)", "c")
 rule("restore_columns", rules.restore_building_columns, "CASE WHEN cls = 7 AND h BETWEEN 0.4 AND 25 AND ((ix, iy) IN (SELECT (ix, iy) FROM core) OR h >= 2.8 AND (ix, iy) IN (SELECT (ix, iy) FROM ring)) THEN 6 END",
      f"{cells(0.75, 'cls = 6')}, k AS (SELECT ix, iy, max(h) AS top FROM c WHERE cls = 6 GROUP BY ALL), core AS (SELECT ix, iy FROM k WHERE top >= 3.5), ring AS (SELECT ix, iy FROM ({spread('core', 1)}), (SELECT max(ix) AS nx, max(iy) AS ny FROM k) WHERE ix BETWEEN 0 AND nx AND iy BETWEEN 0 AND ny)", "c")
-rule("demote_orphans", rules.demote_orphans, "CASE WHEN cls = 6 AND (ix, iy) NOT IN (SELECT (ix, iy) FROM keep) THEN CASE WHEN h BETWEEN -0.08 AND 0.28 THEN 2 ELSE 7 END END",
-     f"{cells(1.25, 'cls = 6')}, k AS (SELECT ix, iy FROM c WHERE cls = 6 GROUP BY ALL HAVING count(*) >= 25 AND quantile_cont(h, 0.9) >= 3.2 AND max(z) - min(z) >= 2.2 OR quantile_cont(h, 0.9) >= 5), keep AS ({spread('k', 2)})", "c")
+rule("demote_orphans", lambda p: rules.demote_orphans(p, cell=0.5, top=10.5, span=10.0, roof=11.6, dilate=0), "CASE WHEN cls = 6 AND (ix, iy) NOT IN (SELECT (ix, iy) FROM keep) THEN CASE WHEN h BETWEEN -0.08 AND 0.28 THEN 2 ELSE 7 END END",
+     f"{cells(0.5, 'cls = 6')}, keep AS (SELECT ix, iy FROM c WHERE cls = 6 GROUP BY ALL HAVING count(*) >= 25 AND quantile_cont(h, 0.9) >= 10.5 AND max(z) - min(z) >= 10.0 OR quantile_cont(h, 0.9) >= 11.6)", "c")
 over_scene("dilate_cells", f"{cells(0.25)}, k AS (SELECT DISTINCT ix, iy FROM c WHERE cls = 9) {spread('k', 1)}", lambda p: grid.dilate(grid.with_cells(p, 0.25).where("cls = 9").select("ix", "iy").distinct()))
 over_scene("dilate_cross", f"{cells(0.25)}, k AS (SELECT DISTINCT ix, iy FROM c WHERE cls = 9) {spread('k', 1, True)}", lambda p: grid.dilate(grid.with_cells(p, 0.25).where("cls = 9").select("ix", "iy").distinct(), cross=True))
 for _n in (2, 3):
@@ -201,11 +201,14 @@ over_scene("near_building", f"{near_sql('cls <> 6', 0.45)} SELECT point_id FROM
 
 
 def nearest_sql(cond: str, target: str, r: float) -> str:
-    return f"nn AS (SELECT s.point_id, min_by(b.z, ((s.x - b.x) * (s.x - b.x) + (s.y - b.y) * (s.y - b.y), b.point_id)) AS nz FROM p s JOIN p b ON abs(b.x - s.x) < {r} AND abs(b.y - s.y) < {r} AND (s.x - b.x) * (s.x - b.x) + (s.y - b.y) * (s.y - b.y) < {r} * {r} WHERE {cond} AND {target} GROUP BY s.point_id), j AS (SELECT p.*, nz FROM p LEFT JOIN nn USING (point_id))"
+    return f"""tb AS (SELECT b.*, CAST(floor(b.x / {r}) AS BIGINT) + i AS bx, CAST(floor(b.y / {r}) AS BIGINT) + j AS by FROM p b, (VALUES (-1), (0), (1)) v(i), (VALUES (-1), (0), (1)) w(j) WHERE {target}),
+nn AS (SELECT s.point_id, min_by(b.z, ((s.x - b.x) * (s.x - b.x) + (s.y - b.y) * (s.y - b.y), b.point_id)) AS nz FROM p s JOIN tb b ON CAST(floor(s.x / {r}) AS BIGINT) = b.bx AND CAST(floor(s.y / {r}) AS BIGINT) = b.by
+  WHERE (s.x - b.x) * (s.x - b.x) + (s.y - b.y) * (s.y - b.y) < {r} * {r} AND {cond} GROUP BY s.point_id),
+j AS (SELECT p.*, nz FROM p LEFT JOIN nn USING (point_id))"""
 
 
-rule("restore_asphalt", lambda p: rules.restore_asphalt(p, radius=0.3), "CASE WHEN cls IN (7, 3, 4) AND abs(z - nz) <= 0.06 THEN 2 END", nearest_sql("s.cls IN (7, 3, 4)", "b.cls = 2", 0.3), "j")
-rule("peel_near_cars", lambda p: rules.peel_near_cars(p, radius=0.3), "CASE WHEN cls IN (2, 3) AND h <= 0.12 AND z <= nz + 0.2 THEN 9 END", nearest_sql("s.cls IN (2, 3) AND s.h <= 0.12", "b.cls = 9 AND b.h <= 0.55", 0.3), "j")
+rule("restore_asphalt", rules.restore_asphalt, "CASE WHEN cls IN (7, 3, 4) AND abs(z - nz) <= 0.06 THEN 2 END", nearest_sql("s.cls IN (7, 3, 4)", "b.cls = 2", 1.25), "j")
+rule("peel_near_cars", rules.peel_near_cars, "CASE WHEN cls IN (2, 3) AND h <= 0.12 AND z <= nz + 0.2 THEN 9 END", nearest_sql("s.cls IN (2, 3) AND s.h <= 0.12", "b.cls = 9 AND b.h <= 0.55", 0.55), "j")
 
 _BOXES = "bx AS (SELECT min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax, max(z) AS zmax FROM p WHERE gt = 9 GROUP BY floor(x / 6.5), floor(y / 6.0))"
 
@@ -215,9 +218,9 @@ def boxes(p: DataFrame) -> DataFrame:
     return p.where("gt = 9").groupBy(F.floor(F.col("x") / 6.5), F.floor(F.col("y") / 6.0)).agg(*[f(c).alias(f"{c}{s}") for c in "xy" for f, s in ((F.min, "min"), (F.max, "max"))], F.max("z").alias("zmax")).select("xmin", "xmax", "ymin", "ymax", "zmax")
 
 
-def raster_sql(pad: float, radius: int, cell: float = 0.25) -> str:
+def raster_sql(pad: float, radius: int, cell: float = 0.25, boxes: str = _BOXES) -> str:
     edge = lambda c, f, s: f"CAST({f}(({c} {s} {pad} - {c[0]}0) / {cell}) AS BIGINT)"
-    return f"""{_BOXES}, {cells(cell)}, rr AS (SELECT a.ix, b.iy, max(zmax) AS top FROM bx, o_c, unnest(range({edge('xmin', 'floor', '-')}, {edge('xmax', 'ceil', '+')})) AS a(ix), unnest(range({edge('ymin', 'floor', '-')}, {edge('ymax', 'ceil', '+')})) AS b(iy) GROUP BY ALL),
+    return f"""{boxes}, {cells(cell)}, rr AS (SELECT a.ix, b.iy, max(zmax) AS top FROM bx, o_c, unnest(range({edge('xmin', 'floor', '-')}, {edge('xmax', 'ceil', '+')})) AS a(ix), unnest(range({edge('ymin', 'floor', '-')}, {edge('ymax', 'ceil', '+')})) AS b(iy) GROUP BY ALL),
 r AS ({spread('rr', radius, value='top')})"""
 
 
@@ -227,13 +230,16 @@ rule("peel_footprint", lambda p: rules.peel_footprint(p, boxes(p)), "CASE WHEN c
 rule("car_residuals_boxes", lambda p: rules.peel_car_residuals(p, boxes=boxes(p), min_h=0.01), "CASE WHEN cls = 2 AND h BETWEEN 0.01 AND 0.9 AND top IS NOT NULL THEN 9 END", raster_sql(0.75, 3), "c LEFT JOIN r USING (ix, iy)")
 _SEED, _LOWG = "cls = 9 AND h BETWEEN 0.1 AND 3.5", "cls = 2 AND h BETWEEN 0.01 AND 0.9"
 rule("car_residuals_seeds", lambda p: rules.peel_car_residuals(p, min_h=0.01), f"CASE WHEN {_LOWG} AND (ix, iy) IN (SELECT (ix, iy) FROM k) THEN 9 END", f"{cells(0.25, f'({_SEED}) OR ({_LOWG})', shift=0.75)}, s AS (SELECT DISTINCT ix, iy FROM c WHERE {_SEED}), k AS ({spread('s', 3)})", "c")
+_D_BLDG = "t AS (SELECT x, y FROM p WHERE cls = 6 AND h >= 3.5), db AS (SELECT s.point_id, least(coalesce(min(sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y))), 20), 20) AS d_bldg FROM p s LEFT JOIN t ON true GROUP BY s.point_id)"
+over_scene("building_distance", f"{_D_BLDG} SELECT point_id, round(d_bldg, 6) AS d_bldg FROM db", lambda p: refine.building_distance(p).select("point_id", F.round("d_bldg", 6).alias("d_bldg")))
 over_scene(
-    "building_distance",
-    "t AS (SELECT x, y FROM p WHERE cls = 6 AND h >= 3.5) SELECT s.point_id, round(least(coalesce(min(sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y))), 20), 20), 6) AS d_bldg FROM p s LEFT JOIN t ON true GROUP BY s.point_id",
-    lambda p: refine.building_distance(p).select("point_id", F.round("d_bldg", 6).alias("d_bldg")),
+    "voxel_features",
+    f"""{_D_BLDG}, o AS (SELECT min(x) AS x0, min(y) AS y0, min(z) AS z0 FROM p), v AS (SELECT p.*, floor((x - x0) / 0.35) AS vx, floor((y - y0) / 0.35) AS vy, floor((z - z0) / 0.35) AS vz FROM p, o),
+a AS (SELECT vx, vy, vz, ln(1 + count(*)) AS log_n, max(z) - min(z) AS v_span, avg(h) AS v_hmean FROM v GROUP BY ALL), s AS (SELECT quantile_cont(intensity, 0.95) AS p95 FROM p WHERE intensity > 0)
+SELECT point_id, round(h, 6) AS h, round(log_n, 6) AS log_n, round(v_span, 6) AS v_span, round(v_hmean + 1e-9, 6) AS v_hmean, round(least(greatest(intensity / greatest(p95, 1e-6), 0), 2), 6) AS inten, round(d_bldg, 6) AS d_bldg,
+  CAST(cls AS DOUBLE) AS cls_f, CAST(h >= 0.3 AS DOUBLE) AS h030, CAST(h >= 2.2 AS DOUBLE) AS h220, CAST(h >= 4 AS DOUBLE) AS h400 FROM v JOIN a USING (vx, vy, vz) JOIN db USING (point_id), s""",
+    lambda p: refine.features(p).select("point_id", *[F.round(c, 6).alias(c) for c in ("h", "log_n", "v_span", "inten", "d_bldg")], F.round(F.col("v_hmean") + 1e-9, 6).alias("v_hmean"), "cls_f", "h030", "h220", "h400"),
 )
-over_scene("voxel_features", "o AS (SELECT min(x) AS x0, min(y) AS y0, min(z) AS z0 FROM p), v AS (SELECT p.*, floor((x - x0) / 0.35) AS vx, floor((y - y0) / 0.35) AS vy, floor((z - z0) / 0.35) AS vz FROM p, o), a AS (SELECT vx, vy, vz, ln(1 + count(*)) AS log_n, max(z) - min(z) AS v_span, avg(h) AS v_hmean FROM v GROUP BY ALL) SELECT point_id, round(h, 6) AS h, round(log_n, 6) AS log_n, round(v_span, 6) AS v_span, round(v_hmean + 1e-9, 6) AS v_hmean, CAST(h >= 0.3 AS DOUBLE) AS h030, CAST(h >= 2.2 AS DOUBLE) AS h220, CAST(h >= 4 AS DOUBLE) AS h400 FROM v JOIN a USING (vx, vy, vz)",
-           lambda p: refine.features(p).select("point_id", *[F.round(c, 6).alias(c) for c in ("h", "log_n", "v_span")], F.round(F.col("v_hmean") + 1e-9, 6).alias("v_hmean"), "h030", "h220", "h400"))
 
 # blobs
 
@@ -250,8 +256,8 @@ good AS (SELECT * FROM s WHERE l BETWEEN 2 AND 8 AND w BETWEEN 1.15 AND 3.9 AND
 _BLOB = "CASE WHEN point_id IN (SELECT point_id FROM m WHERE lab IN (SELECT lab FROM good)) THEN {} END"
 rule("car_blobs", lambda p: blobs.extract_car_blobs(p, target=66, sources=(3, 4, 5, 9)), _BLOB.format(66), car_sql(_CAR))
 _CURB = "cls = 7 AND h BETWEEN 0.06 AND 0.50"
-rule("restore_curbs", lambda p: blobs.restore_curbs(p, width=0.7), _BLOB.format(3),
-     f"{cells(0.15, _CURB)}, m0 AS (SELECT * FROM c WHERE {_CURB}), k AS (SELECT DISTINCT ix, iy FROM m0), dl AS ({spread('k', 1)}), {components('dl')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)), s AS (SELECT lab, (max(ix) - min(ix)) * 0.15 AS dx, (max(iy) - min(iy)) * 0.15 AS dy FROM comp GROUP BY lab), good AS (SELECT lab FROM s WHERE greatest(dx, dy) >= 0.7 AND least(dx, dy) <= 0.7 AND greatest(dx, dy) / greatest(least(dx, dy), 0.15 / 2) >= 3 AND lab IN (SELECT lab FROM m GROUP BY lab HAVING count(*) >= 4))")
+rule("restore_curbs", lambda p: blobs.restore_curbs(p, cell=0.5, width=6.0), _BLOB.format(3),
+     f"{cells(0.5, _CURB)}, m0 AS (SELECT * FROM c WHERE {_CURB}), k AS (SELECT DISTINCT ix, iy FROM m0), dl AS ({spread('k', 1)}), {components('dl')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)), s AS (SELECT lab, (max(ix) - min(ix)) * 0.5 AS dx, (max(iy) - min(iy)) * 0.5 AS dy FROM comp GROUP BY lab), good AS (SELECT lab FROM s WHERE greatest(dx, dy) >= 0.7 AND least(dx, dy) <= 6.0 AND greatest(dx, dy) / greatest(least(dx, dy), 0.5 / 2) >= 3 AND lab IN (SELECT lab FROM m GROUP BY lab HAVING count(*) >= 4))")
 _PED = "cls = 6 AND h BETWEEN 0.85 AND 2.35"
 rule("demote_pedestrians", lambda p: blobs.demote_pedestrians(p, cell=0.12, count=(3, 2500), span=0.3, aspect=9.0), _BLOB.format(7),
      f"{cells(0.12, _PED)}, m0 AS (SELECT * FROM c WHERE {_PED}), k AS (SELECT DISTINCT ix, iy FROM m0), {components('k')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)), s AS (SELECT lab, count(*) AS n, greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, max(z) - min(z) AS dz, avg(h) AS mean FROM m GROUP BY lab), good AS (SELECT lab FROM s WHERE n BETWEEN 3 AND 2500 AND w <= 0.55 AND l <= 0.95 AND l / greatest(w, 0.04) <= 9.0 AND dz BETWEEN 0.3 AND 2.5 AND mean BETWEEN 0.85 AND 2.35)")
@@ -259,9 +265,65 @@ _ISL = "cls = 2 AND z - lz BETWEEN 0.025 AND 0.85"
 rule("peel_islands", lambda p: blobs.peel_islands(p, least=6), _BLOB.format(7),
      f"{cells(0.3, name='c3')}, ls AS (SELECT ix, iy, coalesce(min(z) FILTER (cls = 2), min(z)) AS lz FROM c3 GROUP BY ALL), q AS (SELECT c3.* EXCLUDE (ix, iy), lz FROM c3 JOIN ls USING (ix, iy)), {cells(0.18, _ISL, source='q')}, m0 AS (SELECT * FROM c WHERE {_ISL}), k AS (SELECT DISTINCT ix, iy FROM m0), ok AS ({opened('k', 3)}), {components('ok')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)), s AS (SELECT lab, count(*) AS n, greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, avg(z - lz) AS mean, max(z - lz) AS top FROM m GROUP BY lab), good AS (SELECT lab FROM s WHERE n >= 6 AND l <= 3.5 AND w <= 1.4 AND NOT (mean < 0.025 + 0.005 AND top < 0.025 + 0.025) AND NOT (n > 30000 AND l > 2.5))")
 over_scene("vehicle_boxes", f"{cells(0.5, 'cls = 9')}, m0 AS (SELECT * FROM c WHERE cls = 9), k AS (SELECT DISTINCT ix, iy FROM m0), {components('k')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)) SELECT min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax, max(z) AS zmax, count(*) AS n FROM m GROUP BY lab HAVING greatest(max(x) - min(x), max(y) - min(y)) BETWEEN 1.2 AND 12 AND least(max(x) - min(x), max(y) - min(y)) BETWEEN 0.4 AND 5 AND least(max(x) - min(x), max(y) - min(y)) / greatest(max(x) - min(x), max(y) - min(y)) <= 0.92 AND count(*) >= 80", blobs.vehicle_boxes)
-lattice = lambda p: p.where("gt IN (8, 9)").withColumn("cluster_id", F.floor(F.col("x") / 6.5) * 100 + F.floor(F.col("y") / 6.0) * 10 + F.col("gt"))
-over_scene("cluster_shapes", "k AS (SELECT *, CAST(floor(x / 6.5) * 100 + floor(y / 6.0) * 10 + gt AS BIGINT) AS cluster_id FROM p WHERE gt IN (8, 9)), s AS (SELECT cluster_id, count(*) AS n, greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, max(z) - min(z) AS dz, quantile_cont(h, 0.5) AS p50, quantile_cont(h, 0.9) AS p90 FROM k GROUP BY ALL) SELECT cluster_id, n, round(l, 6) AS long, round(w, 6) AS wide, l BETWEEN 1.2 AND 12 AND w BETWEEN 0.4 AND 5 AND dz BETWEEN 0.2 AND 4 AND p90 BETWEEN 0.12 AND 2.5 AND n >= 20 AND n / greatest(l * w, 0.01) >= 6 AND w / greatest(l, 0.01) <= 0.92 AND dz / greatest(w, 0.05) <= 2.2 AS car, w BETWEEN 0.25 AND 1.0 AND l BETWEEN 0.2 AND 1.4 AND dz <= 2.2 AND p50 BETWEEN 1.0 AND 2.1 AND n >= 5 AS person FROM s",
-           lambda p: blobs.cluster_shapes(lattice(p)).select("cluster_id", "n", F.round("long", 6).alias("long"), F.round("wide", 6).alias("wide"), blobs.is_car().alias("car"), blobs.is_pedestrian(5).alias("person")))
+lattice = lambda p: p.where("gt IN (8, 9)").withColumn("group_id", F.floor(F.col("x") / 6.5) * 100 + F.floor(F.col("y") / 6.0) * 10 + F.col("gt"))
+over_scene("group_shapes", "k AS (SELECT *, CAST(floor(x / 6.5) * 100 + floor(y / 6.0) * 10 + gt AS BIGINT) AS group_id FROM p WHERE gt IN (8, 9)), s AS (SELECT group_id, count(*) AS n, greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, max(z) - min(z) AS dz, quantile_cont(h, 0.5) AS p50, quantile_cont(h, 0.9) AS p90 FROM k GROUP BY ALL) SELECT group_id, n, round(l, 6) AS long, round(w, 6) AS wide, l BETWEEN 1.2 AND 12 AND w BETWEEN 0.4 AND 5 AND dz BETWEEN 0.2 AND 4 AND p90 BETWEEN 0.12 AND 2.5 AND n >= 20 AND n / greatest(l * w, 0.01) >= 6 AND w / greatest(l, 0.01) <= 0.92 AND dz / greatest(w, 0.05) <= 2.2 AS car, w BETWEEN 0.25 AND 1.0 AND l BETWEEN 0.2 AND 1.4 AND dz <= 2.2 AND p50 BETWEEN 1.0 AND 2.1 AND n >= 5 AS person FROM s",
+           lambda p: blobs.group_shapes(lattice(p)).select("group_id", "n", F.round("long", 6).alias("long"), F.round("wide", 6).alias("wide"), blobs.is_car().alias("car"), blobs.is_pedestrian(5).alias("person")))
+
+over_scene(
+    "vehicle_blob_sizes",
+    f"{cells(0.25, 'cls = 9')}, m0 AS (SELECT * FROM c WHERE cls = 9), k AS (SELECT DISTINCT ix, iy FROM m0), {components('k')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)) SELECT count(*) AS n, count(DISTINCT (ix, iy)) AS n_cells, round(greatest(max(x) - min(x), max(y) - min(y)), 6) AS long, round(least(max(x) - min(x), max(y) - min(y)), 6) AS wide FROM m GROUP BY lab HAVING count(DISTINCT (ix, iy)) >= 8",
+    lambda p: blobs.blob_sizes(p).select("n", "n_cells", F.round("long", 6).alias("long"), F.round("wide", 6).alias("wide")),
+)
+
+# density groups
+
+_SPAN = "greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, max(z) - min(z) AS dz, quantile_cont(h, 0.5) AS p50, quantile_cont(h, 0.9) AS p90, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax, max(z) AS zmax"
+_IS_CAR = "l BETWEEN 1.2 AND 12 AND w BETWEEN 0.4 AND 5 AND dz BETWEEN 0.2 AND 4 AND p90 BETWEEN 0.12 AND 2.5 AND n >= 20 AND n / greatest(l * w, 0.01) >= 6 AND w / greatest(l, 0.01) <= 0.92 AND dz / greatest(w, 0.05) <= 2.2"
+_IS_GHOST = "n < 900 AND l > 3.2 AND w < 1.8 AND dz < 2.6 AND n / greatest(l * w, 0.01) < 140 AND NOT dz / greatest(w, 0.05) > 2.2 AND NOT (dz >= 0.45 AND dz / greatest(l, 0.01) > 0.22) AND NOT (l >= 1.2 AND w <= 0.42 AND dz BETWEEN 0.06 AND 0.55)"
+_IS_PERSON = "w BETWEEN 0.25 AND 1.0 AND l BETWEEN 0.2 AND 1.4 AND dz <= 2.2 AND p50 BETWEEN 1.0 AND 2.1 AND n >= 22"
+
+
+def groups_sql(cond: str, least: int, samples: int, epsilon: float, voxel: float = 0.08, source: str = "p") -> str:
+    """SQL of gm: the points of `cond` in density groups, with lab, the number of the group's least cell."""
+    side, reach = f"{epsilon / 3**0.5:.17e}", f"{epsilon * epsilon:.17e}"
+    d2 = "(s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y) + (s.z - t.z) * (s.z - t.z)"
+    at = lambda size: ", ".join(f"CAST(floor({c} / {size}) AS BIGINT) AS b{c}" for c in "xyz")
+    about = lambda table, r: f"(SELECT t.* EXCLUDE (bx, by, bz), bx + i AS bx, by + j AS by, bz + k AS bz FROM {table} t, range({-r}, {r + 1}) a(i), range({-r}, {r + 1}) b(j), range({-r}, {r + 1}) c(k))"
+    return f"""gv AS (SELECT *, floor(x / {voxel}) AS vx, floor(y / {voxel}) AS vy, floor(z / {voxel}) AS vz FROM {source} WHERE {cond}),
+gc AS (SELECT vx, vy, vz, avg(x) AS x, avg(y) AS y, avg(z) AS z, count(*) AS n FROM gv GROUP BY ALL), gb AS (SELECT *, {at(epsilon)} FROM gc),
+gd AS (SELECT s.vx, s.vy, s.vz, any_value(s.x) AS x, any_value(s.y) AS y, any_value(s.z) AS z FROM gb s JOIN {about('gb', 1)} t USING (bx, by, bz) WHERE {d2} <= {reach} GROUP BY ALL HAVING sum(t.n) >= {samples}),
+ge AS (SELECT *, ((bx + 100000) * 1000000 + by + 100000) * 1000000 + bz + 100000 AS id FROM (SELECT *, {at(side)} FROM gd)),
+gl AS (SELECT DISTINCT s.id AS a, t.id AS b FROM ge s JOIN {about('ge', 2)} t USING (bx, by, bz) WHERE s.id <> t.id AND {d2} <= {reach}),
+gr(id, lab) USING KEY (id) AS (SELECT DISTINCT id, id FROM ge UNION SELECT gl.b, min(w.lab) FROM gr w JOIN gl ON gl.a = w.id JOIN recurring.gr o ON o.id = gl.b WHERE w.lab < o.lab GROUP BY gl.b),
+gm AS (SELECT gv.*, lab FROM gv JOIN ge USING (vx, vy, vz) JOIN gr ON gr.id = ge.id QUALIFY count(*) OVER (PARTITION BY lab) >= {least})"""
+
+
+_BAND = "cls IN (3, 4, 5, 9) AND h > 0.08 AND h <= 2.5"
+in_band = lambda p: p.where("cls IN (3, 4, 5, 9) AND z - gz > 0.08 AND z - gz <= 2.5")
+over_scene(
+    "density_groups",
+    f"{groups_sql(_BAND, 25, 6, 0.45)} SELECT point_id, lab // 1000000000000 - 100000 AS gx, (lab // 1000000) % 1000000 - 100000 AS gy, lab % 1000000 - 100000 AS gz FROM gm",
+    lambda p: density.density_groups(in_band(p), 25, 6, 0.45).where("group_id IS NOT NULL").select("point_id", F.col("group_id.bx").alias("gx"), F.col("group_id.by").alias("gy"), F.col("group_id.bz").alias("gz")),
+)
+rule("density_cars", lambda p: density.extract_cars(p, (3, 4, 5, 9), 66, 0.08, 2.5), "CASE WHEN point_id IN (SELECT point_id FROM gm WHERE lab IN (SELECT lab FROM cars)) THEN 66 END", f"{groups_sql(_BAND, 25, 6, 0.45)}, s AS (SELECT lab, count(*) AS n, {_SPAN} FROM gm GROUP BY lab), cars AS (SELECT lab FROM s WHERE {_IS_CAR})")
+rule(
+    "object_groups",
+    lambda p: density.object_classes(rules.layers(p)),
+    "CASE WHEN coalesce(kind, cls) = 4 AND h >= 0.06 AND z <= top + 0.4 THEN 66 ELSE kind END",
+    f"q AS (SELECT * REPLACE (CAST({{new}} AS INTEGER) AS cls) FROM p), {groups_sql('cls = 4', 30, 6, 0.4, source='q')}, s AS (SELECT lab, count(*) AS n, {_SPAN} FROM gm GROUP BY lab), kinds AS (SELECT *, CASE WHEN {_IS_CAR} THEN 66 WHEN {_IS_GHOST} THEN 8 WHEN {_IS_PERSON} THEN 67 END AS kind FROM s), {{raster}}, kp AS (SELECT point_id, kind FROM gm JOIN kinds USING (lab)), z AS (SELECT q.*, kind, top FROM q LEFT JOIN kp USING (point_id) JOIN (SELECT point_id, top FROM c LEFT JOIN r USING (ix, iy)) USING (point_id))".format(
+        new="CASE WHEN h < 0 THEN cls WHEN h < 0.35 THEN 3 WHEN h < 2.2 THEN 4 ELSE 5 END", raster=raster_sql(0.45, 1, boxes="bx AS (SELECT * FROM kinds WHERE kind = 66)")
+    ),
+    "z",
+)
+_NEAR_K = "SELECT a.point_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2 FROM"
+over_scene(
+    "outliers",
+    f"""o AS (SELECT point_id, x, y, z, CAST(floor(x) AS BIGINT) AS bx, CAST(floor(y) AS BIGINT) AS by, CAST(floor(z) AS BIGINT) AS bz FROM p), b3 AS (SELECT o.point_id, x, y, z, bx + i AS bx, by + j AS by, bz + k AS bz FROM o, range(-1, 2) a(i), range(-1, 2) b(j), range(-1, 2) c(k)),
+n1 AS ({_NEAR_K} o a JOIN b3 b USING (bx, by, bz) WHERE a.point_id <> b.point_id), w1 AS (SELECT * FROM n1 WHERE d2 < 1), ok AS (SELECT point_id FROM w1 GROUP BY ALL HAVING count(*) >= 20),
+w2 AS ({_NEAR_K} (SELECT * FROM o WHERE point_id NOT IN (SELECT point_id FROM ok)) a JOIN o b ON a.point_id <> b.point_id), w AS (SELECT * FROM w1 WHERE point_id IN (SELECT point_id FROM ok) UNION ALL SELECT * FROM w2),
+m AS (SELECT point_id, avg(sqrt(d2)) AS m FROM (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY d2) <= 20) GROUP BY point_id), l AS (SELECT avg(m) + 2.0 * stddev_pop(m) AS top FROM m) SELECT point_id FROM m, l WHERE m > top""",
+    density.outliers,
+)
 
 # tiles
 
@@ -299,12 +361,17 @@ def _gate_sql() -> str:
 over_scene("release_gate", _gate_sql(), lambda p: evaluate.gate(evaluate.confusion(p), evaluate.confusion(rules.layers(p))))
 over_scene("profile", "SELECT gt, count(*) AS n, round(avg(h), 6) AS mean, round(stddev_pop(h), 6) AS std, " + ", ".join(f"round(quantile_cont(h, {q / 100}), 6) AS p{q}" for q in (5, 25, 50, 75, 95)) + " FROM p GROUP BY gt",
            lambda p: evaluate.profile(p).select("gt", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "p5", "p25", "p50", "p75", "p95")]))
+_EDGES = (-0.05, 0.05, 0.12, 0.35, 1.0, 2.2, 4.0)
+over_scene("band_shares", f"b AS (SELECT gt, CASE {' '.join(f'WHEN h >= {e} THEN {e}' for e in reversed(_EDGES))} END AS band FROM p), k AS (SELECT gt, CAST(band AS DOUBLE) AS band, count(*) AS n FROM b GROUP BY ALL) SELECT gt, band, n, round(n / sum(n) OVER (PARTITION BY gt), 9) AS share FROM k",
+           lambda p: evaluate.band_shares(p).withColumn("share", F.round("share", 9)))
+over_scene("cell_spans", f"{cells(0.5)}, k AS (SELECT gt, ix, iy, max(z) - min(z) AS span, max(h) AS top FROM c GROUP BY ALL HAVING count(*) >= 8) SELECT gt, count(*) AS n_cells, {', '.join(f'round(quantile_cont({c}, {q / 100}), 6) AS {c}_p{q}' for c in ('span', 'top') for q in (50, 95))} FROM k GROUP BY gt",
+           lambda p: evaluate.cell_spans(p).select("gt", "n_cells", *[F.round(f"{c}_p{q}", 6).alias(f"{c}_p{q}") for c in ("span", "top") for q in (50, 95)]))
 over_scene("refiner_override", "s AS (SELECT point_id, cls, CASE WHEN gt = 8 THEN 4 ELSE gt END AS rf, 0.5 + (intensity % 100) / 200 AS conf FROM p) SELECT point_id, CAST(CASE WHEN (cls IN (3, 4, 5, 6, 7, 9) AND conf >= 0.6 OR cls = 2 AND rf <> 2 AND conf >= 0.75 AND rf IN (3, 9, 6)) AND rf <> cls THEN rf ELSE cls END AS INTEGER) AS cls FROM s",
            lambda p: p.withColumn("rf", F.when(F.col("gt") == 8, 4).otherwise(F.col("gt"))).withColumn("conf", 0.5 + F.pmod("intensity", F.lit(100)) / 200).select("point_id", refine.override().cast("int").alias("cls")))
 
 # queue
 
-_Q = """WITH sub AS (SELECT event_id AS id, event_id // 40 AS task_id, 'w' || user_id AS worker_id, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'processing' WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'skipped' ELSE 'error' END AS status, ts AS started_at, '/out/f' || (event_id % 977) || '.las' AS output_file FROM events),
+_Q = """WITH sub AS (SELECT event_id AS id, event_id // 3 AS task_id, 'w' || user_id AS worker_id, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'processing' WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'skipped' ELSE 'error' END AS status, ts AS started_at, '/out/f' || (event_id % 977) || '.las' AS output_file FROM events),
 roll AS (SELECT task_id, count(*) AS total, count(*) FILTER (status NOT IN ('pending', 'processing')) AS done, CASE WHEN bool_or(status = 'processing') THEN 'processing' WHEN bool_or(status = 'pending') THEN 'pending' WHEN bool_or(status = 'error') THEN 'error' ELSE 'completed' END AS status FROM sub GROUP BY task_id),
 wk AS (SELECT worker_id, max(started_at) AS last_heartbeat, max_by(id, (started_at, id)) AS current_subtask_id FROM sub GROUP BY worker_id), busy AS (SELECT DISTINCT output_file FROM sub WHERE status = 'processing')"""
 
@@ -315,27 +382,34 @@ def over_queue(name: str, sql: str, f) -> None:
 
 over_queue("task_rollup", "SELECT * FROM roll", lambda t, s, w: tasks.rolled_up(s))
 over_queue("task_status_counts", "SELECT status, count(*) AS n FROM roll GROUP BY status", lambda t, s, w: tasks.status_counts(t))
-over_queue("task_search", "SELECT task_id AS id, status FROM roll WHERE contains('/in/' || task_id, '1') ORDER BY id DESC LIMIT 20 OFFSET 20", lambda t, s, w: tasks.search(t, "1", page=1).select("id", "status"))
+over_queue("task_search", "SELECT task_id AS id, status FROM roll WHERE contains('/in/' || task_id, 't/3_') OR contains(lower('/Out/' || task_id % 7 || '_%'), 't/3_') OR contains('u' || task_id, 't/3_') ORDER BY id DESC LIMIT 20 OFFSET 20", lambda t, s, w: tasks.search(t, "T/3_", page=1).select("id", "status"))
 over_queue("output_busy", "SELECT output_file FROM busy", lambda t, s, w: tasks.busy_outputs(s))
 _CLAIM = "SELECT sub.task_id, id, output_file FROM sub JOIN roll USING (task_id) WHERE sub.status = 'pending' AND roll.status IN ('pending', 'processing') AND output_file NOT IN (SELECT output_file FROM busy)"
 over_queue("claimable", _CLAIM, lambda t, s, w: tasks.claimable(t, s))
 over_queue("claim_fifo", f"{_CLAIM} ORDER BY sub.task_id, id LIMIT 5", lambda t, s, w: tasks.claim(t, s, 5))
 over_queue("stale_lease", "SELECT id, task_id, worker_id FROM sub JOIN wk USING (worker_id) WHERE status = 'processing' AND (last_heartbeat < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE OR started_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE AND current_subtask_id IS DISTINCT FROM id)", lambda t, s, w: tasks.stale(s, w, F.lit("2024-01-30 12:00:00").cast("timestamp")))
 over_queue("heartbeats", "SELECT * FROM wk", lambda t, s, w: w)
+over_queue(
+    "claim_task",
+    """, gone AS (SELECT id AS gid FROM sub JOIN wk USING (worker_id) WHERE status = 'processing' AND (last_heartbeat < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE OR started_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 MINUTE AND current_subtask_id IS DISTINCT FROM id)),
+re AS (SELECT id, task_id, output_file, CASE WHEN gid IS NOT NULL THEN 'pending' ELSE status END AS status, CASE WHEN gid IS NULL THEN worker_id END AS worker_id FROM sub LEFT JOIN gone ON gid = id),
+can AS (SELECT re.task_id, re.id, output_file FROM re JOIN roll USING (task_id) WHERE re.status = 'pending' AND roll.status IN ('pending', 'processing') AND output_file NOT IN (SELECT output_file FROM re WHERE status = 'processing')),
+got AS (SELECT id AS tid FROM can QUALIFY row_number() OVER (PARTITION BY output_file ORDER BY task_id, id) = 1 ORDER BY task_id, id LIMIT 50)
+SELECT id, CASE WHEN tid IS NOT NULL THEN 'processing' ELSE status END AS status, CASE WHEN tid IS NOT NULL THEN 'w-new' ELSE worker_id END AS worker_id FROM re LEFT JOIN got ON tid = id""",
+    lambda t, s, w: tasks.claimed(t, s, w, "w-new", F.lit("2024-01-30 12:00:00").cast("timestamp"), 50).select("id", "status", "worker_id"),
+)
+over_queue("task_rollup_sticky", "SELECT task_id, total, done, CASE WHEN task_id % 5 = 0 THEN 'cancelled' ELSE status END AS status FROM roll", lambda t, s, w: tasks.rolled_up(s, t.withColumn("status", F.when(F.col("id") % 5 == 0, "cancelled").otherwise(F.col("status")))))
+over_queue("restart_task", "SELECT 1000000 AS task_id, output_file, 'pending' AS status FROM sub WHERE task_id = 7", lambda t, s, w: tasks.restarted(t, s, 7, 1_000_000)[1])
 over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pending' THEN 'cancelled' ELSE status END AS status FROM sub", lambda t, s, w: tasks.cancelled(s, 3).select("id", "status"))
 
-# beyond SQL: density clusters, the forest, the stages; tests hold them against small fixtures
+# beyond SQL: the forest and the stages; tests hold them against small fixtures
 
-over_scene("object_clusters", None, lambda p: clusters.object_classes(p, voxel=0.2, tile=5.0, overlap=2.0).groupBy("cls").agg(F.count("*").alias("n")))
-over_scene("density_cars", None, lambda p: clusters.extract_cars(p, (3, 4, 5, 9), 66, 0.08, 2.5, voxel=0.2, tile=10.0, overlap=5.0).groupBy("cls").agg(F.count("*").alias("n")))
-over_scene("outliers", None, lambda p: clusters.outliers(p, 10, 2.2, 0.5))
-over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).groupBy("cls").agg(F.count("*").alias("n")))
+over_scene("classified", None, lambda p: classify.classify(p).select("point_id", "cls"))
 
 
 @register("forest_refine")
 def forest_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forest learnt from a balanced part of the scene and applied to all of it."""
     table = cut(refine.features(scene(spark, sf_dir)).withColumn("gt", F.when(F.col("gt") == 8, 7).otherwise(F.col("gt"))))
-    model = refine.train(cut(refine.balanced(table, 1000)), trees=10, depth=6)
-    refined = refine.score(table, model).withColumn("cls", refine.override().cast("int"))
-    return evaluate.confusion(refined)
+    model = refine.train(cut(refine.balanced(table, 1000)))
+    return refine.score(table, model).select("point_id", refine.override().cast("int").alias("cls"))

@@ -2,20 +2,26 @@
 
 spark.dataSource.register(LasSource); spark.read.format("las").load(path).
 A partition is a range of records, so one large file is read by many tasks.
-Compressed LAZ files are refused. `write` makes one file from a cloud in
-point_id order, replacing the target only when it is whole.
+Compressed LAZ files are refused. With option raw the whole record comes along
+as bytes, so that a file can be written again with all its other attributes.
+`write` makes one file from a cloud in point_id order: executors write ordered
+parts, which are joined and replace the target only when they are whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import shutil
 import struct
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "point_id bigint, x_raw int, y_raw int, z_raw int, x double, y double, z double, cls int, intensity int"
@@ -48,8 +54,8 @@ class _Range(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str], records: int) -> None:
-        self.paths, self.records = paths, records
+    def __init__(self, paths: list[str], records: int, raw: bool) -> None:
+        self.paths, self.records, self.raw = paths, records, raw
 
     def partitions(self) -> list[_Range]:
         out, base = [], 0
@@ -68,81 +74,133 @@ class _Reader(DataSourceReader):
             for at in range(part.first, part.first + part.count, 100_000):
                 n = min(100_000, part.first + part.count - at)
                 f.seek(h["start"] + at * h["length"])
-                r = np.frombuffer(f.read(n * h["length"]), layout)
+                data = f.read(n * h["length"])
+                r = np.frombuffer(data[: len(data) // h["length"] * h["length"]], layout)
                 if len(r) < n:
                     raise ValueError(f"{part.path} ends before record {at + n}")
                 xyz = [r[c] * s + o for c, s, o in zip("xyz", h["scales"], h["offsets"], strict=True)]
                 cls = (r["c"] & 31 if h["format"] < 6 else r["c"]).astype(np.int32)
                 columns = [np.arange(part.base + at, part.base + at + n), *(r[c].astype(np.int32) for c in "xyz"), *xyz, cls, r["i"].astype(np.int32)]
                 names = ["point_id", "x_raw", "y_raw", "z_raw", "x", "y", "z", "cls", "intensity"]
+                if self.raw:
+                    columns.append(pa.Array.from_buffers(pa.binary(h["length"]), n, [None, pa.py_buffer(data)]).cast(pa.binary()))
+                    names.append("record")
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
 class LasSource(DataSource):
-    """Options: path (a file or a folder, searched for .las in any case), records (points a partition)."""
+    """Options: path (a file or a folder, searched for .las in any case), records (points a partition), raw (true for a column `record` of each record's bytes)."""
 
     @classmethod
     def name(cls) -> str:
         return "las"
 
+    def _raw(self) -> bool:
+        return self.options.get("raw", "false").lower() == "true"
+
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + (", record binary" if self._raw() else "")
 
     def reader(self, schema) -> _Reader:
         path = self.options["path"]
         found = [path] if os.path.isfile(path) else sorted(os.path.join(d, x) for d, _, names in os.walk(path) for x in names if x.lower().endswith((".las", ".laz")))
-        return _Reader(found, int(self.options.get("records", 1_000_000)))
-
-
-def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0.0, 0.0, 0.0)) -> int:
-    """One LAS 1.4 file, format 6, in point_id order; returns the number of points. Rows stream through the driver, a partition at a time."""
-    rows = points.select("point_id", "x", "y", "z", "cls", "intensity").orderBy("point_id")
-    folder = os.path.dirname(os.path.abspath(path))
-    fd, temporary = tempfile.mkstemp(dir=folder, suffix=".writing")
-    low, high, n = np.full(3, np.inf), np.full(3, -np.inf), 0
-    layout = _layout(6, 30)
-    try:
-        with os.fdopen(fd, "wb") as f:
-            f.write(bytes(375))
-            buffer: list = []
-
-            def flush() -> None:
-                nonlocal low, high, n, buffer
-                if buffer:
-                    a = np.array([[r.x, r.y, r.z] for r in buffer])
-                    low, high = np.minimum(low, a.min(0)), np.maximum(high, a.max(0))
-                    out = np.zeros(len(buffer), layout)
+        return _Reader(found, int(self.options.get("records", 1_000_000)), self._raw())
+
+
+def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0.0, 0.0, 0.0), like: str | None = None) -> int:
+    """One LAS file in point_id order; returns the number of points. The folder must be one that executors share.
+
+    A LAS 1.4 file of format 6 with coordinates, class and intensity; or, with `like`, the header and
+    records of that file (points read with option raw) with new classes.
+    """
+    folder, at = os.path.dirname(os.path.abspath(path)), ["point_id", "x", "y", "z", "cls", "intensity", *(["record"] if like else [])]
+    parts = os.path.join(folder, f".writing-{uuid.uuid4().hex}")
+    shape = header(like) if like else {"format": 6, "length": 30}
+    layout = _layout(shape["format"], shape["length"])
+
+    def store(batches):
+        name = os.path.join(parts, f"{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}")
+        low, high, n = np.full(3, np.inf), np.full(3, -np.inf), 0
+        with open(name, "wb") as f:
+            for b in batches:
+                xyz = np.column_stack([b[c].to_numpy() for c in "xyz"])
+                cls = b["cls"].to_numpy().astype(np.uint8)
+                if like:
+                    out = np.frombuffer(b"".join(b["record"].to_pylist()), layout).copy()
+                    out["c"] = cls if shape["format"] >= 6 else (out["c"] & 0xE0) | (cls & 31)
+                else:
+                    out = np.zeros(b.num_rows, layout)
                     for j, c in enumerate("xyz"):
-                        out[c] = np.round((a[:, j] - offsets[j]) / scales[j]).astype(np.int32)
-                    out["i"], out["c"] = [r.intensity or 0 for r in buffer], [r.cls for r in buffer]
-                    f.write(out.tobytes())
-                    n += len(buffer)
-                    buffer = []
-
-            for row in rows.toLocalIterator():
-                buffer.append(row)
-                if len(buffer) >= 50_000:
-                    flush()
-            flush()
+                        out[c] = np.round((xyz[:, j] - offsets[j]) / scales[j]).astype(np.int32)
+                    out["i"], out["c"] = b["intensity"].fill_null(0).to_numpy(), cls
+                f.write(out.tobytes())
+                if b.num_rows:
+                    low, high, n = np.minimum(low, xyz.min(0)), np.maximum(high, xyz.max(0)), n + b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n]), pa.array([low.tolist()]), pa.array([high.tolist()])], ["name", "n", "low", "high"])
+
+    os.makedirs(parts)
+    try:
+        ordered = points.select(*at).repartitionByRange("point_id").sortWithinPartitions("point_id")
+        done = ordered.mapInArrow(store, "name string, n bigint, low array<double>, high array<double>").collect()  # one row a partition
+        done = sorted((r for r in done if r.n), key=lambda r: r.name)
+        n = sum(r.n for r in done)
+        if like:
+            with open(like, "rb") as f:
+                head = f.read(shape["start"])
+        else:
             h = bytearray(375)
             h[:4], h[24], h[25] = b"LASF", 1, 4
             struct.pack_into("<HII", h, 94, 375, 375, 0)
             struct.pack_into("<BHI", h, 104, 6, 30, 0)
             struct.pack_into("<3d", h, 131, *scales)
             struct.pack_into("<3d", h, 155, *offsets)
-            box = [v for j in range(3) for v in (high[j], low[j])] if n else [0.0] * 6
+            box = [v for j in range(3) for v in (max(r.high[j] for r in done), min(r.low[j] for r in done))] if n else [0.0] * 6
             struct.pack_into("<6d", h, 179, *box)
             struct.pack_into("<Q", h, 247, n)
-            f.seek(0)
-            f.write(h)
-        os.replace(temporary, path)
-    except BaseException:
-        if os.path.exists(temporary):
-            os.unlink(temporary)
-        raise
+            head = bytes(h)
+        whole = os.path.join(parts, "whole")
+        with open(whole, "wb") as f:
+            f.write(head)
+            for r in done:
+                with open(r.name, "rb") as part:
+                    shutil.copyfileobj(part, f, 1 << 20)
+        os.replace(whole, path)
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
     return n
 
 
+def load(spark: SparkSession, path: str, **options) -> DataFrame:
+    spark.dataSource.register(LasSource)
+    return spark.read.format("las").options(**options).load(path)
+
+
+def validate(spark: SparkSession, source: str, output: str, receipt: str | None = None) -> bool:
+    """Whether output holds the points of source: as many, on the same scales and offsets, with the same raw coordinates in the same order.
+
+    A missing output is no result; a malformed one, or a file that changes meanwhile, is an error.
+    A receipt of files that passed, known by path, size and time, spares a second check.
+    """
+    if not os.path.exists(output):
+        return False
+    stamp = lambda: [[os.path.abspath(f), os.stat(f).st_size, os.stat(f).st_mtime_ns] for f in (source, output)]
+    before = stamp()
+    if receipt and os.path.exists(receipt):
+        with open(receipt) as f:
+            if json.load(f) == before:
+                return True
+    a, b = header(source), header(output)
+    same = all(a[k] == b[k] for k in ("count", "scales", "offsets")) and same_points(load(spark, source), load(spark, output))
+    if stamp() != before:
+        raise RuntimeError(f"{source} or {output} changed during the check")
+    if same and receipt:
+        fd, temporary = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(receipt)))
+        with os.fdopen(fd, "w") as f:
+            json.dump(before, f)
+        os.replace(temporary, receipt)
+    return same
+
+
 def same_points(source: DataFrame, output: DataFrame) -> bool:
     """Whether both have the same ids with the same raw coordinates."""
     a = source.select("point_id", "x_raw", "y_raw", "z_raw")

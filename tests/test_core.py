@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from pointmill.operators import blobs, clusters, graph, grid, refine, rules, spatial, terrain
+from pointmill.operators import blobs, density, graph, grid, refine, rules, spatial, terrain
 from pointmill.plans import classify, evaluate, tasks, tiles
 from pointmill.queries import ORACLES, QUERIES
 from pointmill.sources import las
@@ -120,30 +120,60 @@ def test_components_of_chains_stars_and_random_edges(spark):
 def test_shapes_in_closed_form_match_numpy(spark):
     r = np.random.default_rng(4)
     xyz = r.normal(size=(200, 3)) @ np.diag([3, 1, 0.5]) @ np.linalg.qr(r.normal(size=(3, 3)))[0]
-    p = cloud(spark, [(*x, 4) for x in xyz]).withColumn("cluster_id", F.lit(1))
+    p = cloud(spark, [(*x, 4) for x in xyz]).withColumn("group_id", F.lit(1))
     values = np.linalg.eigvalsh(np.cov(xyz.T, bias=True))
-    assert math.isclose(blobs.cluster_shapes(p).first().flatness, values[0] / values[-1], rel_tol=1e-6)
+    assert math.isclose(blobs.group_shapes(p).first().flatness, values[0] / values[-1], rel_tol=1e-6)
 
 
-def test_clusters_of_blobs_across_tiles(spark):
+def test_density_groups_match_brute_force(spark):
     r = np.random.default_rng(5)
-    rows = [(*(np.array(c) + r.normal(0, 0.05, 3)), 4) for c in ((1, 1, 1), (9.98, 5, 1), (15, 15, 1)) for _ in range(120)] + [(*r.uniform(0, 20, 3), 4) for _ in range(20)]
+    rows = [(*(np.array(c) + r.normal(0, 0.1, 3)), 4) for c in ((1, 1, 1), (9.98, 5, 1), (15, 15, 1)) for _ in range(120)] + [(*r.uniform(0, 20, 3), 4) for _ in range(60)] + [(3 + i / 4, 9, 1, 4) for i in range(60)] * 2
     p = cloud(spark, rows)
-    got = clusters.density_clusters(p, tile=10.0, overlap=3.0)
-    names = {}
-    for x in got.collect():
-        names.setdefault(x.point_id // 120 if x.point_id < 360 else 3, []).append(x.cluster_id)
-    for k in range(3):
-        top = max(set(names[k]), key=names[k].count)
-        assert top is not None and names[k].count(top) >= 110
-    assert len({max(set(names[k]), key=names[k].count) for k in range(3)}) == 3
-    assert clusters.density_clusters(p.limit(0)).count() == 0
+    for least, samples, epsilon, voxel in ((30, 6, 0.4, 0.08), (10, 2, 0.3, 0.2), (100, 3, 0.26, 0.01)):
+        cells = {}
+        for i, row in enumerate(rows):
+            cells.setdefault(tuple(math.floor(v / voxel) for v in row[:3]), []).append(i)
+        own = list(cells.values())
+        xyz = np.array([np.mean([rows[i][:3] for i in o], axis=0) for o in own])
+        near = ((xyz[:, None] - xyz[None]) ** 2).sum(2) <= epsilon * epsilon
+        dense = near @ np.array([len(o) for o in own]) >= samples
+        label = np.arange(len(own))
+        while True:
+            least_near = np.array([label[near[i] & dense].min() if dense[i] else label[i] for i in range(len(own))])
+            if (least_near == label).all():
+                break
+            label = least_near
+        groups = {}
+        for i in np.flatnonzero(dense):
+            groups.setdefault(label[i], set()).update(own[i])
+        want = {frozenset(g) for g in groups.values() if len(g) >= least}
+        got = {}
+        for x in density.density_groups(p, least, samples, epsilon, voxel).where("group_id IS NOT NULL").collect():
+            got.setdefault(x.group_id, set()).add(x.point_id)
+        assert {frozenset(g) for g in got.values()} == want and want
+    assert density.density_groups(p.limit(0)).count() == 0
+
+
+def test_distances_to_the_nearest_target_match_brute_force(spark):
+    r = np.random.default_rng(8)
+    xy = np.vstack([r.uniform(0, 60, (400, 2)), r.normal((5, 5), 0.3, (200, 2)), [[500.0, 500.0]], r.uniform(-3, 3, (50, 2))])
+    p = cloud(spark, [(*q, 0, 6 if i % 9 == 0 and i < 600 else 2) for i, q in enumerate(xy.tolist())])
+    towers = p.where("cls = 6")
+    t = np.array([q for i, q in enumerate(xy) if i % 9 == 0 and i < 600])
+    d = np.sqrt(((xy[:, None] - t[None]) ** 2).sum(2)).min(1)
+    for limit, finest in ((20.0, 0.16), (5.0, 1.0), (3.0, 0.7)):
+        got = {x.point_id: x.distance for x in spatial.nearest_distance(p, towers, limit, finest).collect()}
+        assert set(got) == set(np.flatnonzero(d < limit).tolist())
+        assert all(abs(got[i] - d[i]) < 1e-9 for i in got)
+    assert spatial.nearest_distance(p, towers.limit(0), 20.0).count() == 0
+    e = {x.point_id: x.d_bldg for x in refine.building_distance(p.withColumn("z", F.lit(9.0))).collect()}
+    assert e[600] == 20.0 and e[0] == 0.0
 
 
 def test_outliers(spark):
     r = np.random.default_rng(6)
     p = cloud(spark, [(*r.uniform(0, 1, 3), 4) for _ in range(300)] + [(1.7, 1.7, 1.7, 4)])
-    assert {x.point_id for x in clusters.outliers(p, 10, 4.0).collect()} == {300}
+    assert {x.point_id for x in density.outliers(p, 10, 4.0).collect()} == {300}
 
 
 def test_outliers_of_sparse_clouds(spark):
@@ -153,8 +183,8 @@ def test_outliers_of_sparse_clouds(spark):
     mean = np.sort(far, axis=1)[:, 1:11].mean(1)
     want = set(np.flatnonzero(mean > mean.mean() + 2.2 * mean.std()).tolist())
     p = cloud(spark, [(*row, 4) for row in xyz.tolist()])
-    assert 540 in want and {x.point_id for x in clusters.outliers(p, 10, 2.2, 0.5).collect()} == want
-    assert clusters.outliers(p.limit(1), 10, 2.2, 0.5).count() == 0 and clusters.outliers(p.limit(5), 10, 2.2, 0.5).count() == 0
+    assert 540 in want and {x.point_id for x in density.outliers(p, 10, 2.2, 0.5).collect()} == want
+    assert density.outliers(p.limit(1), 10, 2.2, 0.5).count() == 0 and density.outliers(p.limit(5), 10, 2.2, 0.5).count() == 0
 
 
 def test_forest_learns_and_overrides(spark):
@@ -189,10 +219,33 @@ def classes_of(df):
     return {r.id: r.status for r in df.collect()}
 
 
+def test_claims_restarts_and_sticky_states(spark):
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    sub = spark.createDataFrame(
+        [(1, 1, "pending", "/o/a", None, None, 0.0), (2, 1, "pending", "/o/a", None, None, 0.0), (3, 2, "processing", "/o/b", "old", "2024-01-01 00:00:00", 5.0), (4, 2, "pending", "/o/c", None, None, 0.0), (5, 3, "pending", "/o/d", None, None, 0.0), (6, 2, "processing", "/o/e", "live", "2024-01-01 23:59:00", 9.0), (7, 2, "pending", "/o/e", None, None, 0.0)],
+        "id long, task_id long, status string, output_file string, worker_id string, started_at string, progress double",
+    ).withColumn("started_at", F.col("started_at").cast("timestamp"))
+    found = spark.createDataFrame([(1, "pending"), (2, "processing"), (3, "cancelled"), (4, "pending")], "id long, status string")
+    workers = spark.createDataFrame([("live", "2024-01-01 23:59:30", 6)], "worker_id string, last_heartbeat string, current_subtask_id long").withColumn("last_heartbeat", F.col("last_heartbeat").cast("timestamp"))
+    got = {r.id: (r.status, r.worker_id) for r in tasks.claimed(found, sub, workers, "me", now, 2).collect()}
+    assert got == {1: ("processing", "me"), 2: ("pending", None), 3: ("processing", "me"), 4: ("pending", None), 5: ("pending", None), 6: ("processing", "live"), 7: ("pending", None)}
+    rolled = {r.task_id: (r.status, r.total) for r in tasks.rolled_up(sub, found).collect()}
+    assert rolled == {1: ("pending", 2), 2: ("processing", 4), 3: ("cancelled", 1), 4: ("completed", 0)}
+    task, rows = tasks.restarted(found, sub, 2, 9)
+    assert task.first().id == 9 and {(r.task_id, r.output_file, r.status) for r in rows.collect()} == {(9, f"/o/{c}", "pending") for c in "bce"}
+    assert {r.progress for r in tasks.progressed(sub, 6, "live", 250).where("id = 6").collect()} == {100.0} and tasks.progressed(sub, 6, "other", 50).where("id = 6").first().progress == 9.0
+    listed = spark.createDataFrame([(1, "pending", "ab%_c", "/in/x", "/out/y"), (2, "error", "u2", "/in/AB%_C", None), (3, "error", "u3", "/in/abxyc", "/OUT/Ab%_c")], "id long, status string, uid string, input_path string, output_path string")
+    assert [r.id for r in tasks.search(listed, "B%_c").collect()] == [3, 2, 1] and [r.id for r in tasks.search(listed, "3").collect()] == [3]
+    files = spark.createDataFrame([("/in.d/(x)/a.las",), ("/in.d/(x)/s/B.LAZ",), ("/in.d/(x)/c.txt",)], "path string")
+    assert {r.output_file for r in tasks.new_tasks(files, 1, "/in.d/(x)", "/out").collect()} == {"/out/a.las", "/out/s/B.LAZ"}
+
+
 def test_tiles_cover_once_and_sizes_are_sane(spark):
     p = cloud(spark, [(x / 2, y / 2, 0, 2) for x in range(30) for y in range(30)])
     halo = tiles.with_halo(p, 5.0, 1.0)
     assert halo.where("is_core").groupBy("point_id").count().where("count <> 1").count() == 0 and halo.where("is_core").count() == 900
+    assert tiles.uncovered(p, halo.where("is_core")).count() == 0 and tiles.uncovered(p, halo.where("is_core AND point_id <> 7")).collect()[0].point_id == 7 and tiles.uncovered(p, halo).count() > 0
+    assert terrain.radius_low_points(p).count() == 0
     assert sum((r.x1 - r.x0) * (r.y1 - r.y0) for r in tiles.tile_grid(0, 14.5, 0, 14.5, 5)) == pytest.approx(14.5**2)
     assert p.where(tiles.window(0, 14.5, 0, 14.5, 14.5, 14.5)).count() == 900 and p.where(tiles.window(0, 5, 0, 5, 14.5, 14.5)).count() == 100
     assert tiles.tile_size(0, 0, 1) == 80.0 and 12 <= tiles.tile_size(10**9, 1000.0, 10**6) <= 35
@@ -209,6 +262,16 @@ def test_las_round_trip(spark, tmp_path):
     rows = back.orderBy("point_id").collect()
     assert [(r.x, r.z, r.cls, r.intensity) for r in rows[:3]] == [(0.0, 0.0, 0, 100), (0.5, -0.001, 1, 101), (1.0, -0.002, 2, 102)]
     assert las.same_points(back, back) and not las.same_points(back, back.where("point_id > 0"))
+    raw = las.load(spark, path, records="700", raw="true")
+    copy = str(tmp_path / "b.las")
+    assert las.write(raw.withColumn("cls", F.lit(9)), copy, like=path) == 2500
+    receipt = str(tmp_path / "receipt.json")
+    assert las.validate(spark, path, copy, receipt) and las.validate(spark, path, copy, receipt) and not las.validate(spark, path, str(tmp_path / "none.las"))
+    assert {r.cls for r in las.load(spark, copy).select("cls").distinct().collect()} == {9} and las.load(spark, copy).agg(F.sum("intensity")).first() == back.agg(F.sum("intensity")).first()
+    las.write(p.withColumn("z", F.col("z") + F.when(F.col("point_id") == 77, 1.0).otherwise(0.0)), copy)
+    assert not las.validate(spark, path, copy, receipt)
+    las.write(p.where("point_id < 2000"), copy)
+    assert not las.validate(spark, path, copy) and [x.name for x in tmp_path.iterdir() if "writing" in x.name] == []
     (tmp_path / "bad.las").write_bytes(b"nonsense")
     with pytest.raises(ValueError):
         las.header(str(tmp_path / "bad.las"))
