@@ -287,13 +287,13 @@ def groups_sql(cond: str, least: int, samples: int, epsilon: float, voxel: float
     """SQL of gm: the points of `cond` in density groups, with lab, the number of the group's least cell."""
     side, reach = f"{epsilon / 3**0.5:.17e}", f"{epsilon * epsilon:.17e}"
     d2 = "(s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y) + (s.z - t.z) * (s.z - t.z)"
-    at = lambda size: ", ".join(f"CAST(floor({c} / {size}) AS BIGINT) AS b{c}" for c in "xyz")
-    about = lambda table, r: f"(SELECT t.* EXCLUDE (bx, by, bz), bx + i AS bx, by + j AS by, bz + k AS bz FROM {table} t, range({-r}, {r + 1}) a(i), range({-r}, {r + 1}) b(j), range({-r}, {r + 1}) c(k))"
+    at = lambda size: ", ".join(f"CAST(floor({c} / {size}) AS BIGINT) AS u{c}" for c in "xyz")
+    about = lambda table, r: f"(SELECT t.* EXCLUDE (ux, uy, uz), ux + i AS ux, uy + j AS uy, uz + k AS uz FROM {table} t, range({-r}, {r + 1}) a(i), range({-r}, {r + 1}) b(j), range({-r}, {r + 1}) c(k))"
     return f"""gv AS (SELECT *, floor(x / {voxel}) AS vx, floor(y / {voxel}) AS vy, floor(z / {voxel}) AS vz FROM {source} WHERE {cond}),
 gc AS (SELECT vx, vy, vz, avg(x) AS x, avg(y) AS y, avg(z) AS z, count(*) AS n FROM gv GROUP BY ALL), gb AS (SELECT *, {at(epsilon)} FROM gc),
-gd AS (SELECT s.vx, s.vy, s.vz, any_value(s.x) AS x, any_value(s.y) AS y, any_value(s.z) AS z FROM gb s JOIN {about('gb', 1)} t USING (bx, by, bz) WHERE {d2} <= {reach} GROUP BY ALL HAVING sum(t.n) >= {samples}),
-ge AS (SELECT *, ((bx + 100000) * 1000000 + by + 100000) * 1000000 + bz + 100000 AS id FROM (SELECT *, {at(side)} FROM gd)),
-gl AS (SELECT DISTINCT s.id AS a, t.id AS b FROM ge s JOIN {about('ge', 2)} t USING (bx, by, bz) WHERE s.id <> t.id AND {d2} <= {reach}),
+gd AS (SELECT s.vx, s.vy, s.vz, any_value(s.x) AS x, any_value(s.y) AS y, any_value(s.z) AS z FROM gb s JOIN {about('gb', 1)} t USING (ux, uy, uz) WHERE {d2} <= {reach} GROUP BY ALL HAVING sum(t.n) >= {samples}),
+ge AS (SELECT *, ((ux + 100000) * 1000000 + uy + 100000) * 1000000 + uz + 100000 AS id FROM (SELECT *, {at(side)} FROM gd)),
+gl AS (SELECT DISTINCT s.id AS a, t.id AS b FROM ge s JOIN {about('ge', 2)} t USING (ux, uy, uz) WHERE s.id <> t.id AND {d2} <= {reach}),
 gr(id, lab) USING KEY (id) AS (SELECT DISTINCT id, id FROM ge UNION SELECT gl.b, min(w.lab) FROM gr w JOIN gl ON gl.a = w.id JOIN recurring.gr o ON o.id = gl.b WHERE w.lab < o.lab GROUP BY gl.b),
 gm AS (SELECT gv.*, lab FROM gv JOIN ge USING (vx, vy, vz) JOIN gr ON gr.id = ge.id QUALIFY count(*) OVER (PARTITION BY lab) >= {least})"""
 
@@ -318,8 +318,8 @@ rule(
 _NEAR_K = "SELECT a.point_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2 FROM"
 over_scene(
     "outliers",
-    f"""o AS (SELECT point_id, x, y, z, CAST(floor(x) AS BIGINT) AS bx, CAST(floor(y) AS BIGINT) AS by, CAST(floor(z) AS BIGINT) AS bz FROM p), b3 AS (SELECT o.point_id, x, y, z, bx + i AS bx, by + j AS by, bz + k AS bz FROM o, range(-1, 2) a(i), range(-1, 2) b(j), range(-1, 2) c(k)),
-n1 AS ({_NEAR_K} o a JOIN b3 b USING (bx, by, bz) WHERE a.point_id <> b.point_id), w1 AS (SELECT * FROM n1 WHERE d2 < 1), ok AS (SELECT point_id FROM w1 GROUP BY ALL HAVING count(*) >= 20),
+    f"""o AS (SELECT point_id, x, y, z, CAST(floor(x) AS BIGINT) AS ux, CAST(floor(y) AS BIGINT) AS uy, CAST(floor(z) AS BIGINT) AS uz FROM p), b3 AS (SELECT o.point_id, x, y, z, ux + i AS ux, uy + j AS uy, uz + k AS uz FROM o, range(-1, 2) a(i), range(-1, 2) b(j), range(-1, 2) c(k)),
+n1 AS ({_NEAR_K} o a JOIN b3 b USING (ux, uy, uz) WHERE a.point_id <> b.point_id), w1 AS (SELECT * FROM n1 WHERE d2 < 1), ok AS (SELECT point_id FROM w1 GROUP BY ALL HAVING count(*) >= 20),
 w2 AS ({_NEAR_K} (SELECT * FROM o WHERE point_id NOT IN (SELECT point_id FROM ok)) a JOIN o b ON a.point_id <> b.point_id), w AS (SELECT * FROM w1 WHERE point_id IN (SELECT point_id FROM ok) UNION ALL SELECT * FROM w2),
 m AS (SELECT point_id, avg(sqrt(d2)) AS m FROM (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY d2) <= 20) GROUP BY point_id), l AS (SELECT avg(m) + 2.0 * stddev_pop(m) AS top FROM m) SELECT point_id FROM m, l WHERE m > top""",
     density.outliers,
