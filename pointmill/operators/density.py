@@ -94,7 +94,7 @@ def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius
 
     Neighbours are sought within `radius` first (by default the one that holds
     twice as many at the cloud's mean density); points that have too few there go
-    on with twice the radius until they have all, so no distance is cut. Points
+    on with a larger radius until they have all, so no distance is cut. Points
     without finite coordinates are neither judged nor neighbours.
     """
     finite = [F.abs(F.coalesce(F.col(c), F.lit(float("nan")))) < float("inf") for c in "xyz"]
@@ -114,7 +114,9 @@ def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius
         found = cut(nearest.groupBy(F.col("t").alias("point_id")).agg(F.count("*").alias("n"), F.avg(F.sqrt("d2")).alias("m")).where(F.col("n") == k).select("point_id", "m"))
         each = found if each is None else each.union(found)
         left = cut(left.join(found, "point_id", "left_anti"))
-        last = last or left.isEmpty()
-        radius *= 2
+        some = left.count()
+        last = last or not some
+        # few and lonely points would meet whole surfaces at once
+        radius *= 2.0 if 20 * some > n else 1.4
     limit = each.agg((F.avg("m") + ratio * F.stddev_pop("m")).alias("limit"))
     return each.join(F.broadcast(limit)).where("m > limit").select("point_id")

@@ -11,24 +11,21 @@ from ..functions.storage import cut, discard
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): each vertex of an edge with the smallest id it can reach.
 
-    Labels take the least label among a vertex and its neighbours, then jump to
-    their label's label, so a chain of n vertices needs about log n rounds. Each
-    round's labels are written to the shared folder, and those before removed; only a
-    count reaches the driver. Edges with a null end are ignored.
+    A round gives each vertex the least label among its own, its neighbours' and
+    that label's own label, so a chain of n vertices needs about log n rounds.
+    Each round's labels are written to the shared folder, and those before
+    removed; only a count reaches the driver. Edges with a null end are ignored.
     """
     pairs = edges.select(F.col(a).alias("s"), F.col(b).alias("t")).where("s IS NOT NULL AND t IS NOT NULL")
     links = cut(pairs.union(pairs.select(F.col("t").alias("s"), F.col("s").alias("t"))).distinct())
-    labels = cut(links.groupBy(F.col("s").alias("id")).agg(F.least(F.min("t"), F.first("s")).alias("c")))
-    old = [labels]
+    labels = cut(links.groupBy(F.col("s").alias("id")).agg(F.least(F.min("t"), F.first("s")).alias("c"), F.lit(True).alias("moved")))
     while True:
-        near = links.join(labels, links["t"] == labels["id"]).groupBy("s").agg(F.min("c").alias("n"))
-        lower = labels.join(near, labels["id"] == near["s"], "left").select("id", "c", F.least("c", F.coalesce("n", "c")).alias("m"))
-        lower = cut(lower)
-        target = lower.select(F.col("id").alias("j"), F.col("m").alias("jm"))
-        jumped = cut(lower.join(target, F.col("m") == F.col("j"), "left").select("id", "c", F.least("m", F.coalesce("jm", "m")).alias("m")))
-        moved = jumped.where("m <> c").limit(1).count()
-        discard(lower, *old)
-        old = [jumped]
-        labels = jumped.select("id", F.col("m").alias("c"))
-        if not moved:
+        own, theirs = labels.select("id", "c"), labels.select(F.col("id").alias("j"), F.col("c").alias("jc"))
+        near = links.join(theirs, F.col("t") == F.col("j")).groupBy("s").agg(F.min("jc").alias("n"))
+        lower = own.join(near, F.col("id") == F.col("s"), "left").select("id", "c", F.least("c", F.coalesce("n", "c")).alias("m"))
+        jumped = lower.join(theirs, F.col("m") == F.col("j"), "left").select("id", F.least("m", F.coalesce("jc", "m")).alias("d"), "c")
+        new = cut(jumped.select("id", F.col("d").alias("c"), (F.col("d") != F.col("c")).alias("moved")))
+        discard(labels)
+        labels = new
+        if labels.where("moved").isEmpty():
             return labels.select("id", F.col("c").alias("component"))

@@ -61,21 +61,25 @@ def nearest(points: DataFrame, source: Column, target: Column, radius: float, ke
         reach = radius if left.isEmpty() else reach * 2
 
 
-def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest: float = 0.16) -> DataFrame:
+def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest: float = 0.1) -> DataFrame:
     """point_id, distance to the nearest target in the plane, for points that have one closer than limit.
 
     Occupied cells of both sides are compared first, from large cells to small
     ones: a pair of cells lives while its least possible distance is not above
-    the least greatest possible one of its point cell. Only points and targets of
-    the cells that are left meet, so far points cost as little as near ones.
+    the least greatest possible one of its point cell. Then each point compares
+    the boxes of the targets in the cells that are left: each side of a box
+    touches a target, so a box near the point bounds the distance tightly. Only
+    the targets of boxes within that bound meet the point.
     """
     levels = 0
     while limit / 2 ** (levels + 1) >= finest:
         levels += 1
     size = limit / 2**levels
     p = points.select("point_id", "x", "y", *bucket(size))
-    t = cut(targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")).distinct())
-    mine, theirs = cut(p.select("bx", "by").distinct()), cut(t.select("cx", "cy").distinct())
+    cell = [F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")]
+    t = cut(targets.select(*cell, F.col("x").alias("tx"), F.col("y").alias("ty")).distinct())
+    sides = [f(c).alias(f"{c}{n}") for c in ("tx", "ty") for f, n in ((F.min, 0), (F.max, 1))]
+    theirs, mine = cut(t.groupBy("cx", "cy").agg(*sides)), cut(p.select("bx", "by").distinct())
     up = lambda c, n: F.floor(F.col(c) / 2**n)
     least = lambda a, b: F.greatest(F.abs(F.col(a) - F.col(b)) - 1, F.lit(0))
     most = lambda a, b: F.abs(F.col(a) - F.col(b)) + 1
@@ -87,14 +91,15 @@ def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest
         child = lambda table, a, b: table.select(up(a, level).alias(f"n{a}"), up(b, level).alias(f"n{b}")).distinct().select(F.floor(F.col(f"n{a}") / 2).alias(a), F.floor(F.col(f"n{b}") / 2).alias(b), f"n{a}", f"n{b}")  # noqa: B023, E731
         down = pairs.join(child(mine, "bx", "by"), ["bx", "by"]).join(child(theirs, "cx", "cy"), ["cx", "cy"]).select(*[F.col(f"n{c}").alias(c) for c in ("bx", "by", "cx", "cy")])
         bounds = down.withColumn("low", least("bx", "cx") ** 2 + least("by", "cy") ** 2).withColumn("best", F.min(most("bx", "cx") ** 2 + most("by", "cy") ** 2).over(Window.partitionBy("bx", "by")))
-        pairs = cut(bounds.where((F.col("low") <= F.col("best")) & (F.col("low") * size * size * 4**level < limit * limit)).select("bx", "by", "cx", "cy"))
-    # a point's own bound is tighter than its cell's
-    gap = lambda c, v: F.greatest(c * size - F.col(v), F.col(v) - (c + 1) * size, F.lit(0.0))
-    width = lambda c, v: F.greatest(F.abs(F.col(v) - c * size), F.abs(F.col(v) - (c + 1) * size))
-    cells = p.join(pairs.groupBy("bx", "by").agg(F.collect_list(F.struct("cx", "cy")).alias("cells")), ["bx", "by"])
-    best = F.array_min(F.transform("cells", lambda c: width(c["cx"], "x") ** 2 + width(c["cy"], "y") ** 2))
-    cells = cells.withColumn("best", best * (1 + 1e-12) + 1e-12)
-    alive = F.filter("cells", lambda c: gap(c["cx"], "x") ** 2 + gap(c["cy"], "y") ** 2 <= F.col("best"))
+        pairs = bounds.where((F.col("low") <= F.col("best")) & (F.col("low") * size * size * 4**level < limit * limit)).select("bx", "by", "cx", "cy")
+    names = ["cx", "cy", "tx0", "tx1", "ty0", "ty1"]
+    near = cut(pairs.join(theirs, ["cx", "cy"]).groupBy("bx", "by").agg(F.collect_list(F.struct(*names)).alias("cells")))
+    to = lambda c, v: F.greatest(c[f"t{v}0"] - F.col(v), F.col(v) - c[f"t{v}1"], F.lit(0.0))
+    near_side = lambda c, v: F.least(F.abs(F.col(v) - c[f"t{v}0"]), F.abs(F.col(v) - c[f"t{v}1"]))
+    far_side = lambda c, v: F.greatest(F.abs(F.col(v) - c[f"t{v}0"]), F.abs(F.col(v) - c[f"t{v}1"]))
+    bound = lambda c: F.least(near_side(c, "x") ** 2 + far_side(c, "y") ** 2, far_side(c, "x") ** 2 + near_side(c, "y") ** 2)
+    cells = p.join(near, ["bx", "by"]).withColumn("best", F.array_min(F.transform("cells", bound)) * (1 + 1e-12) + 1e-12)
+    alive = F.filter("cells", lambda c: to(c, "x") ** 2 + to(c, "y") ** 2 <= F.col("best"))
     chosen = cells.select("point_id", "x", "y", F.explode(alive).alias("c")).select("point_id", "x", "y", "c.cx", "c.cy")
     found = chosen.join(t, ["cx", "cy"]).groupBy("point_id").agg(F.min(_d2()).alias("d2"))
     return found.where(F.col("d2") < limit * limit).select("point_id", F.sqrt("d2").alias("distance"))
