@@ -93,13 +93,17 @@ def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest
         bounds = down.withColumn("low", least("bx", "cx") ** 2 + least("by", "cy") ** 2).withColumn("best", F.min(most("bx", "cx") ** 2 + most("by", "cy") ** 2).over(Window.partitionBy("bx", "by")))
         pairs = bounds.where((F.col("low") <= F.col("best")) & (F.col("low") * size * size * 4**level < limit * limit)).select("bx", "by", "cx", "cy")
     names = ["cx", "cy", "tx0", "tx1", "ty0", "ty1"]
-    near = cut(pairs.join(theirs, ["cx", "cy"]).groupBy("bx", "by").agg(F.collect_list(F.struct(*names)).alias("cells")))
     to = lambda c, v: F.greatest(c[f"t{v}0"] - F.col(v), F.col(v) - c[f"t{v}1"], F.lit(0.0))
     near_side = lambda c, v: F.least(F.abs(F.col(v) - c[f"t{v}0"]), F.abs(F.col(v) - c[f"t{v}1"]))
     far_side = lambda c, v: F.greatest(F.abs(F.col(v) - c[f"t{v}0"]), F.abs(F.col(v) - c[f"t{v}1"]))
     bound = lambda c: F.least(near_side(c, "x") ** 2 + far_side(c, "y") ** 2, far_side(c, "x") ** 2 + near_side(c, "y") ** 2)
-    cells = p.join(near, ["bx", "by"]).withColumn("best", F.array_min(F.transform("cells", bound)) * (1 + 1e-12) + 1e-12)
-    alive = F.filter("cells", lambda c: to(c, "x") ** 2 + to(c, "y") ** 2 <= F.col("best"))
-    chosen = cells.select("point_id", "x", "y", F.explode(alive).alias("c")).select("point_id", "x", "y", "c.cx", "c.cy")
+    # the same of a whole point cell, from its middle: all its points are within half a diagonal of that
+    middle = pairs.join(theirs, ["cx", "cy"]).select("bx", "by", F.struct(*names).alias("c"), ((F.col("bx") + 0.5) * size).alias("x"), ((F.col("by") + 0.5) * size).alias("y"))
+    reach = middle.withColumn("low", F.sqrt(to(F.col("c"), "x") ** 2 + to(F.col("c"), "y") ** 2)).withColumn("best", F.min(F.sqrt(bound(F.col("c")))).over(Window.partitionBy("bx", "by")))
+    near = cut(reach.where(F.col("low") <= F.col("best") + 1.4143 * size).groupBy("bx", "by").agg(F.collect_list("c").alias("cells")))
+    met = lambda q: q.join(near, ["bx", "by"]).select(*[c for c in q.columns if c not in ("bx", "by")], F.explode("cells").alias("c"))
+    best = met(p).groupBy("point_id").agg((F.min(bound(F.col("c"))) * (1 + 1e-12) + 1e-12).alias("best"))
+    alive = met(p.join(best, "point_id")).where(to(F.col("c"), "x") ** 2 + to(F.col("c"), "y") ** 2 <= F.col("best"))
+    chosen = alive.select("point_id", "x", "y", "c.cx", "c.cy")
     found = chosen.join(t, ["cx", "cy"]).groupBy("point_id").agg(F.min(_d2()).alias("d2"))
     return found.where(F.col("d2") < limit * limit).select("point_id", F.sqrt("d2").alias("distance"))
