@@ -404,7 +404,7 @@ over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pendin
 
 # beyond SQL: the forest and the stages; tests hold them against small fixtures
 
-over_scene("classified", None, lambda p: classify.classify(p).select("point_id", "cls"))
+over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).select("point_id", "cls"))
 
 
 @register("forest_refine")
