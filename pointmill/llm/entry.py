@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, packing, pii, quality, secrets, substring_dedup, topk, toxicity, url_filter
+from . import decontaminate, manifest, near_dedup, packing, pii, quality, secrets, substring_dedup, suffix_dedup, topk, toxicity, url_filter, whitening
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_pii": pii.op9_pii,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_suffix_dedup": suffix_dedup.op12_suffix_dedup,
+    "op13_merkle": manifest.op13_merkle,
 }
 
 ORACLES = {
@@ -22,4 +25,6 @@ ORACLES = {
     "op5_substring_dedup": substring_dedup.ORACLE_SQL,
     "op6_topk": topk.ORACLE_SQL,
     "op7_near_dedup": near_dedup.ORACLE_SQL,
+    "op12_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op13_merkle": manifest.ORACLE_SQL,
 }
