@@ -2,24 +2,25 @@
 
 A string of `window` bytes repeats if it also starts elsewhere, in the same text
 or another. Of every `window - gram + 1` neighbouring grams the leftmost one of
-least hash is an anchor, so equal strings hold equal anchors at equal places. An
-anchor's segment is its text from `window - gram` bytes before it to `window`
-bytes after its start; every string that holds it lies in there. Segments alike
-are one entry with a count, so copies never gather: where a segment occurs
-several times all its strings repeat, without a look at the text. Only anchors
-that have several different segments need more. Their segments, one of each, are
-dealt over shards by anchor. A shard sorts the suffixes of its segments, takes
-the neighbours' common prefixes, and finds for each suffix the previous and next
-one in that order that begin at a smaller place; the greater common prefix is its
-longest previous factor, and from there comes its earlier match. Suffixes with a
-factor of `window` bytes are later copies, the places that they point to have
-later copies.
-
-An anchor with more than `most` different segments is split: its strings before
-and after the middle share a longer core with their copies, so the segments are
-dealt again by both cores, and again, until the groups are small or the core is a
-whole string. Hashes only deal segments out, except that segments with equal
-128-bit hashes count as equal.
+least hash is an anchor, so equal strings hold equal anchors at equal places. An anchor's segment is its text
+from `window - gram` bytes before it to `window` bytes after its start; every
+string that holds it lies in there. Segments alike are one entry with a count, so
+copies never gather: where a segment occurs several times all its strings repeat,
+without a look at the text. The strings of a segment fall into two halves, by how
+far before the anchor they start; those of a half share a core, and only halves
+whose core another segment has need more. They are cut out of the texts and dealt
+over shards by core. A shard leaves out what has no string with a second hash
+alike, sorts the suffixes of the rest, takes the neighbours' common prefixes, and
+finds for each suffix the previous and next one in that order that begin at a
+smaller place; the greater common prefix is its longest previous factor, and from
+there comes its earlier match. Suffixes with a factor of `window` bytes are later
+copies, the places that they point to have later copies.
+
+A core with more than `most` different segments around it is split: both halves of
+its strings have longer cores, and what is alike between the outermost of these
+strings is one entry again. A round halves the context that can differ, and with
+none left all are alike, so every group becomes small. Hashes only deal text out,
+except that stretches with equal 128-bit hashes count as equal.
 
 Bytes are those of the UTF-8 text. Null texts and texts shorter than a string
 have none. Rows alike in doc_id and text count as often as they occur, and lose
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from .spark_tools import bit_filter, cut, in_filter, join_counted
 from .words import _POWERS, mix
 
-WINDOW, GRAM = 400, 100
+WINDOW = 400
 BLOCK = 1 << 19
 #: What each byte counts as in a hash.
 VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -100,9 +101,16 @@ def pieces(texts: list[bytes], window: int, gram: int) -> Iterator[list[tuple[in
         yield held
 
 
+def halves(window: int, gram: int) -> list[tuple[int, int]]:
+    """How far before its anchor a string of either half starts, from and to."""
+    middle = (window - gram) // 2
+    return [(0, middle), (middle + 1, window - gram)] if gram < window else [(0, 0)]
+
+
 def occurrences(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """h, seg (hashes of anchor and segment), did, tk, pos, stride, n (places of the anchor, evenly spaced), left, right (the segment's bytes before and from the anchor)."""
-    schema = f"h bigint, seg bigint, {WHO}, pos bigint, stride bigint, n bigint, left int, right int"
+    """h, seg (hashes of anchor and segment), did, tk, pos, stride, n (places of the anchor, evenly spaced), left, right (the segment's bytes before and from the anchor), cores (a hash for each half; 0: it has no strings)."""
+    schema = f"h bigint, seg bigint, {WHO}, pos bigint, stride bigint, n bigint, left int, right int, cores array<int>"
+    parts = halves(window, gram)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +139,14 @@ def occurrences(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 n = np.diff(np.append(head, len(who)))
                 stride = np.where(n > 1, step[np.minimum(head + 1, len(who) - 1)], 0)
                 k = head
-                columns = [h[k].view(np.int64), seg[k].view(np.int64), did[who[k]], tk[who[k]], pos[k], stride, n, left[k].astype(np.int32), right[k].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                here, before, after = at[order][k], left[k], right[k]
+                cores = np.zeros((len(k), len(parts)), np.int32)
+                for c, (a, z) in enumerate(parts):
+                    some = np.maximum(a, window - after) <= np.minimum(z, before)
+                    cores[some, c] = (hashes.of(here[some] - a, here[some] - z + window) >> np.uint64(33)).astype(np.int32) | 1
+                cores = pa.ListArray.from_arrays(pa.array(np.arange(0, cores.size + 1, len(parts), dtype=np.int32)), pa.array(cores.ravel()))
+                columns = [h[k].view(np.int64), seg[k].view(np.int64), did[who[k]], tk[who[k]], pos[k], stride, n, left[k].astype(np.int32), right[k].astype(np.int32), cores]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
     return docs.where(F.octet_length("text") >= window).select("did", "tk", "text").mapInArrow(find, schema)
 
@@ -198,7 +212,7 @@ def _smaller(value: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndar
         ways.append(np.minimum(ways[-1][width:], ways[-1][:-width]))
         width *= 2
     # before[i]: all entries in [before, i) are not smaller; way: least common over (before, i]
-    before, way = np.arange(n), np.full(n, np.iinfo(np.int64).max)
+    before, way = np.arange(n), np.full(n, np.iinfo(np.int32).max, np.int32)
     for k in range(len(lows) - 1, -1, -1):
         start = before - (1 << k)
         can = start >= 0
@@ -211,6 +225,15 @@ def _smaller(value: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.where(found, at, -1), way
 
 
+def _repeated(key: np.ndarray) -> np.ndarray:
+    """Which keys occur more than once."""
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    out = np.zeros(len(key), bool)
+    out[order] = np.append(False, same) | np.append(same, False)
+    return out
+
+
 def longest_previous(data: np.ndarray, room: np.ndarray, place: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(suffix, its longest previous factor, the suffix there) for the suffixes that share `window` bytes with another.
 
@@ -220,8 +243,20 @@ def longest_previous(data: np.ndarray, room: np.ndarray, place: np.ndarray, wind
     """
     none = np.zeros(0, np.int64)
     starts = np.flatnonzero(room >= window)
+    hashes = Hashes(data)
+    starts = starts[_repeated(hashes.of(starts, starts + window))] if len(starts) else starts
     if len(starts) < 2:
         return none, none, none
+    # only what these strings cover is sorted
+    depth = np.zeros(len(data) + 1, np.int64)
+    np.add.at(depth, starts, 1)
+    np.add.at(depth, starts + window, -1)
+    used = np.flatnonzero(np.cumsum(depth[:-1]) > 0)
+    if len(used) < len(data):
+        gap = np.append(np.diff(used) > 1, True)
+        end = used[np.flatnonzero(gap)][np.searchsorted(np.flatnonzero(gap), np.arange(len(used)))]
+        order, factor, source = longest_previous(data[used], np.minimum(room[used], end - used + 1), place[used], window)
+        return used[order], factor, np.where(source >= 0, used[source], -1)
     levels, whole = _levels(data, room, window)
     order = starts[np.lexsort((place[starts], whole[starts]))]
     common = np.append(0, _common(data, levels, whole, order[:-1], order[1:], window))
@@ -231,9 +266,9 @@ def longest_previous(data: np.ndarray, room: np.ndarray, place: np.ndarray, wind
         return none, none, none
     # suffixes in between share less with both sides, so leaving them out hides no long factor
     order, common = order[shared], np.where(close, common, 0)[shared]
-    value = np.unique(place[order], return_inverse=True)[1].astype(np.int64)
+    value, common = np.unique(place[order], return_inverse=True)[1].astype(np.int32), common.astype(np.int32)
     left, left_way = _smaller(value, common)
-    turned = np.append(0, common[:0:-1])
+    turned = np.append(common[:1] * 0, common[:0:-1])
     right, right_way = _smaller(value[::-1], turned)
     right, right_way = np.where(right >= 0, len(order) - 1 - right, -1)[::-1], right_way[::-1]
     factor = np.maximum(left_way, right_way)
@@ -273,53 +308,57 @@ def judged(rows: DataFrame, n_shards: int, window: int, keep_first: bool) -> Dat
     return rows.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards))).groupBy("shard").applyInArrow(search, schema)
 
 
-def split(rows: DataFrame, window: int) -> DataFrame:
-    """Each segment twice, by the cores of the lower and the upper half of its strings, those that start low..high bytes before the anchor."""
-    names = rows.columns
-
-    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {c: k for k, c in enumerate(names)}
-        for b in batches:
-            which, keys, lows, highs = [], [], [], []
-            columns = [b.column(at[c]).to_pylist() for c in ("h", "left", "low", "high", "body")]
-            for i, (h, left, low, high, body) in enumerate(zip(*columns, strict=True)):
-                middle = (low + high) // 2
-                for a, z in ((low, middle), (middle + 1, high)):
-                    if max(a, left + window - len(body)) > min(z, left):
-                        continue  # near a text's end not all strings exist
-                    core = body[left - a : left - z + window]
-                    key = hashlib.blake2b(b"%d %d %d " % (h, a, z) + core, digest_size=8).digest()
-                    for held, value in ((which, i), (keys, int.from_bytes(key, "little", signed=True)), (lows, a), (highs, z)):
-                        held.append(value)
-            new = {"key": pa.array(keys, pa.int64()), "low": pa.array(lows, pa.int32()), "high": pa.array(highs, pa.int32())}
-            out = b.take(pa.array(which, pa.int64()))
-            yield pa.RecordBatch.from_arrays([new.get(c, out.column(k)) for c, k in at.items()], names)
-
-    return rows.mapInArrow(halves, rows.schema)
+COLUMNS = f"key bigint, {WHO}, pos bigint, left int, n bigint, low int, high int, m bigint, body binary"
 
 
-def segments(texts: DataFrame, asked: DataFrame) -> DataFrame:
-    """key, h, m, did, tk, pos, left, n, body, low, high: the bytes of the segments that `asked` lists for each text."""
-    schema = f"key bigint, h bigint, m bigint, {WHO}, pos bigint, left int, n bigint, body binary"
-    fields = ("h", "m", "pos", "left", "n", "right")
+def segments(texts: DataFrame, asked: DataFrame, window: int) -> DataFrame:
+    """COLUMNS for what `asked` lists for each text: the bytes of the strings that start low..high bytes before pos."""
+    names = [c.split()[0] for c in COLUMNS.split(", ")]
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bodies = b.column(2).cast(pa.binary()).to_pylist()
-            lists = b.column(3)
-            size = lists.value_lengths().to_numpy()
-            who = np.repeat(np.arange(b.num_rows), size)
-            flat = lists.flatten()
-            got = {f: flat.field(f).to_numpy().astype(np.int64) for f in fields}
-            low, high = got["pos"] - got["left"], got["pos"] + got["right"]
+            size = b.column(3).value_lengths().to_numpy()
+            who, flat = np.repeat(np.arange(b.num_rows), size), b.column(3).flatten()
+            key, pos, low, high, n, m = (flat.field(f).to_numpy().astype(np.int64) for f in ("key", "pos", "low", "high", "n", "m"))
+            left = np.minimum(pos, high)
+            end = np.minimum(pos - low + window, np.array([len(t) for t in bodies], np.int64)[who])
             for at in range(0, len(who), 10_000):
                 k = slice(at, at + 10_000)
-                body = [bodies[w][a:z] for w, a, z in zip(who[k], low[k], high[k], strict=True)]
+                body = [bodies[w][a:z] for w, a, z in zip(who[k], (pos - left)[k], end[k], strict=True)]
                 ids = [b.column(j).to_numpy()[who[k]] for j in (0, 1)]
-                columns = [got["h"][k], got["h"][k], got["m"][k], *ids, got["pos"][k], got["left"][k].astype(np.int32), got["n"][k], pa.array(body, pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in schema.split(", ")])
+                columns = [key[k], *ids, pos[k], left[k].astype(np.int32), n[k], low[k].astype(np.int32), high[k].astype(np.int32), m[k], pa.array(body, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return texts.join(asked, ["did", "tk"]).select("did", "tk", "text", "asked").mapInArrow(take, COLUMNS)
+
+
+def split(rows: DataFrame, window: int) -> DataFrame:
+    """Each row twice, by the longer cores of the two halves of its strings; body is cut to what these cover, alike is its hash."""
+    names = [*rows.columns, "alike"]
+
+    def cut_in_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            which, new = [], {c: [] for c in ("key", "left", "low", "high", "body", "alike")}
+            columns = [b.column(names.index(c)).to_pylist() for c in ("key", "left", "low", "high", "body")]
+            for i, (key, left, low, high, body) in enumerate(zip(*columns, strict=True)):
+                middle = (low + high) // 2
+                for a, z in ((low, middle), (middle + 1, high)):
+                    if max(a, left + window - len(body)) > min(z, left):
+                        continue  # near a text's end not all strings exist
+                    hashed = lambda data: int.from_bytes(hashlib.blake2b(b"%d %d %d " % (key, a, z) + data, digest_size=8).digest(), "little", signed=True)  # noqa: B023, E731
+                    start = max(left - z, 0)
+                    part = body[start : left - a + window]
+                    values = (hashed(body[left - a : left - z + window]), left - start, a, z, part, hashed(b"%d " % (left - start) + part))
+                    which.append(i)
+                    for c, v in zip(new, values, strict=True):
+                        new[c].append(v)
+            kinds = {"left": pa.int32(), "low": pa.int32(), "high": pa.int32(), "body": pa.binary()}
+            out = b.take(pa.array(which, pa.int64()))
+            made = {c: pa.array(v, kinds.get(c, pa.int64())) for c, v in new.items()}
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else out.column(k) for k, c in enumerate(names)], names)
 
-    return texts.join(asked, ["did", "tk"]).select("did", "tk", "text", "asked").mapInArrow(take, schema)
+    return rows.mapInArrow(cut_in_two, f"{COLUMNS}, alike bigint")
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -329,53 +368,50 @@ def named(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", did.alias("did"), F.xxhash64(text).alias("tk"), text.alias("text"))
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, keep_first: bool = False, most: int = 1000, gram: int | None = None) -> DataFrame:
+def repeats(docs: DataFrame, window: int = WINDOW, keep_first: bool = False, most: int = 2000, gram: int | None = None) -> DataFrame:
     """did, tk, start, end: byte stretches of repeated strings (of later copies only, with keep_first); they may overlap."""
-    gram = gram or max(1, window // 4)
+    gram = gram or max(1, window // 2)
     slim = named(docs).drop("doc_id")
     found = cut(occurrences(slim, window, gram))
     several = found.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     found = cut(only_in(found, bit_filter(several.select("h"), 24)))
-    kinds = found.groupBy("h", "seg").agg(F.sum("n").alias("n"), F.min(F.struct("did", "tk", "pos")).alias("first"), F.first("left").alias("left"), F.first("right").alias("right"))
-    kinds = cut(kinds)
-    groups = cut(kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"))
+    first = F.min(F.struct("did", "tk", "pos")).alias("first")
+    kinds = cut(found.groupBy("h", "seg").agg(F.sum("n").alias("n"), first, *[F.first(c).alias(c) for c in ("left", "right", "cores")]))
 
+    # segments that occur several times
     copies = cut(kinds.where("n > 1").select("h", "seg", "first", F.col("n").alias("total")))
     held = join_counted(found, copies, ["h", "seg"], "total")
     begin = F.when((F.struct("did", "tk", "pos") == F.col("first")) & F.lit(keep_first), 1).otherwise(0)
     held = held.withColumn("begin", begin.cast("bigint")).where("n > begin").withColumn("near", F.col("stride") <= window)
     turns = F.when(F.col("near"), F.array("begin")).otherwise(F.sequence("begin", F.col("n") - 1))
     held = held.withColumn("turn", F.explode(turns)).withColumn("end_turn", F.expr("if(near, n - 1, turn)"))
-    whole = held.selectExpr("did", "tk", "pos - left + turn * stride AS start", "pos + right + end_turn * stride AS end")
-
-    kinds = join_counted(kinds, groups, "h", "m")
-    asked = F.collect_list(F.struct("h", "m", F.col("first.pos").alias("pos"), "left", "n", "right")).alias("asked")
-    asked = cut(kinds.groupBy(F.col("first.did").alias("did"), F.col("first.tk").alias("tk")).agg(asked))
+    out = [held.selectExpr("did", "tk", "pos - left + turn * stride AS start", "pos + right + end_turn * stride AS end")]
+
+    # halves whose core several different segments have
+    limits = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(z).alias("high")) for a, z in halves(window, gram)])
+    cores = F.explode(F.filter(F.arrays_zip(F.col("cores").alias("core"), limits.alias("limit")), lambda x: x["core"] != 0)).alias("c")
+    sides = cut(kinds.select("n", "first.*", cores, "h").select("n", "did", "tk", "pos", "c.limit.*", F.xxhash64("h", "c.core", "c.limit.low").alias("key")))
+    shared = cut(sides.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
+    sides = join_counted(sides, shared, "key", "m")
+    asked = cut(sides.groupBy("did", "tk").agg(F.collect_list(F.struct("key", "pos", "low", "high", "n", "m")).alias("asked")))
     texts = only_in(slim.where("text IS NOT NULL"), bit_filter(asked.select(F.col("tk").alias("h")), 24), "tk")
-    rows = cut(segments(texts.groupBy("did", "tk").agg(F.first("text").alias("text")), asked))
-    few = [rows.where(F.col("m") <= most)]
-    many = rows.where(F.col("m") > most).withColumns({"low": F.lit(0), "high": F.lit(window - gram)})
-    few[0] = few[0].drop("m", "h")
-    alone = []
-    while not many.isEmpty():
-        dealt = cut(split(many, window))
-        counts = cut(dealt.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-        dealt = cut(join_counted(dealt, counts, "key", "c"))
-        few.append(dealt.where(F.col("c") <= most).select(few[0].columns))
-        alone.append(dealt.where((F.col("c") > most) & (F.col("low") == F.col("high"))))
-        many = dealt.where((F.col("c") > most) & (F.col("low") < F.col("high"))).drop("c")
-    few = reduce(DataFrame.unionByName, few)
-    n_shards = few.count() * (2 * window - gram) // 1_000_000 + 1
-    parts = [whole, judged(few, n_shards, window, keep_first)]
-    for same in alone:
-        at = F.struct("did", "tk", F.col("pos") - F.col("low"))
-        if keep_first:
-            first = same.groupBy("key").agg(F.min(at).alias("least"), F.max("c").alias("c"))
-            kept = join_counted(same.drop("c"), cut(first), "key", "c").where(at != F.col("least"))
-        else:
-            kept = same.where("n = 1")
-        parts.append(kept.select("did", "tk", (F.col("pos") - F.col("low")).alias("start"), (F.col("pos") - F.col("low") + window).alias("end")))
-    return reduce(DataFrame.unionByName, parts)
+    rows = cut(segments(texts.groupBy("did", "tk").agg(F.first("text").alias("text")), asked, window))
+    small, large = [rows.where(F.col("m") <= most)], rows.where(F.col("m") > most)
+    while not large.isEmpty():
+        dealt = cut(split(large, window).drop("m"))
+        kinds = cut(dealt.groupBy("key", "alike").agg(F.sum("n").alias("total"), first))
+        dealt = cut(join_counted(dealt, kinds, ["key", "alike"], "total"))
+        is_first = F.struct("did", "tk", "pos") == F.col("first")
+        gone = dealt.where(F.col("total") > 1).where(~is_first if keep_first else F.col("n") == 1)
+        out.append(gone.select("did", "tk", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") - F.col("left") + F.length("body")).alias("end")))
+        shared = cut(kinds.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
+        left = join_counted(dealt.where(is_first).withColumn("n", F.col("total")), shared, "key", "m").select(rows.columns)
+        left = cut(left)
+        small.append(left.where(F.col("m") <= most))
+        large = left.where(F.col("m") > most)
+    small = reduce(DataFrame.unionByName, small)
+    n_shards = small.count() * (window + gram // 2) // 500_000 + 1
+    return reduce(DataFrame.unionByName, [*out, judged(small, n_shards, window, keep_first)])
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -386,7 +422,7 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[head], end[np.append(head[1:], True)]
 
 
-def deduplicate(docs: DataFrame, window: int = WINDOW, keep_first: bool = False, most: int = 1000, kept: bool = True) -> DataFrame:
+def deduplicate(docs: DataFrame, window: int = WINDOW, keep_first: bool = False, most: int = 2000, kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (stretches removed) and kept (the remaining bytes) or, without, kept_sha256."""
     stretches = repeats(docs, window, keep_first, most).groupBy("did", "tk").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     stretches = cut(stretches)
