@@ -3,10 +3,10 @@
 Voxel centroids stand for their points. A centroid is dense if at least
 `samples` points lie within `epsilon` of it, itself counted; dense centroids
 closer than that are connected, and each component of at least `least` points
-is a group. This is the density hierarchy cut at `epsilon`; points that reach
-no dense neighbour are noise. Cells of a diagonal of epsilon hold centroids that
-are connected anyway, so components are found over cells, not over points, and
-no tile cuts a group however long it is.
+is a group. This is the density hierarchy cut at `epsilon`; `density_hierarchy`
+keeps the most stable groups of all cuts up to a distance instead. Links are
+found in the leaves of a quadtree and leave them contracted; what they connect is
+joined across leaves, so no tile cuts a group however long it is.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from ..sources.points import CAR, GHOST, MED_VEG, PEDESTRIAN, VEHICLE, height
 from . import grid
 from .blobs import group_shapes, is_car, is_ghost, is_pedestrian, vehicle_boxes
 from .graph import connected_components
+from .links import links
 from .rules import is_class, peel_car_volume
 
+VOXEL = ["vx", "vy", "vz"]
 BOX = ["bx", "by", "bz"]
 
 
@@ -43,24 +45,99 @@ def _d2() -> Column:
     return sum(((F.col(c) - F.col(f"t{c}")) ** 2 for c in "xyz"), F.lit(0.0))
 
 
-def density_groups(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.4, voxel: float = 0.08) -> DataFrame:
+def _centroids(boxed: DataFrame) -> DataFrame:
+    """id, vx, vy, vz, x, y, z, n: a written table of the voxels of a cloud."""
+    means = boxed.groupBy(*VOXEL).agg(*[F.avg(c).alias(c) for c in "xyz"], F.count("*").alias("n"))
+    return cut(means.withColumn("id", F.monotonically_increasing_id()))
+
+
+def _joined(parts: DataFrame, between: DataFrame) -> DataFrame:
+    """part, node: the least part that each one is connected with."""
+    found = connected_components(between)
+    return parts.select("part").distinct().join(found, F.col("part") == found["id"], "left").select("part", F.coalesce("component", "part").alias("node"))
+
+
+def density_groups(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.4, voxel: float = 0.08, cap: int = 100_000) -> DataFrame:
     """points with group_id (the least cell of the group; null for noise)."""
-    keys = ["vx", "vy", "vz"]
     boxed = grid.with_voxels(points, voxel)
-    centroids = cut(boxed.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in "xyz"], F.count("*").alias("n")))
-    targets = [F.col(c).alias(f"t{c}") for c in "xyz"]
-    within = centroids.select(*keys, *boxes(epsilon), "x", "y", "z").join(around(centroids.select(*boxes(epsilon), *targets, "n"), 1), BOX).where(_d2() <= epsilon * epsilon)
-    dense = within.groupBy(*keys).agg(F.sum("n").alias("near"), *[F.first(c).alias(c) for c in "xyz"]).where(F.col("near") >= samples)
+    centroids = _centroids(boxed)
+    parts, between = links(centroids, [epsilon], samples, cap)
+    dense = parts.where("core = 0")
+    nodes = _joined(dense, between)
     side = epsilon / 3**0.5
-    dense = cut(dense.select(*keys, *boxes(side), "x", "y", "z"))
-    other = around(dense.select(*boxes(side), *targets, F.struct(*BOX).alias("b")), 2)
-    pairs = dense.select(*BOX, "x", "y", "z", F.struct(*BOX).alias("a")).join(other, BOX).where(F.col("a") < F.col("b")).where(_d2() <= epsilon * epsilon)
-    parts = connected_components(pairs.select("a", "b").distinct())
-    own = dense.select(*keys, F.struct(*BOX).alias("box")).join(parts, F.col("box") == parts["id"], "left").select(*keys, F.coalesce("component", "box").alias("group_id"))
-    members = boxed.join(own, keys, "left")
-    many = members.where("group_id IS NOT NULL").groupBy(F.col("group_id").alias("g")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    kept = members.join(many.select("g"), F.col("group_id") == F.col("g"), "left")
-    return kept.withColumn("group_id", F.col("g")).drop("g", *keys)
+    cells = centroids.select("id", *VOXEL, "n", F.struct(*boxes(side)).alias("box"))
+    own = cut(dense.join(nodes, "part").join(cells, "id").select(*VOXEL, "n", "node", "box"))
+    many = own.groupBy("node").agg(F.sum("n").alias("n"), F.min("box").alias("group_id")).where(F.col("n") >= least)
+    named = own.select(*VOXEL, "node").join(many.select("node", "group_id"), "node").drop("node")
+    return boxed.join(named, VOXEL, "left").drop(*VOXEL)
+
+
+def density_hierarchy(points: DataFrame, least: int = 30, samples: int = 6, epsilon: float = 0.2, reach: float = 1.0, steps: int = 12, voxel: float = 0.08, cap: int = 100_000) -> DataFrame:
+    """points with group_id: the most stable groups of the density hierarchy, null for noise.
+
+    Distances between centroids count as at least `epsilon` and are rounded up to
+    rungs, `steps` of them up to `reach`, evenly on a logarithmic scale; links
+    beyond are none, and all that is left is taken as joined one rung above. A
+    point's core rung holds `samples` points around it, itself counted, and a link
+    lies on the greatest of its ends' core rungs and its distance's. On each rung
+    components of `least` points or more are groups; a group ends where it falls
+    into several. It counts, for each of its points, 1 / distance where the point
+    leaves less 1 / distance where the group begins. A group stays if that is at
+    least the sum of the best of what it falls into; a point belongs to the topmost
+    group that stays among those it is in.
+    """
+    rungs = [epsilon * (reach / epsilon) ** (k / steps) for k in range(steps + 2)]
+    boxed = grid.with_voxels(points, voxel)
+    centroids = _centroids(boxed)
+    parts, between = links(centroids, rungs[:-1], samples, cap)
+    between = cut(between)
+    nodes = cut(_joined(parts, between.where("rung = 0").select("a", "b")))
+    at = parts.select("id", "part").join(nodes, "part").select("id", "node")
+    sizes = at.join(centroids.select("id", "n"), "id").groupBy("node").agg(F.sum("n").alias("n"))
+
+    # the components of every rung at once, over nodes that the lowest rung has joined
+    to = lambda c: nodes.select(F.col("part").alias(c), F.col("node").alias(f"n{c}"))
+    upper = between.where("rung > 0").join(to("a"), "a").join(to("b"), "b").where("na <> nb")
+    on = upper.select("na", "nb", F.explode(F.sequence(F.col("rung"), F.lit(steps))).alias("level"))
+    found = connected_components(on.select(F.struct("level", F.col("na").alias("node")).alias("a"), F.struct("level", F.col("nb").alias("node")).alias("b")))
+    found = found.select("id.level", "id.node", F.col("component.node").alias("comp"))
+    every = sizes.select("node", "n", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("level"))
+    paths = cut(every.join(found, ["level", "node"], "left").select("level", "node", "n", F.coalesce("comp", "node").alias("comp")))
+
+    # components of enough points, and which of them begin: those on the top rung and those with brothers
+    large = paths.groupBy("level", "comp").agg(F.sum("n").alias("size")).where(F.col("size") >= least)
+    above = paths.select((F.col("level") - 1).alias("level"), F.col("node").alias("comp"), F.col("comp").alias("parent"))
+    large = cut(large.join(above, ["level", "comp"], "left"))
+    brothers = large.where("parent IS NOT NULL").groupBy("level", "parent").agg(F.count("*").alias("k"))
+    begins = large.join(brothers, ["level", "parent"], "left").select("level", "comp", ((F.col("level") == steps) | (F.col("k") > 1)).alias("head"))
+
+    # each node's groups from the lowest up, with the lowest rung that it is in each of them
+    mine = paths.join(begins, ["level", "comp"]).groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("level", "comp", "head"))).alias("path"))
+    heads = F.filter("path", lambda x: x["head"])
+    low = lambda i: F.when(i == 0, F.col("path")[0]["level"]).otherwise(F.get("heads", i - 1)["level"] + 1)
+    key = lambda x: F.when(x.isNotNull(), F.struct(x["level"].alias("level"), x["comp"].alias("comp")))
+    turns = F.transform("heads", lambda x, i: F.struct(key(x).alias("g"), low(i).alias("low"), key(F.get("heads", i + 1)).alias("up")))
+    turns = cut(mine.withColumn("heads", heads).select("node", "n", F.explode(turns).alias("t")).select("node", "n", "t.*"))
+    inverse = F.array(*[F.lit(1 / r) for r in rungs])
+    gain = F.col("n") * (F.get(inverse, F.col("low")) - F.get(inverse, F.col("g.level") + 1))
+    groups = cut(turns.groupBy("g").agg(F.sum(gain).alias("own"), F.first("up").alias("up")))
+    stays = _chosen(groups)
+    best = turns.join(stays, "g", "left_semi").groupBy("node").agg(F.max("g").alias("group_id"))
+    named = at.join(best, "node").join(centroids.select("id", *VOXEL), "id").select(*VOXEL, "group_id")
+    return boxed.join(named, VOXEL, "left").drop(*VOXEL)
+
+
+def _chosen(groups: DataFrame) -> DataFrame:
+    """g of the groups (g, own, up) whose own gain is at least the best that the groups they fall into reach; a round for each storey."""
+    parts = groups.where("up IS NOT NULL").groupBy(F.col("up").alias("g")).agg(F.count("*").alias("parts"))
+    left = cut(groups.join(parts, "g", "left"))
+    done = cut(left.where("parts IS NULL").select("g", "up", F.col("own").alias("best"), F.lit(True).alias("stays")))
+    left = left.where("parts IS NOT NULL")
+    while not left.isEmpty():
+        below = done.where("up IS NOT NULL").groupBy(F.col("up").alias("g")).agg(F.sum("best").alias("sum"), F.count("*").alias("have"))
+        ready = cut(left.join(below, "g").where("have = parts").select("g", "up", F.greatest("own", "sum").alias("best"), (F.col("own") >= F.col("sum")).alias("stays")))
+        done, left = done.union(ready), cut(left.join(ready, "g", "left_anti"))
+    return done.where("stays").select("g")
 
 
 def object_classes(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, peel: dict | None = None, **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +30,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         labels = new
         if labels.where("moved").isEmpty():
             return labels.select("id", F.col("c").alias("component"))
+
+
+def merged(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, a, b): the parts of links u - v joined under their least label, and the pairs of labels that were joined."""
+    n, a, b = len(label), [], []
+    while True:
+        x, y = label[u], label[v]
+        apart = x != y
+        if not apart.any():
+            return label, np.concatenate([*a, u[:0]]), np.concatenate([*b, u[:0]])
+        u, v = u[apart], v[apart]
+        parent = np.arange(n)
+        np.minimum.at(parent, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        hooked = np.flatnonzero(parent != np.arange(n))
+        a.append(hooked)
+        b.append(parent[hooked])
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.quantiles import quantiles
 from ..sources.points import BUILDING, height
 from . import grid
 from .spatial import nearest_distance
@@ -15,10 +16,9 @@ FEATURES = ["h", "log_n", "v_span", "v_hmean", "inten", "d_bldg", "cls_f", "h030
 
 def intensity_norm(points: DataFrame) -> DataFrame:
     """Adds inten: intensity over the 95th percentile of the positive ones, at most 2; unchanged if none is positive."""
-    scale = points.agg(F.percentile(F.when(F.col("intensity") > 0, F.col("intensity")), 0.95).alias("__p95"))
+    top = quantiles(points, {"i": F.when(F.col("intensity") > 0, F.col("intensity"))}, [0.95]).get(("i", 0.95, None))
     i = F.col("intensity").cast("double")
-    value = F.when(F.col("__p95").isNull(), i).otherwise(F.least(F.greatest(i / F.greatest("__p95", F.lit(1e-6)), F.lit(0.0)), F.lit(2.0)))
-    return points.join(F.broadcast(scale)).withColumn("inten", value).drop("__p95")
+    return points.withColumn("inten", i if top is None else F.least(F.greatest(i / max(top, 1e-6), F.lit(0.0)), F.lit(2.0)))
 
 
 def building_distance(points: DataFrame, tall: float = 3.5, limit: float = 20.0) -> DataFrame:

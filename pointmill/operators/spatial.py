@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.storage import cut
+from .links import close_pairs
+from .quadtree import LEAF, dealt
 
 AROUND = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
 
@@ -39,26 +43,44 @@ def near(points: DataFrame, source: Column, target: Column, radius: float, name:
     return points.join(hit.select("point_id", F.lit(True).alias(name)), "point_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
-def nearest(points: DataFrame, source: Column, target: Column, radius: float, keep: list[str], first: float | None = None) -> DataFrame:
+def nearest(points: DataFrame, source: Column, target: Column, radius: float, keep: list[str], first: float | None = None, cap: int = 200_000) -> DataFrame:
     """point_id, d2 and columns n_* of the nearest target closer than radius, ties to the smaller target id.
 
-    The search begins with a small radius; what finds a target there is done, the
-    rest goes on with twice the radius. Partial minima shrink the pairs before the shuffle.
+    Each leaf of a quadtree searches for its own points among the targets that it or
+    its halo holds: in boxes of a small radius first, and with twice the radius for
+    points that found nothing, all of a leaf at once.
     """
     extra = [k for k in keep if k != "point_id"]
-    targets = points.where(target).select("point_id", "x", "y", *extra)
-    left, found, reach = points.where(source).select("point_id", "x", "y"), None, first or radius / 16
-    while True:
-        reach = min(reach, radius)
-        pairs = left.select("point_id", "x", "y", *bucket(reach)).join(spread(targets, reach, ["point_id", *extra]), ["bx", "by"]).withColumn("d2", _d2()).where(F.col("d2") < reach * reach)
-        best = F.min(F.struct("d2", "t_point_id", *[f"t_{k}" for k in extra])).alias("best")
-        new = pairs.groupBy("point_id").agg(best).select("point_id", "best.d2", *[F.col(f"best.t_{k}").alias(f"n_{k}") for k in keep])
-        if reach >= radius:
-            return new if found is None else found.union(new)
-        new = cut(new)
-        found = new if found is None else found.union(new)
-        left = cut(left.join(new, "point_id", "left_anti"))
-        reach = radius if left.isEmpty() else reach * 2
+    rows = points.where(source | target).select("point_id", "x", "y", source.alias("is_source"), target.alias("is_target"), *extra)
+    placed = dealt(rows, max(2 * radius, 1.0), cap, radius).where("is_target OR is_core")
+    kinds = dict(rows.dtypes)
+    schema = "point_id bigint, d2 double" + "".join(f", n_{k} {kinds[k]}" for k in keep)
+    begin = first or radius / 16
+
+    def search(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        get = lambda c: table[c].to_numpy(zero_copy_only=False)
+        xyz, ids = np.column_stack([get("x"), get("y"), np.zeros(len(table))]), get("point_id")
+        targets, left = get("is_target").astype(bool), (get("is_source") & get("is_core")).astype(bool)
+        found, reach = [], begin
+        while left.any() and targets.any():
+            reach = min(reach, radius)
+            for i, j, d2 in close_pairs(xyz, reach, left, targets):
+                near = d2 < reach * reach
+                i, j, d2 = i[near], j[near], d2[near]
+                order = np.lexsort((ids[j], d2, i))
+                head = order[np.append(True, i[order][1:] != i[order][:-1])] if len(i) else order
+                found.append((i[head], j[head], d2[head]))
+                left = left.copy()
+                left[i[head]] = False
+            if reach >= radius:
+                break
+            reach *= 2
+        i, j, d2 = (np.concatenate([f[k] for f in found] or [np.zeros(0)]) for k in range(3))
+        theirs = table.take(pa.array(j.astype(np.int64)))
+        return pa.table({"point_id": ids[i.astype(np.int64)].astype(np.int64), "d2": d2.astype(float)} | {f"n_{k}": theirs[k] for k in keep})
+
+    return placed.groupBy(*LEAF).applyInArrow(search, schema)
 
 
 def nearest_distance(points: DataFrame, targets: DataFrame, limit: float, finest: float = 0.1) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantiles
+from ..functions.storage import cut
 from ..sources.points import DIRTY, GROUND, relabel
 from . import grid
 
@@ -17,14 +19,14 @@ def cell_heights(points: DataFrame, cell: float, quantile: float | None = None)
 
 def road_surface(points: DataFrame, cell: float = 1.0, size: int = 7) -> DataFrame:
     """ix, iy, gz: cell minima, holes filled by their median, opened by a square."""
-    return grid.opening(grid.dense(cell_heights(points, cell), "low"), "low", size).withColumnRenamed("low", "gz")
+    cells = cut(cell_heights(points, cell))
+    return grid.filled(cells, "low", size, ("min", "max")).select(*grid.CELL, F.col("new").alias("gz"))
 
 
 def low_surface(points: DataFrame, cell: float) -> DataFrame:
     """ix, iy, gz: the cell's 20 % height, but not above its opening by 3 x 3."""
-    full = grid.dense(cell_heights(points, cell, 0.2), "low")
-    opened = grid.opening(full, "low", 3).withColumnRenamed("low", "open")
-    return full.join(opened, grid.CELL).select("ix", "iy", F.least("low", "open").alias("gz"))
+    cells = cut(cell_heights(points, cell, 0.2))
+    return grid.filled(cells, "low", 3, ("min", "max")).select(*grid.CELL, F.least("low", "new").alias("gz"))
 
 
 def ground_surface(points: DataFrame, ground: Column, cell: float = 0.5) -> DataFrame:
@@ -36,13 +38,14 @@ def ground_surface(points: DataFrame, ground: Column, cell: float = 0.5) -> Data
 def refiner_surface(points: DataFrame, cell: float = 1.0, least: int = 100) -> DataFrame:
     """ix, iy, gz: ground minima, holes filled by the median ground z, 3 x 3 minimum; with few ground points one height everywhere."""
     ground = F.col("cls") == GROUND
-    cells = grid.with_cells(points, cell).groupBy(*grid.CELL).agg(F.min(F.when(ground, F.col("z"))).alias("gz"))
-    scalars = points.agg(F.count_if(ground).alias("n"), F.percentile("z", 0.5).alias("all"), F.percentile(F.when(ground, F.col("z")), 0.5).alias("mid"))
-    extent = cells.agg(F.max("ix").alias("nx"), F.max("iy").alias("ny"))
-    zero = F.lit(0).cast("long")
-    full = extent.select(F.explode(F.sequence(zero, "nx")).alias("ix"), "ny").repartition("ix").select("ix", F.explode(F.sequence(zero, "ny")).alias("iy"))
-    filled = full.join(cells, grid.CELL, "left").join(F.broadcast(scalars)).select("ix", "iy", F.when(F.col("n") < least, F.col("all")).otherwise(F.coalesce("gz", "mid")).alias("gz"))
-    return grid.erode(filled, "gz", 3)
+    cells = cut(grid.with_cells(points, cell).groupBy(*grid.CELL).agg(F.min(F.when(ground, F.col("z"))).alias("gz"), F.count_if(ground).alias("n")))
+    if (cells.agg(F.sum("n")).first()[0] or 0) < least:
+        level = quantiles(points, {"z": F.col("z")}, [0.5]).get(("z", 0.5, None))
+        cells = cells.withColumn("gz", F.lit(level))
+    else:
+        level = quantiles(points.where(ground), {"z": F.col("z")}, [0.5])["z", 0.5, None]
+        cells = cells.fillna({"gz": level})
+    return grid.filled(cells, "gz", 3, ("min",), level).select(*grid.CELL, F.col("new").alias("gz"))
 
 
 def with_surface(points: DataFrame, surface: DataFrame, cell: float) -> DataFrame:

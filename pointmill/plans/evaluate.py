@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantile_table
+from ..functions.storage import cut
 from ..operators.grid import with_cells
 
 GROUND, BUILDING, NOISE, VEHICLE = 2, 6, 7, 9
@@ -77,11 +79,17 @@ def band_shares(points: DataFrame, bands=(-0.05, 0.05, 0.12, 0.35, 1.0, 2.2, 4.0
     return counts.join(total, "gt").select("gt", "band", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def with_percentiles(counts: DataFrame, rows: DataFrame, columns: dict, shares: list[float]) -> DataFrame:
+    """The rows of `counts`, one a class, with the class's percentiles; classes are matched with nulls too."""
+    table = F.broadcast(quantile_table(rows, columns, shares, "gt"))  # a row for each class
+    return counts.join(table, counts["gt"].eqNullSafe(table["gt"]), "left").drop(table["gt"])
+
+
 def cell_spans(points: DataFrame, cell: float = 0.5, least: int = 8) -> DataFrame:
     """gt, n_cells, and percentiles of the height spans and tops of cells with at least so many points of the class."""
     cells = with_cells(points, cell).groupBy("gt", "ix", "iy").agg(F.count("*").alias("n"), (F.max("z") - F.min("z")).alias("span"), F.max(F.col("z") - F.col("gz")).alias("top"))
-    full = cells.where(F.col("n") >= least)
-    return full.groupBy("gt").agg(F.count("*").alias("n_cells"), *[F.percentile(c, q / 100).alias(f"{c}_p{q}") for c in ("span", "top") for q in (50, 95)])
+    full = cut(cells.where(F.col("n") >= least))
+    return with_percentiles(full.groupBy("gt").agg(F.count("*").alias("n_cells")), full, {"span": F.col("span"), "top": F.col("top")}, [0.5, 0.95])
 
 
 def leave_one_out(scenes: DataFrame, train, refine, truth: str = "gt") -> DataFrame:
@@ -101,7 +109,9 @@ def write_report(table: DataFrame, path: str) -> None:
     table.coalesce(1).write.mode("overwrite").json(path)
 
 
-def profile(points: DataFrame) -> DataFrame:
-    """Per true class: count, mean and spread of the height, and its percentiles."""
+def profile(points: DataFrame, intensity: bool = False) -> DataFrame:
+    """Per true class: count, mean and spread of the height, and percentiles of the height and, if asked, the intensity."""
     h = F.col("z") - F.col("gz")
-    return points.groupBy("gt").agg(F.count("*").alias("n"), F.avg(h).alias("mean"), F.stddev_pop(h).alias("std"), *[F.percentile(h, q / 100).alias(f"p{q}") for q in (5, 25, 50, 75, 95)])
+    counts = points.groupBy("gt").agg(F.count("*").alias("n"), F.avg(h).alias("mean"), F.stddev_pop(h).alias("std"))
+    columns = {"h": h} | ({"intensity": F.col("intensity")} if intensity else {})
+    return with_percentiles(counts, points, columns, [0.05, 0.25, 0.5, 0.75, 0.95])

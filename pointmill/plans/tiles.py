@@ -1,4 +1,4 @@
-"""Tiles with halos, windows and the sizing arithmetic around them."""
+"""Tiles with halos, windows and crops."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantiles
+
 
 def window(x0: float, x1: float, y0: float, y1: float, xmax: float, ymax: float) -> Column:
     """Half-open window; at the cloud's far edges the last points belong to it."""
@@ -37,6 +39,17 @@ def with_halo(points: DataFrame, tile: float, overlap: float) -> DataFrame:
     return spread.select(*points.columns, "tx", "ty", ((F.col("tx") == F.col("__cx")) & (F.col("ty") == F.col("__cy"))).alias("is_core"))
 
 
+def crop(points: DataFrame, half: float, among: tuple[int, ...] = (9, 6), least: int = 5000) -> DataFrame:
+    """The square around the middle of the first class: its median if it has `least` points, else that of the second class if it has any, else that of all."""
+    first, second = among
+    n, others = points.agg(F.count_if(F.col("cls") == first), F.count_if(F.col("cls") == second)).first()
+    chosen = points.where(F.col("cls") == first) if n >= least else points.where(F.col("cls") == second) if others else points
+    at = quantiles(chosen, {c: F.col(c) for c in "xy"}, [0.5])
+    if not at:
+        return points
+    return points.where((F.abs(F.col("x") - at["x", 0.5, None]) <= half) & (F.abs(F.col("y") - at["y", 0.5, None]) <= half))
+
+
 def uncovered(points: DataFrame, judged: DataFrame) -> DataFrame:
     """point_id of points that no tile has judged, and of those that several have: empty if the cores cover the cloud once."""
     missing = points.select("point_id").join(judged.select("point_id"), "point_id", "left_anti")
@@ -62,22 +75,3 @@ def tile_grid(xmin: float, xmax: float, ymin: float, ymax: float, tile: float) -
         return [Rect(xmin - 1e-3, xmax + 1e-3, ymin - 1e-3, ymax + 1e-3)]
     nx, ny = (max(1, math.ceil((b - a) / tile)) for a, b in ((xmin, xmax), (ymin, ymax)))
     return [Rect(xmin + i * tile, min(xmin + (i + 1) * tile, xmax), ymin + j * tile, min(ymin + (j + 1) * tile, ymax)) for i in range(nx) for j in range(ny)]
-
-
-def peak_bytes(n_points: int, refine: bool = False, per_point: float = 110.0, factor: float = 1.35) -> int:
-    return int(n_points * per_point * (factor if refine else 1.0))
-
-
-def partitions_for(n_points: int, executor_bytes: int, cores: int, refine: bool = False, share: float = 0.25) -> int:
-    """How many partitions keep one task's points within its share of an executor's memory."""
-    room = max(1, int(executor_bytes * share / max(cores, 1)))
-    return max(1, -(-peak_bytes(n_points, refine) // room))
-
-
-def tile_size(n_points: int, area: float, leaf_points: int, overlap: float = 15.0, least: float = 12.0) -> float:
-    """Side of a tile that, with its halo, holds about leaf_points; denser clouds are capped."""
-    if area <= 0 or n_points <= 0:
-        return 80.0
-    density = n_points / area
-    cap = 35.0 if density > 4000 else 50.0 if density > 2500 else 120.0
-    return max(least, min(cap, math.sqrt(leaf_points / density) - 2 * max(overlap, 5.0)))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.storage import cut
-from .operators import blobs, density, grid, refine, rules, spatial, terrain
-from .plans import classify, evaluate, tasks, tiles
+from .functions.quantiles import quantiles
+from .functions.storage import cut, shared_dir
+from .operators import blobs, density, grid, quadtree, refine, rules, spatial, terrain
+from .plans import classify, evaluate, layout, tasks, tiles
 from .sources.points import BUILDING, GROUND, NOISE, VEHICLE, height, scene, scene_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,7 +75,13 @@ over_scene("class_histogram", "SELECT cls, count(*) AS n FROM p GROUP BY cls", l
 over_scene(
     "crop",
     "m AS (SELECT quantile_cont(x, 0.5) AS cx, quantile_cont(y, 0.5) AS cy FROM p WHERE cls = 9) SELECT point_id FROM p, m WHERE abs(x - cx) <= 3 AND abs(y - cy) <= 3",
-    lambda p: p.join(F.broadcast(p.where(rules.is_class(VEHICLE)).agg(F.percentile("x", 0.5).alias("cx"), F.percentile("y", 0.5).alias("cy")))).where("abs(x - cx) <= 3 AND abs(y - cy) <= 3").select("point_id"),
+    lambda p: tiles.crop(p, 3.0, least=1).select("point_id"),
+)
+over_scene(
+    "crop_fallback",
+    """c AS (SELECT count(*) FILTER (cls = 9) AS n FROM p), m AS (SELECT quantile_cont(x, 0.5) AS cx, quantile_cont(y, 0.5) AS cy FROM p, c WHERE CASE WHEN n >= 1000000000 THEN cls = 9 ELSE cls = 6 END)
+SELECT point_id FROM p, m WHERE abs(x - cx) <= 2 AND abs(y - cy) <= 2""",
+    lambda p: tiles.crop(p, 2.0, least=1_000_000_000).select("point_id"),
 )
 over_scene("intensity_norm", "s AS (SELECT quantile_cont(intensity, 0.95) AS p95 FROM p WHERE intensity > 0) SELECT point_id, round(least(greatest(intensity / greatest(p95, 1e-6), 0), 2), 6) AS inten FROM p, s", lambda p: refine.intensity_norm(p).select("point_id", F.round("inten", 6).alias("inten")))
 
@@ -114,7 +122,19 @@ over_scene(
     lambda p: terrain.refiner_surface(p).select("ix", "iy", F.round("gz", 6).alias("gz")),
 )
 over_scene("ground_residuals", f"{cells(0.5)}, m AS (SELECT *, z - min(z) OVER (PARTITION BY ix, iy) AS r FROM c WHERE cls = 2) SELECT count(*) AS n, round(quantile_cont(r, 0.5), 6) AS p50, round(quantile_cont(r, 0.9), 6) AS p90, round(max(r), 6) AS top, round(quantile_cont(r, 0.99), 6) AS p99, count(*) FILTER (r > 0.05) AS over5, count(*) FILTER (r > 0.1) AS over10, count(*) FILTER (r > 0.2) AS over20 FROM m",
-           lambda p: (lambda g: g.join(g.groupBy("ix", "iy").agg(F.min("z").alias("lo")), ["ix", "iy"]).withColumn("r", F.col("z") - F.col("lo")).agg(F.count("*").alias("n"), F.round(F.percentile("r", 0.5), 6).alias("p50"), F.round(F.percentile("r", 0.9), 6).alias("p90"), F.round(F.max("r"), 6).alias("top"), F.round(F.percentile("r", 0.99), 6).alias("p99"), *[F.count_if(F.col("r") > c / 100).alias(f"over{c}") for c in (5, 10, 20)]))(grid.with_cells(p, 0.5).where("cls = 2")))
+           lambda p: residuals(p))
+
+
+def residuals(p: DataFrame) -> DataFrame:
+    """How far ground lies over the least ground of its 0.5 m cell."""
+    ground = grid.with_cells(p, 0.5).where("cls = 2")
+    lows = ground.groupBy(*grid.CELL).agg(F.min("z").alias("lo"))
+    r = cut(ground.join(lows, grid.CELL).select((F.col("z") - F.col("lo")).alias("r")))
+    at = quantiles(r, {"r": F.col("r")}, [0.5, 0.9, 0.99])
+    shares = [F.round(F.lit(at.get(("r", q, None))), 6).alias(f"p{round(100 * q)}") for q in (0.5, 0.9, 0.99)]
+    over = [F.count_if(F.col("r") > c / 100).alias(f"over{c}") for c in (5, 10, 20)]
+    return r.agg(F.count("*").alias("n"), F.round(F.max("r"), 6).alias("top"), *over).select("n", "top", *shares, "over5", "over10", "over20")
+
 
 # height rules
 
@@ -331,6 +351,28 @@ over_scene("tile_counts", """o AS (SELECT min(x) AS x0, min(y) AS y0, max(x) AS
 h AS (SELECT a.tx, b.ty, a.tx = floor((x - x0) / 5) AND b.ty = floor((y - y0) / 5) AS core FROM p, o, unnest(range(greatest(CAST(floor((x - x0 - 1) / 5) AS BIGINT), 0), least(CAST(floor((x - x0 + 1) / 5) AS BIGINT), CAST(floor((x1 - x0) / 5) AS BIGINT)) + 1)) AS a(tx), unnest(range(greatest(CAST(floor((y - y0 - 1) / 5) AS BIGINT), 0), least(CAST(floor((y - y0 + 1) / 5) AS BIGINT), CAST(floor((y1 - y0) / 5) AS BIGINT)) + 1)) AS b(ty))
 SELECT tx, ty, count(*) FILTER (core) AS n_core, count(*) AS n_load FROM h GROUP BY ALL""", lambda p: tiles.tile_counts(p, 5.0, 1.0))
 
+# leaves of at most 2,000 points with their halos, from base cells of 0.5 m, and the loads that the rule asks for
+_LEAVES = """b AS (SELECT point_id, CAST(floor(x / 0.5) AS BIGINT) AS ix, CAST(floor(y / 0.5) AS BIGINT) AS iy, x, y FROM p), cc AS (SELECT ix, iy, count(*) AS n FROM b GROUP BY ALL),
+lv AS (SELECT CAST(k AS INTEGER) AS level, CAST(pow(2, (k + 1) // 2) AS BIGINT) AS w, CAST(pow(2, k // 2) AS BIGINT) AS t FROM range(0, 2 * (SELECT CAST(ceil(log2(greatest(max(ix) - min(ix), max(iy) - min(iy), 1) + 1)) AS BIGINT) FROM cc) + 1) r(k)),
+ld AS (SELECT level, ux, uy, sum(n) AS load FROM (SELECT DISTINCT level, cc.ix, cc.iy, n, CAST(floor((cc.ix + i) / w) AS BIGINT) AS ux, CAST(floor((cc.iy + j) / t) AS BIGINT) AS uy FROM cc, lv, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) c(j)) GROUP BY ALL),
+lf AS (SELECT cc.ix, cc.iy, cc.n, max({'a': level, 'b': ux, 'c': uy, 'd': load}) AS leaf FROM cc, lv JOIN ld USING (level) WHERE ux = CAST(floor(cc.ix / w) AS BIGINT) AND uy = CAST(floor(cc.iy / t) AS BIGINT) AND (load <= 2000 OR level = 0) GROUP BY ALL)"""
+over_scene(
+    "quadtree_leaves",
+    f"{_LEAVES} SELECT leaf.a AS level, leaf.b AS bx, leaf.c AS \"by\", CAST(any_value(leaf.d) AS BIGINT) AS load, CAST(sum(n) AS BIGINT) AS n_core FROM lf GROUP BY leaf.a, leaf.b, leaf.c",
+    lambda p: quadtree.leaf_loads(p, 0.5, 2000),
+)
+
+
+
+def window_scan(p: DataFrame) -> DataFrame:
+    """A window of the cloud, laid out along the Morton curve first."""
+    path = f"{shared_dir(p.sparkSession)}/layout-{uuid.uuid4().hex}"
+    layout.write(p, path)
+    return layout.read_window(p.sparkSession, path, 4.0, 9.0, 3.5, 8.0).select("point_id", "cls")
+
+
+over_scene("window_scan", "SELECT point_id, cls FROM p WHERE x >= 4 AND x < 9 AND y >= 3.5 AND y < 8", window_scan)
+
 # evaluation
 
 _M = "cm AS (SELECT gt, cls AS pred, count(*) AS n FROM p GROUP BY ALL)"
@@ -360,7 +402,12 @@ def _gate_sql() -> str:
 
 over_scene("release_gate", _gate_sql(), lambda p: evaluate.gate(evaluate.confusion(p), evaluate.confusion(rules.layers(p))))
 over_scene("profile", "SELECT gt, count(*) AS n, round(avg(h), 6) AS mean, round(stddev_pop(h), 6) AS std, " + ", ".join(f"round(quantile_cont(h, {q / 100}), 6) AS p{q}" for q in (5, 25, 50, 75, 95)) + " FROM p GROUP BY gt",
-           lambda p: evaluate.profile(p).select("gt", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "p5", "p25", "p50", "p75", "p95")]))
+           lambda p: evaluate.profile(p).select("gt", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std")], *[F.round(f"h_p{q}", 6).alias(f"p{q}") for q in (5, 25, 50, 75, 95)]))
+over_scene(
+    "intensity_profile",
+    "SELECT gt, count(*) AS n, " + ", ".join(f"round(quantile_cont(intensity, {q / 100}), 6) AS p{q}" for q in (5, 25, 50, 75, 95)) + " FROM p GROUP BY gt",
+    lambda p: evaluate.profile(p, True).select("gt", "n", *[F.round(f"intensity_p{q}", 6).alias(f"p{q}") for q in (5, 25, 50, 75, 95)]),
+)
 _EDGES = (-0.05, 0.05, 0.12, 0.35, 1.0, 2.2, 4.0)
 over_scene("band_shares", f"b AS (SELECT gt, CASE {' '.join(f'WHEN h >= {e} THEN {e}' for e in reversed(_EDGES))} END AS band FROM p), k AS (SELECT gt, CAST(band AS DOUBLE) AS band, count(*) AS n FROM b GROUP BY ALL) SELECT gt, band, n, round(n / sum(n) OVER (PARTITION BY gt), 9) AS share FROM k",
            lambda p: evaluate.band_shares(p).withColumn("share", F.round("share", 9)))
@@ -405,6 +452,12 @@ over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pendin
 # beyond SQL: the forest and the stages; tests hold them against small fixtures
 
 over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).select("point_id", "cls"))
+over_scene("classify_scene", None, lambda p: classify.classify(p).select("point_id", "cls"))
+over_scene(
+    "density_hierarchy",
+    None,
+    lambda p: density.density_hierarchy(in_band(p), 25, 6, 0.25, 1.0, 8).where("group_id IS NOT NULL").select("point_id", F.col("group_id.level").alias("rung"), F.col("group_id.comp").alias("part")),
+)
 
 
 @register("forest_refine")

@@ -4,25 +4,42 @@ spark.dataSource.register(LasSource); spark.read.format("las").load(path).
 A partition is a range of records, so one large file is read by many tasks.
 Compressed LAZ files are refused. With option raw the whole record comes along
 as bytes, so that a file can be written again with all its other attributes.
-`write` makes one file from a cloud in point_id order: executors write ordered
-parts, which are joined and replace the target only when they are whole.
+`write.format("las")` makes a folder of files, one a task, all or nothing. `write`
+makes one file from a cloud in point_id order: executors write ordered parts,
+which are joined and replace the target only when they are whole.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import os
 import shutil
 import struct
 import tempfile
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+    WriterCommitMessage,
+)
 
 SCHEMA = "point_id bigint, x_raw int, y_raw int, z_raw int, x double, y double, z double, cls int, intensity int"
 
@@ -40,7 +57,8 @@ def header(path: str) -> dict:
     if minor >= 4 and size >= 375:
         count = struct.unpack_from("<Q", h, 247)[0] or count
     scales, offsets = struct.unpack_from("<3d", h, 131), struct.unpack_from("<3d", h, 155)
-    return {"count": count, "format": kind, "length": length, "start": offset, "scales": scales, "offsets": offsets, "version": f"1.{minor}"}
+    box = struct.unpack_from("<6d", h, 179)  # max and min of x, y and z in turn
+    return {"box": {c: (box[2 * j + 1], box[2 * j]) for j, c in enumerate("xyz")}, "count": count, "format": kind, "length": length, "start": offset, "scales": scales, "offsets": offsets, "version": f"1.{minor}"}
 
 
 def _layout(kind: int, length: int) -> np.dtype:
@@ -54,15 +72,34 @@ class _Range(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str], records: int, raw: bool) -> None:
-        self.paths, self.records, self.raw = paths, records, raw
+    """Reads the columns that its schema names; files whose header box lies outside the filters on x, y and z are not opened again."""
+
+    def __init__(self, paths: list[str], records: int, names: list[str]) -> None:
+        self.paths, self.records, self.names = paths, records, names
+        self.low, self.high = dict.fromkeys("xyz", -math.inf), dict.fromkeys("xyz", math.inf)
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            c = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if c in self.low and isinstance(getattr(f, "value", None), int | float):
+                if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
+                    self.low[c] = max(self.low[c], f.value)
+                if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
+                    self.high[c] = min(self.high[c], f.value)
+            yield f  # a box says nothing about single points: Spark tests them
+
+    def _wanted(self, h: dict) -> bool:
+        # a box may be rounded by a step of the raw coordinates
+        step = dict(zip("xyz", h["scales"], strict=True))
+        return all(h["box"][c][1] + step[c] >= self.low[c] and h["box"][c][0] - step[c] <= self.high[c] for c in "xyz")
 
     def partitions(self) -> list[_Range]:
         out, base = [], 0
         for p in self.paths:
-            n = header(p)["count"]
-            out += [_Range(p, at, min(self.records, n - at), base) for at in range(0, n, self.records)]
-            base += n
+            h = header(p)
+            if self._wanted(h):
+                out += [_Range(p, at, min(self.records, h["count"] - at), base) for at in range(0, h["count"], self.records)]
+            base += h["count"]
         return out or [_Range("", 0, 0, 0)]
 
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
@@ -78,33 +115,139 @@ class _Reader(DataSourceReader):
                 r = np.frombuffer(data[: len(data) // h["length"] * h["length"]], layout)
                 if len(r) < n:
                     raise ValueError(f"{part.path} ends before record {at + n}")
-                xyz = [r[c] * s + o for c, s, o in zip("xyz", h["scales"], h["offsets"], strict=True)]
-                cls = (r["c"] & 31 if h["format"] < 6 else r["c"]).astype(np.int32)
-                columns = [np.arange(part.base + at, part.base + at + n), *(r[c].astype(np.int32) for c in "xyz"), *xyz, cls, r["i"].astype(np.int32)]
-                names = ["point_id", "x_raw", "y_raw", "z_raw", "x", "y", "z", "cls", "intensity"]
-                if self.raw:
-                    columns.append(pa.Array.from_buffers(pa.binary(h["length"]), n, [None, pa.py_buffer(data)]).cast(pa.binary()))
-                    names.append("record")
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                place = {c: (lambda c=c, j=j: r[c] * h["scales"][j] + h["offsets"][j]) for j, c in enumerate("xyz")}
+                made = {
+                    "point_id": lambda: np.arange(part.base + at, part.base + at + n),
+                    "cls": lambda: (r["c"] & 31 if h["format"] < 6 else r["c"]).astype(np.int32),
+                    "intensity": lambda: r["i"].astype(np.int32),
+                    "record": lambda: pa.Array.from_buffers(pa.binary(h["length"]), n, [None, pa.py_buffer(data)]).cast(pa.binary()),
+                }
+                made |= place | {f"{c}_raw": (lambda c=c: r[c].astype(np.int32)) for c in "xyz"}
+                yield pa.RecordBatch.from_arrays([pa.array(made[c]()) for c in self.names], self.names)
+
+
+def _words(option: str | None, default: tuple[float, ...]) -> tuple[float, ...]:
+    return tuple(float(v) for v in option.split(",")) if option else default
+
+
+def replaced(temporary: str, path: str, attempts: int = 5, wait: float = 0.1) -> None:
+    """Rename over path; where the file system refuses, try again after 1, 2, 4 ... waits."""
+    for k in range(attempts):
+        try:
+            return os.replace(temporary, path)
+        except OSError:
+            if k == attempts - 1:
+                raise
+            time.sleep(wait * 2**k)
+
+
+def _head(n: int, low: np.ndarray, high: np.ndarray, scales: tuple[float, ...], offsets: tuple[float, ...]) -> bytes:
+    """The header of a LAS 1.4 file of format 6."""
+    h = bytearray(375)
+    h[:4], h[24], h[25] = b"LASF", 1, 4
+    struct.pack_into("<HII", h, 94, 375, 375, 0)
+    struct.pack_into("<BHI", h, 104, 6, 30, 0)
+    struct.pack_into("<3d", h, 131, *scales)
+    struct.pack_into("<3d", h, 155, *offsets)
+    struct.pack_into("<6d", h, 179, *([v for j in range(3) for v in (high[j], low[j])] if n else [0.0] * 6))
+    struct.pack_into("<Q", h, 247, n)
+    return bytes(h)
+
+
+def _records(b: pa.RecordBatch, scales: tuple[float, ...], offsets: tuple[float, ...]) -> np.ndarray:
+    """Records of format 6 with coordinates, class and intensity."""
+    get = lambda c: b.column(b.schema.get_field_index(c))
+    out = np.zeros(b.num_rows, _layout(6, 30))
+    for j, c in enumerate("xyz"):
+        out[c] = np.round((get(c).to_numpy(zero_copy_only=False) - offsets[j]) / scales[j]).astype(np.int32)
+    out["c"] = get("cls").to_numpy(zero_copy_only=False).astype(np.uint8)
+    if "intensity" in b.schema.names:
+        out["i"] = get("intensity").fill_null(0).to_numpy(zero_copy_only=False)
+    return out
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    """A task's file, or None if it had no rows."""
+
+    path: str | None
+
+
+class _Writer(DataSourceArrowWriter):
+    """A file for each task that has rows.
+
+    Tasks write into a folder of their own beside the target's files; a commit moves
+    the files of the tasks that ended well, so what a failed, slow or repeated
+    attempt left is never seen, and drops the rest. No bytes reach the driver.
+    """
+
+    def __init__(self, folder: str, overwrite: bool, scales: tuple[float, ...], offsets: tuple[float, ...]) -> None:
+        self.folder, self.overwrite, self.scales, self.offsets = folder, overwrite, scales, offsets
+        self.job = uuid.uuid4().hex
+        self.parts = os.path.join(folder, f".writing-{self.job}")
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
+        context = TaskContext.get()
+        os.makedirs(self.parts, exist_ok=True)
+        name = os.path.join(self.parts, f"part-{context.partitionId():05d}-{context.taskAttemptId()}.las")
+        low, high, n = np.full(3, np.inf), np.full(3, -np.inf), 0
+        with open(name, "wb") as f:
+            f.write(bytes(375))
+            for b in batches:
+                if b.num_rows:
+                    r = _records(b, self.scales, self.offsets)
+                    f.write(r.tobytes())
+                    xyz = np.column_stack([r[c] * self.scales[j] + self.offsets[j] for j, c in enumerate("xyz")])
+                    low, high, n = np.minimum(low, xyz.min(0)), np.maximum(high, xyz.max(0)), n + len(r)
+            f.seek(0)
+            f.write(_head(n, low, high, self.scales, self.offsets))
+            f.flush()
+            os.fsync(f.fileno())
+        return _Written(name if n else None)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        old = [os.path.join(self.folder, x) for x in os.listdir(self.folder) if x.lower().endswith(".las")] if self.overwrite and os.path.isdir(self.folder) else []
+        os.makedirs(self.folder, exist_ok=True)
+        kept = []
+        for m in messages:
+            if m is not None and m.path:
+                partition = os.path.basename(m.path).rsplit("-", 1)[0]
+                kept.append(os.path.join(self.folder, f"{partition}-{self.job}.las"))
+                replaced(m.path, kept[-1])
+        for path in old:
+            os.remove(path)
+        shutil.rmtree(self.parts, ignore_errors=True)
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        shutil.rmtree(self.parts, ignore_errors=True)
 
 
 class LasSource(DataSource):
-    """Options: path (a file or a folder, searched for .las in any case), records (points a partition), raw (true for a column `record` of each record's bytes)."""
+    """Options: path (a file or a folder, searched for .las in any case), records (points a partition), raw (true for a column `record` of each record's bytes).
+
+    A schema given to the reader may name some of the columns; the others are not made.
+    Filters on x, y and z skip files by their header boxes where the session allows
+    them to be pushed down (spark.sql.python.filterPushdown.enabled). Writing takes
+    options scales and offsets, three numbers each, and makes files of format 6.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "las"
 
-    def _raw(self) -> bool:
-        return self.options.get("raw", "false").lower() == "true"
-
     def schema(self) -> str:
-        return SCHEMA + (", record binary" if self._raw() else "")
+        return SCHEMA + (", record binary" if self.options.get("raw", "false").lower() == "true" else "")
 
     def reader(self, schema) -> _Reader:
         path = self.options["path"]
-        found = [path] if os.path.isfile(path) else sorted(os.path.join(d, x) for d, _, names in os.walk(path) for x in names if x.lower().endswith((".las", ".laz")))
-        return _Reader(found, int(self.options.get("records", 1_000_000)), self._raw())
+        found = [path] if os.path.isfile(path) else sorted(os.path.join(d, x) for d, _, names in os.walk(path) for x in names if x.lower().endswith((".las", ".laz")) and ".writing-" not in d)
+        return _Reader(found, int(self.options.get("records", 1_000_000)), schema.fieldNames())
+
+    def writer(self, schema, overwrite: bool) -> _Writer:
+        missing = {"x", "y", "z", "cls"} - set(schema.fieldNames())
+        if missing:
+            raise ValueError(f"points need columns {sorted(missing)}")
+        return _Writer(self.options["path"], overwrite, _words(self.options.get("scales"), (0.001,) * 3), _words(self.options.get("offsets"), (0.0,) * 3))
 
 
 def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0.0, 0.0, 0.0), like: str | None = None) -> int:
@@ -129,10 +272,7 @@ def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0
                     out = np.frombuffer(b"".join(b["record"].to_pylist()), layout).copy()
                     out["c"] = cls if shape["format"] >= 6 else (out["c"] & 0xE0) | (cls & 31)
                 else:
-                    out = np.zeros(b.num_rows, layout)
-                    for j, c in enumerate("xyz"):
-                        out[c] = np.round((xyz[:, j] - offsets[j]) / scales[j]).astype(np.int32)
-                    out["i"], out["c"] = b["intensity"].fill_null(0).to_numpy(), cls
+                    out = _records(b, scales, offsets)
                 f.write(out.tobytes())
                 if b.num_rows:
                     low, high, n = np.minimum(low, xyz.min(0)), np.maximum(high, xyz.max(0)), n + b.num_rows
@@ -148,31 +288,31 @@ def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0
             with open(like, "rb") as f:
                 head = f.read(shape["start"])
         else:
-            h = bytearray(375)
-            h[:4], h[24], h[25] = b"LASF", 1, 4
-            struct.pack_into("<HII", h, 94, 375, 375, 0)
-            struct.pack_into("<BHI", h, 104, 6, 30, 0)
-            struct.pack_into("<3d", h, 131, *scales)
-            struct.pack_into("<3d", h, 155, *offsets)
-            box = [v for j in range(3) for v in (max(r.high[j] for r in done), min(r.low[j] for r in done))] if n else [0.0] * 6
-            struct.pack_into("<6d", h, 179, *box)
-            struct.pack_into("<Q", h, 247, n)
-            head = bytes(h)
+            low, high = np.array([r.low for r in done]).min(0) if n else None, np.array([r.high for r in done]).max(0) if n else None
+            head = _head(n, low, high, scales, offsets)
         whole = os.path.join(parts, "whole")
         with open(whole, "wb") as f:
             f.write(head)
             for r in done:
                 with open(r.name, "rb") as part:
                     shutil.copyfileobj(part, f, 1 << 20)
-        os.replace(whole, path)
+        replaced(whole, path)
     finally:
         shutil.rmtree(parts, ignore_errors=True)
     return n
 
 
-def load(spark: SparkSession, path: str, **options) -> DataFrame:
+def load(spark: SparkSession, path: str, columns: str | None = None, **options) -> DataFrame:
+    """Points of a file or folder; columns, such as "x double, cls int", names those to make."""
     spark.dataSource.register(LasSource)
-    return spark.read.format("las").options(**options).load(path)
+    read = spark.read.format("las").options(**options)
+    return (read.schema(columns) if columns else read).load(path)
+
+
+def save(points: DataFrame, folder: str, mode: str = "append", **options) -> None:
+    """A folder of LAS files, one a task."""
+    points.sparkSession.dataSource.register(LasSource)
+    points.write.format("las").mode(mode).options(**options).save(folder)
 
 
 def validate(spark: SparkSession, source: str, output: str, receipt: str | None = None) -> bool:
@@ -201,6 +341,18 @@ def validate(spark: SparkSession, source: str, output: str, receipt: str | None
     return same
 
 
+def same_attributes(spark: SparkSession, source: str, output: str) -> bool:
+    """Whether all bytes of all records but the class are the same, record by record: what a release must not change."""
+    h = header(source)
+    if any(h[k] != header(output)[k] for k in ("count", "format", "length", "scales", "offsets")):
+        return False
+    at = 16 if h["format"] < 6 else 17  # the byte after the class, counted from 1
+    rest = lambda df, name: df.select("point_id", F.concat(F.substring("record", 1, at - 1), F.substring("record", at + 1, h["length"])).alias(name), *([(F.conv(F.hex(F.substring("record", at, 1)), 16, 10).cast("int").bitwiseAND(0xE0)).alias(f"{name}_flags")] if h["format"] < 6 else []))
+    a, b = rest(load(spark, source, raw="true"), "a"), rest(load(spark, output, raw="true"), "b")
+    differs = "NOT (a <=> b)" + (" OR NOT (a_flags <=> b_flags)" if h["format"] < 6 else "")
+    return a.join(b, "point_id", "full").where(differs).isEmpty()
+
+
 def same_points(source: DataFrame, output: DataFrame) -> bool:
     """Whether both have the same ids with the same raw coordinates."""
     a = source.select("point_id", "x_raw", "y_raw", "z_raw")
