@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut
 from ..sources.points import BUILDING, GROUND, LOW_VEG, NOISE, VEHICLE, height, relabel
 from . import grid, terrain
 from .rules import VEGETATION, is_class
 from .spatial import near
 
+
 def extents() -> list[Column]:
     return [F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(f"d{c}") for c in "xyz"]]
 
@@ -47,6 +49,13 @@ def car_blobs(points: DataFrame, sources=VEGETATION, band: tuple[float, float] =
     return members, stats.where(fits).select("component", "xmin", "xmax", "ymin", "ymax", "zmax")
 
 
+def find_car_blobs(points: DataFrame, target: int = VEHICLE, **options) -> tuple[DataFrame, DataFrame]:
+    """(points, boxes of the blobs that became target)."""
+    members, boxes = car_blobs(points, **options)
+    members, boxes = cut(members), cut(boxes)
+    return mark_blobs(points, members, boxes, target), boxes.drop("component")
+
+
 def extract_car_blobs(points: DataFrame, target: int = VEHICLE, **options) -> DataFrame:
     members, boxes = car_blobs(points, **options)
     return mark_blobs(points, members, boxes, target)

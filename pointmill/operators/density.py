@@ -20,13 +20,14 @@ from pyspark.sql.window import Window
 from ..functions.storage import cut
 from ..sources.points import CAR, GHOST, MED_VEG, PEDESTRIAN, VEHICLE, height
 from . import grid
-from .blobs import group_shapes, is_car, is_ghost, is_pedestrian, vehicle_boxes
+from .blobs import group_shapes, is_car, is_ghost, is_pedestrian
 from .graph import connected_components
 from .links import links
 from .rules import is_class, peel_car_volume
 
 VOXEL = ["vx", "vy", "vz"]
 BOX = ["bx", "by", "bz"]
+EDGES = ["xmin", "xmax", "ymin", "ymax", "zmax"]
 
 
 def boxes(size: float) -> list[Column]:
@@ -140,30 +141,40 @@ def _chosen(groups: DataFrame) -> DataFrame:
     return done.where("stays").select("g")
 
 
-def object_classes(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, peel: dict | None = None, **options) -> DataFrame:
-    """Groups of medium vegetation that look like a car, else a ghost, else a person; then what is left of medium vegetation (or of the classes that `peel` names) in the cars' boxes."""
+def object_groups(points: DataFrame, car: int = CAR, person: int = PEDESTRIAN, ghost: int = GHOST, peel: dict | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(points, boxes of the cars): groups of medium vegetation that look like a car, else a ghost, else a person; then what is left of medium vegetation (or of the classes that `peel` names) in the cars' boxes."""
     found = cut(density_groups(points.where(is_class(MED_VEG)), **options).where("group_id IS NOT NULL"))
     kind = F.when(is_car(), car).when(is_ghost(), ghost).when(is_pedestrian(), person)
-    kinds = cut(group_shapes(found).select("group_id", kind.alias("kind"), "xmin", "xmax", "ymin", "ymax", "zmax").where("kind IS NOT NULL"))
+    kinds = cut(group_shapes(found).select("group_id", kind.alias("kind"), is_car().alias("car"), *EDGES).where("kind IS NOT NULL"))
     new = found.join(kinds.select("group_id", "kind"), "group_id").select("point_id", "kind")
     named = points.join(new, "point_id", "left").withColumn("cls", F.coalesce("kind", "cls").cast("int")).drop("kind")
-    return peel_car_volume(named, kinds.where(F.col("kind") == car).drop("group_id", "kind"), target=car, **({"sources": (MED_VEG,)} | (peel or {})))
+    boxes = kinds.where("car").select(*EDGES)
+    return peel_car_volume(named, boxes, target=car, **({"sources": (MED_VEG,)} | (peel or {}))), boxes
 
 
-def extract_cars(points: DataFrame, sources, target: int = VEHICLE, min_h: float = 0.10, max_h: float | None = None, strict: bool = False, least: int = 25, samples: int = 6, epsilon: float = 0.45, **options) -> DataFrame:
-    """Groups of source points in a height band that look like cars."""
+def object_classes(points: DataFrame, **options) -> DataFrame:
+    return object_groups(points, **options)[0]
+
+
+def car_groups(points: DataFrame, sources, target: int = VEHICLE, min_h: float = 0.10, max_h: float | None = None, strict: bool = False, least: int = 25, samples: int = 6, epsilon: float = 0.45, **options) -> tuple[DataFrame, DataFrame]:
+    """(points, boxes): groups of source points in a height band that look like cars."""
     h = height()
     band = is_class(*sources) & (h > min_h) if max_h is None else is_class(*sources) & (h > min_h) & (h <= max_h)
     found = cut(density_groups(points.where(band), least, samples, epsilon, **options).where("group_id IS NOT NULL"))
-    cars = group_shapes(found).where(is_car(strict)).select("group_id")
+    cars = cut(group_shapes(found).where(is_car(strict)).select("group_id", *EDGES))
     hit = found.join(cars, "group_id", "left_semi").select("point_id").withColumn("hit", F.lit(True))
-    return points.join(hit, "point_id", "left").withColumn("cls", F.when(F.col("hit"), target).otherwise(F.col("cls")).cast("int")).drop("hit")
+    named = points.join(hit, "point_id", "left").withColumn("cls", F.when(F.col("hit"), target).otherwise(F.col("cls")).cast("int")).drop("hit")
+    return named, cars.select(*EDGES)
+
+
+def extract_cars(points: DataFrame, sources, target: int = VEHICLE, *args, **options) -> DataFrame:
+    return car_groups(points, sources, target, *args, **options)[0]
 
 
 def last_cars(points: DataFrame, target: int = VEHICLE, **options) -> DataFrame:
-    """The final sweep over vegetation: cars among its groups, then what is left of it in the vehicles' boxes."""
-    swept = extract_cars(points, (3, 4, 5), target, **options)
-    return peel_car_volume(swept, vehicle_boxes(swept, target), target=target, sources=(3, 4, 5), pad=0.60, min_h=0.05, dilate=2)
+    """The final sweep over vegetation: cars among its groups, then what is left of it in their boxes."""
+    swept, boxes = car_groups(points, (3, 4, 5), target, **options)
+    return peel_car_volume(swept, boxes, target=target, sources=(3, 4, 5), pad=0.60, min_h=0.05, dilate=2)
 
 
 def outliers(points: DataFrame, neighbours: int = 20, ratio: float = 2.0, radius: float | None = None) -> DataFrame:

@@ -8,8 +8,6 @@ small marks.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -275,7 +273,3 @@ def peel_car_residuals(points: DataFrame, seed: int = VEHICLE, target: int = VEH
     marked = grid.with_cells(points, cell, seeds | chosen, radius)
     cells = grid.dilate(marked.where(seeds).select(*grid.CELL).distinct(), reach)
     return relabel(grid.mark(marked, cells), chosen & F.col("hit"), target).drop("hit", *grid.CELL)
-
-
-def in_turn(points: DataFrame, *rules) -> DataFrame:
-    return reduce(lambda df, rule: rule(df), rules, points)

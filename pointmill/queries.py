@@ -155,6 +155,14 @@ def near_sql(cond: str, r: float, target: int = 6, name: str = "nb", source: str
 _JUNK = "cls = 2 AND h > 0.01 AND h < 4.0"
 rule("junk_peel", lambda p: rules.peel_junk(p, min_h=0.01, protect_m=0.45), f"CASE WHEN {_JUNK} AND NOT (point_id IN (SELECT point_id FROM nb) AND h < 0.45) THEN 7 END", near_sql(_JUNK, 0.45))
 rule("ground_noise", lambda p: rules.peel_ground_noise(p, above=0.02, curb_max=0.03), "CASE WHEN cls = 2 AND h BETWEEN 0.08 AND 0.03 + 0.06 THEN 3 WHEN cls = 2 AND (h > 0.02 OR h < -0.06) THEN 7 END")
+_OFF = "c1 = 2 AND (h > 0.02 OR h < -0.06)"
+rule(
+    "ground_noise_guarded",
+    lambda p: rules.peel_ground_noise(p, above=0.02, curb_max=0.03, sparse=True, sparse_cell=0.5, protect_m=0.45),
+    "CASE WHEN c2 = 2 AND EXISTS (SELECT 1 FROM few f WHERE f.vx = v.vx AND f.vy = v.vy AND f.vz = v.vz) THEN 7 ELSE c2 END",
+    f"q1 AS (SELECT *, CASE WHEN cls = 2 AND h BETWEEN 0.08 AND 0.03 + 0.06 THEN 3 ELSE cls END AS c1 FROM p), {near_sql(_OFF, 0.45, source='q1').replace('c1 =', 's.c1 =')}, q2 AS (SELECT *, CASE WHEN {_OFF} AND NOT (point_id IN (SELECT point_id FROM nb) AND h < 2.8) THEN 7 ELSE c1 END AS c2 FROM q1), vox AS (SELECT *, floor(x / 0.5) AS vx, floor(y / 0.5) AS vy, floor(z / 0.5) AS vz FROM q2), few AS (SELECT vx, vy, vz FROM vox WHERE c2 = 2 GROUP BY ALL HAVING count(*) < 4)",
+    "vox v",
+)
 rule("box_peel", lambda p: rules.peel_box(p, (1.0, 5.2, 1.5, 3.4, 1.6)), "CASE WHEN cls IN (3, 4) AND h BETWEEN 0.05 AND 0.55 AND x BETWEEN 1.0 - 0.4 AND 5.2 + 0.4 AND y BETWEEN 1.5 - 0.4 AND 3.4 + 0.4 AND z <= 1.6 + 0.25 THEN 9 END")
 
 # voxels and cells
@@ -246,6 +254,7 @@ r AS ({spread('rr', radius, value='top')})"""
 
 over_scene("box_raster", f"{raster_sql(0.85, 2)} SELECT ix, iy, top FROM r", lambda p: grid.box_raster(boxes(p), p, 0.25, 0.85, 2))
 rule("peel_car_volume", lambda p: rules.peel_car_volume(p, boxes(p)), "CASE WHEN cls IN (2, 3, 4, 5) AND h >= 0.06 AND z <= top + 0.4 THEN 9 END", raster_sql(0.45, 1), "c LEFT JOIN r USING (ix, iy)")
+rule("peel_car_volume_guarded", lambda p: rules.peel_car_volume(p, boxes(p), away_m=0.45), "CASE WHEN cls IN (2, 3, 4, 5) AND h >= 0.06 AND z <= top + 0.4 AND point_id NOT IN (SELECT point_id FROM nb) THEN 9 END", f"{raster_sql(0.45, 1)}, {near_sql('cls IN (2, 3, 4, 5) AND h >= 0.06', 0.45)}", "c LEFT JOIN r USING (ix, iy)")
 rule("peel_footprint", lambda p: rules.peel_footprint(p, boxes(p)), "CASE WHEN cls IN (2, 3, 4) AND z <= top + 0.35 THEN 9 END", raster_sql(0.85, 2), "c LEFT JOIN r USING (ix, iy)")
 rule("car_residuals_boxes", lambda p: rules.peel_car_residuals(p, boxes=boxes(p), min_h=0.01), "CASE WHEN cls = 2 AND h BETWEEN 0.01 AND 0.9 AND top IS NOT NULL THEN 9 END", raster_sql(0.75, 3), "c LEFT JOIN r USING (ix, iy)")
 _SEED, _LOWG = "cls = 9 AND h BETWEEN 0.1 AND 3.5", "cls = 2 AND h BETWEEN 0.01 AND 0.9"
@@ -266,8 +275,8 @@ SELECT point_id, round(h, 6) AS h, round(log_n, 6) AS log_n, round(v_span, 6) AS
 _CAR = "cls IN (3, 4, 5, 9) AND h BETWEEN 0.35 AND 2.3"
 
 
-def car_sql(cond: str) -> str:
-    return f"""{cells(0.25, cond)}, m0 AS (SELECT * FROM c WHERE {cond}), k AS (SELECT DISTINCT ix, iy FROM m0), ok AS ({opened('k', 2)}), {components('ok')},
+def car_sql(cond: str, source: str = "p") -> str:
+    return f"""{cells(0.25, cond, source=source)}, m0 AS (SELECT * FROM c WHERE {cond}), k AS (SELECT DISTINCT ix, iy FROM m0), ok AS ({opened('k', 2)}), {components('ok')},
 m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)),
 s AS (SELECT lab, count(*) AS n, greatest(max(x) - min(x), max(y) - min(y)) AS l, least(max(x) - min(x), max(y) - min(y)) AS w, max(z) - min(z) AS dz, quantile_cont(h, 0.5) AS p50, quantile_cont(h, 0.9) AS p90, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax, max(z) AS zmax FROM m GROUP BY lab),
 good AS (SELECT * FROM s WHERE l BETWEEN 2 AND 8 AND w BETWEEN 1.15 AND 3.9 AND w / l BETWEEN 0.28 AND 0.9 AND n BETWEEN 120 AND 120000 AND p50 BETWEEN 0.4 AND 1.9 AND p90 <= 2.35 AND dz BETWEEN 0.45 AND 2.7 AND n / (l * w) >= 10)"""
@@ -275,6 +284,8 @@ good AS (SELECT * FROM s WHERE l BETWEEN 2 AND 8 AND w BETWEEN 1.15 AND 3.9 AND
 
 _BLOB = "CASE WHEN point_id IN (SELECT point_id FROM m WHERE lab IN (SELECT lab FROM good)) THEN {} END"
 rule("car_blobs", lambda p: blobs.extract_car_blobs(p, target=66, sources=(3, 4, 5, 9)), _BLOB.format(66), car_sql(_CAR))
+_OPEN = f"{cells(0.40, name='c4')}, tl0 AS (SELECT DISTINCT ix, iy FROM c4 WHERE h >= 1.4), tl AS ({spread('tl0', 1, True)}), q AS (SELECT c4.* EXCLUDE (ix, iy), (ix, iy) IN (SELECT (ix, iy) FROM tl) AS tall FROM c4)"
+rule("car_blobs_in_the_open", lambda p: blobs.extract_car_blobs(p, target=66, sources=(3, 4, 5, 9), under_tall=1.4), _BLOB.format(66), f"{_OPEN}, {car_sql(_CAR + ' AND NOT tall', 'q')}")
 _CURB = "cls = 7 AND h BETWEEN 0.06 AND 0.50"
 rule("restore_curbs", lambda p: blobs.restore_curbs(p, cell=0.5, width=6.0), _BLOB.format(3),
      f"{cells(0.5, _CURB)}, m0 AS (SELECT * FROM c WHERE {_CURB}), k AS (SELECT DISTINCT ix, iy FROM m0), dl AS ({spread('k', 1)}), {components('dl')}, m AS (SELECT m0.*, lab FROM m0 JOIN comp USING (ix, iy)), s AS (SELECT lab, (max(ix) - min(ix)) * 0.5 AS dx, (max(iy) - min(iy)) * 0.5 AS dy FROM comp GROUP BY lab), good AS (SELECT lab FROM s WHERE greatest(dx, dy) >= 0.7 AND least(dx, dy) <= 6.0 AND greatest(dx, dy) / greatest(least(dx, dy), 0.5 / 2) >= 3 AND lab IN (SELECT lab FROM m GROUP BY lab HAVING count(*) >= 4))")
@@ -335,6 +346,33 @@ rule(
     ),
     "z",
 )
+rule(
+    "object_groups_wide",
+    lambda p: density.object_classes(rules.layers(p), peel=classify.WIDE_PEEL),
+    "CASE WHEN coalesce(kind, cls) IN (2, 3, 4, 5) AND h >= 0.05 AND z <= top + 0.4 THEN 66 ELSE kind END",
+    f"q AS (SELECT * REPLACE (CAST({{new}} AS INTEGER) AS cls) FROM p), {groups_sql('cls = 4', 30, 6, 0.4, source='q')}, s AS (SELECT lab, count(*) AS n, {_SPAN} FROM gm GROUP BY lab), kinds AS (SELECT *, CASE WHEN {_IS_CAR} THEN 66 WHEN {_IS_GHOST} THEN 8 WHEN {_IS_PERSON} THEN 67 END AS kind FROM s), {{raster}}, kp AS (SELECT point_id, kind FROM gm JOIN kinds USING (lab)), z AS (SELECT q.*, kind, top FROM q LEFT JOIN kp USING (point_id) JOIN (SELECT point_id, top FROM c LEFT JOIN r USING (ix, iy)) USING (point_id))".format(
+        new="CASE WHEN h < 0 THEN cls WHEN h < 0.35 THEN 3 WHEN h < 2.2 THEN 4 ELSE 5 END", raster=raster_sql(0.60, 1, boxes="bx AS (SELECT * FROM kinds WHERE kind = 66)")
+    ),
+    "z",
+)
+rule(
+    "last_cars",
+    density.last_cars,
+    "CASE WHEN car OR cls IN (3, 4, 5) AND h >= 0.05 AND z <= top + 0.4 THEN 9 END",
+    f"{groups_sql('cls IN (3, 4, 5) AND h > 0.10', 25, 6, 0.45)}, s AS (SELECT lab, count(*) AS n, {_SPAN} FROM gm GROUP BY lab), cars AS (SELECT * FROM s WHERE {_IS_CAR}), {raster_sql(0.60, 2, boxes='bx AS (SELECT * FROM cars)')}, hit AS (SELECT point_id FROM gm WHERE lab IN (SELECT lab FROM cars)), z AS (SELECT c.*, top, point_id IN (SELECT point_id FROM hit) AS car FROM c LEFT JOIN r USING (ix, iy))",
+    "z",
+)
+_COVARIANCE = ", ".join(f"{'var_pop' if a == b else 'covar_pop'}({a if a == b else a + ', ' + b}) AS c{a}{b}" for a, b in ("xx", "yy", "zz", "xy", "xz", "yz"))
+_FLATNESS = """e1 AS (SELECT *, (cxx + cyy + czz) / 3 AS q FROM s), e2 AS (SELECT *, sqrt(((cxx - q) ** 2 + (cyy - q) ** 2 + (czz - q) ** 2 + 2 * (cxy ** 2 + cxz ** 2 + cyz ** 2)) / 6) AS p FROM e1),
+e3 AS (SELECT *, CASE WHEN p > 0 THEN ((cxx - q) * ((cyy - q) * (czz - q) - cyz * cyz) - cxy * (cxy * (czz - q) - cyz * cxz) + cxz * (cxy * cyz - (cyy - q) * cxz)) / (2 * p ** 3) ELSE 0 END AS r FROM e2),
+e4 AS (SELECT *, acos(greatest(-1.0, least(1.0, r))) / 3 AS phi FROM e3), e5 AS (SELECT *, (q + 2 * p * cos(phi + 2 * pi() / 3)) / nullif(q + 2 * p * cos(phi), 0) AS flat FROM e4)"""
+_IS_STRICT = "l BETWEEN 2 AND 8.5 AND w BETWEEN 1.1 AND 3.9 AND dz BETWEEN 0.55 AND 2.6 AND p90 BETWEEN 0.45 AND 2.4 AND p50 BETWEEN 0.30 AND 1.8 AND n BETWEEN 80 AND 120000 AND n / greatest(l * w, 0.01) >= 12 AND w / greatest(l, 0.01) BETWEEN 0.28 AND 0.88 AND n / (l * w * greatest(dz, 0.3)) >= 6 AND flat >= 0.035 AND dz / greatest(w, 0.05) <= 2.2"
+rule(
+    "density_cars_strict",
+    lambda p: density.extract_cars(p, (3, 4, 5, 9), 66, 0.08, 2.5, strict=True),
+    "CASE WHEN point_id IN (SELECT point_id FROM gm WHERE lab IN (SELECT lab FROM e5 WHERE " + _IS_STRICT + ")) THEN 66 END",
+    f"{groups_sql(_BAND, 25, 6, 0.45)}, s AS (SELECT lab, count(*) AS n, {_SPAN}, {_COVARIANCE} FROM gm GROUP BY lab), {_FLATNESS}",
+)
 _NEAR_K = "SELECT a.point_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2 FROM"
 over_scene(
     "outliers",
@@ -452,7 +490,7 @@ over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pendin
 # beyond SQL: the forest and the stages; tests hold them against small fixtures
 
 over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).select("point_id", "cls"))
-over_scene("classify_scene", None, lambda p: classify.classify(p).select("point_id", "cls"))
+over_scene("classify_scene", None, lambda p: classify.classify(p, reset=True).select("point_id", "cls"))
 over_scene(
     "density_hierarchy",
     None,
