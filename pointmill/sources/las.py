@@ -72,22 +72,12 @@ class _Range(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    """Reads the columns that its schema names; files whose header box lies outside the filters on x, y and z are not opened again."""
+    """Reads the columns that its schema names."""
 
     def __init__(self, paths: list[str], records: int, names: list[str]) -> None:
         self.paths, self.records, self.names = paths, records, names
         self.low, self.high = dict.fromkeys("xyz", -math.inf), dict.fromkeys("xyz", math.inf)
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for f in filters:
-            c = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if c in self.low and isinstance(getattr(f, "value", None), int | float):
-                if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
-                    self.low[c] = max(self.low[c], f.value)
-                if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
-                    self.high[c] = min(self.high[c], f.value)
-            yield f  # a box says nothing about single points: Spark tests them
-
     def _wanted(self, h: dict) -> bool:
         # a box may be rounded by a step of the raw coordinates
         step = dict(zip("xyz", h["scales"], strict=True))
@@ -126,6 +116,20 @@ class _Reader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([pa.array(made[c]()) for c in self.names], self.names)
 
 
+class _PrunedReader(_Reader):
+    """Files whose header box lies outside the filters on x, y and z are not read."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            c = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if c in self.low and isinstance(getattr(f, "value", None), int | float):
+                if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
+                    self.low[c] = max(self.low[c], f.value)
+                if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
+                    self.high[c] = min(self.high[c], f.value)
+            yield f  # a box says nothing about single points: Spark tests them
+
+
 def _words(option: str | None, default: tuple[float, ...]) -> tuple[float, ...]:
     return tuple(float(v) for v in option.split(",")) if option else default
 
@@ -226,8 +230,9 @@ class LasSource(DataSource):
     """Options: path (a file or a folder, searched for .las in any case), records (points a partition), raw (true for a column `record` of each record's bytes).
 
     A schema given to the reader may name some of the columns; the others are not made.
-    Filters on x, y and z skip files by their header boxes where the session allows
-    them to be pushed down (spark.sql.python.filterPushdown.enabled). Writing takes
+    With option prune, filters on x, y and z skip files by their header boxes; the
+    session must allow such filters (spark.sql.python.filterPushdown.enabled), and
+    `load` sets the option where it does. Writing takes
     options scales and offsets, three numbers each, and makes files of format 6.
     """
 
@@ -241,7 +246,8 @@ class LasSource(DataSource):
     def reader(self, schema) -> _Reader:
         path = self.options["path"]
         found = [path] if os.path.isfile(path) else sorted(os.path.join(d, x) for d, _, names in os.walk(path) for x in names if x.lower().endswith((".las", ".laz")) and ".writing-" not in d)
-        return _Reader(found, int(self.options.get("records", 1_000_000)), schema.fieldNames())
+        kind = _PrunedReader if self.options.get("prune", "false").lower() == "true" else _Reader
+        return kind(found, int(self.options.get("records", 1_000_000)), schema.fieldNames())
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         missing = {"x", "y", "z", "cls"} - set(schema.fieldNames())
@@ -269,8 +275,10 @@ def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0
                 xyz = np.column_stack([b[c].to_numpy() for c in "xyz"])
                 cls = b["cls"].to_numpy().astype(np.uint8)
                 if like:
-                    out = np.frombuffer(b"".join(b["record"].to_pylist()), layout).copy()
-                    out["c"] = cls if shape["format"] >= 6 else (out["c"] & 0xE0) | (cls & 31)
+                    # as plain bytes: a structured copy would not keep what lies between the fields
+                    out = np.frombuffer(bytearray(b"".join(b["record"].to_pylist())), np.uint8).reshape(-1, shape["length"])
+                    at = layout.fields["c"][1]
+                    out[:, at] = cls if shape["format"] >= 6 else (out[:, at] & 0xE0) | (cls & 31)
                 else:
                     out = _records(b, scales, offsets)
                 f.write(out.tobytes())
@@ -305,7 +313,8 @@ def write(points: DataFrame, path: str, scales=(0.001, 0.001, 0.001), offsets=(0
 def load(spark: SparkSession, path: str, columns: str | None = None, **options) -> DataFrame:
     """Points of a file or folder; columns, such as "x double, cls int", names those to make."""
     spark.dataSource.register(LasSource)
-    read = spark.read.format("las").options(**options)
+    prune = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    read = spark.read.format("las").options(**({"prune": prune} | options))
     return (read.schema(columns) if columns else read).load(path)
 
 

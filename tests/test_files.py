@@ -18,7 +18,7 @@ def cloud(spark, rows):
 
 def reader(folder, *names):
     files = sorted(os.path.join(folder, x) for x in os.listdir(folder) if x.endswith(".las"))
-    return las._Reader(files, 1_000_000, list(names))
+    return las._PrunedReader(files, 1_000_000, list(names))
 
 
 def test_boxes_skip_files_and_schemas_skip_columns(spark, tmp_path):
