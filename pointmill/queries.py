@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.quantiles import quantiles
 from .functions.storage import cut, shared_dir
-from .operators import blobs, density, grid, quadtree, refine, rules, spatial, terrain
+from .operators import blobs, cloth, density, grid, quadtree, refine, rules, spatial, terrain
 from .plans import classify, evaluate, layout, tasks, tiles
 from .sources.points import BUILDING, GROUND, NOISE, VEHICLE, height, scene, scene_sql
 
@@ -491,6 +491,7 @@ over_queue("cancel_task", "SELECT id, CASE WHEN task_id = 3 AND status = 'pendin
 
 over_scene("stages_front", None, lambda p: classify.classify(p, ["ground", "building", "layers", "paving"]).select("point_id", "cls"))
 over_scene("classify_scene", None, lambda p: classify.classify(p, reset=True).select("point_id", "cls"))
+over_scene("cloth_ground", None, cloth.cloth_ground)
 over_scene(
     "density_hierarchy",
     None,

@@ -213,3 +213,42 @@ def test_hierarchy_tells_touching_cars_apart(spark):
     assert len(found_groups(density.density_groups(p, 25, 6, 0.45))) == 1
     apart = found_groups(density.density_hierarchy(p, 25, 6, 0.12, 0.9, 8))
     assert len(apart) == 2 and all(max(g) < 4000 or 4000 <= min(g) and max(g) < 8000 for g in apart)
+
+
+# the cloth
+
+
+def slow_cloth(floor, start, steps, rigidness, dt):
+    """One cell at a time, over {cell: floor}."""
+    z, old = dict.fromkeys(floor, start), dict.fromkeys(floor, start)
+    for _ in range(steps):
+        free = {c for c in floor if z[c] > floor[c]}
+        new = {c: z[c] + (z[c] - old[c]) * 0.99 - 0.2 * dt * dt if c in free else z[c] for c in floor}
+        for _ in range(rigidness):
+            near = {c: [new[n] for n in ((c[0] + 1, c[1]), (c[0] - 1, c[1]), (c[0], c[1] + 1), (c[0], c[1] - 1)) if n in new] for c in floor}
+            new = {c: new[c] + 0.3 * (sum(near[c]) / len(near[c]) - new[c]) if c in free and near[c] else new[c] for c in floor}
+        z, old = {c: max(new[c], floor[c]) for c in floor}, z
+    return z
+
+
+def test_cloth_does_not_depend_on_tiles(spark):
+    from pointmill.operators import cloth
+
+    r = np.random.default_rng(10)
+    ground = np.column_stack([r.uniform(0, 12, (1500, 2)), r.uniform(0, 0.03, 1500)])
+    roof = np.column_stack([r.uniform(3, 7, (900, 2)), r.uniform(3.0, 3.05, 900)])
+    hole = ~((ground[:, 0] > 3) & (ground[:, 0] < 7) & (ground[:, 1] > 3) & (ground[:, 1] < 7))
+    p = cloud(spark, np.vstack([ground[hole], roof]))
+    options = {"cell": 1.0, "iterations": 12, "steps": 4, "still": 0.0, "margin": 1}
+    got = [{(x.ix, x.iy): -x.gz for x in cloth.cloth(p, tile=tile, **options).collect()} for tile in (5, 64)]
+    lows = {}
+    for x, y, z in np.vstack([ground[hole], roof]):
+        c = (int(x - ground[hole][:, 0].min()), int(y - ground[hole][:, 1].min()))
+        lows[c] = max(lows.get(c, -math.inf), -z)
+    floor = {(i + a, j + b): -math.inf for i, j in lows for a in (-1, 0, 1) for b in (-1, 0, 1)} | lows
+    want = slow_cloth(floor, max(lows.values()) + 0.1, 12, 3, 0.65)
+    assert set(got[0]) == set(got[1]) == set(want)
+    assert all(abs(got[k][c] - want[c]) < 1e-9 for k in (0, 1) for c in want)
+    found = {x.point_id for x in cloth.cloth_ground(p, cell=1.0).collect()}
+    n = int(hole.sum())
+    assert len(found & set(range(n))) > 0.95 * n and not found & set(range(n, n + 900))
