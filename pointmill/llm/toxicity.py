@@ -5,16 +5,21 @@ into buckets; a bucket has an embedding. A passage of words is the average of
 its words' embeddings (a word being the average of its subwords), and a linear
 softmax scores it. Embeddings and softmax are trained jointly in numpy with
 Adam. A document is toxic if some passage is, so passages pool through a
-log-mean-exp; a long text is not washed out by its harmless rest.
+log-sum-exp; a long text is not washed out by its harmless rest.
 
-The classifier is fitted on a bounded sample of labelled rows (`max_docs`, by a
-hash of the id); every row is scored on its whole text. Texts without words (null
+Few documents have many n-grams, so a free embedding for each learns the rows by
+heart. Only buckets whose counts of documents differ between the labels more than
+one of all buckets would by chance have an embedding; the others stay at zero.
+
+The classifier is fitted on a bounded sample of labelled rows (`max_docs` of them
+and `max_bytes` of text, by a hash of the id); every row is scored on its whole text. Texts without words (null
 and empty ones among them) score 0. Rows are scored alone, so ties, repeated
 rows, null ids and empty tables need nothing special; without labelled rows of
 both kinds every other score is the rate of label 1 (0.0 without labels). Other
 columns are ignored.
 """
 
+import heapq
 import io
 
 import numpy as np
@@ -26,6 +31,8 @@ from .words import ALNUM, mix, parts, release, split, utf8
 
 ORDERS, LOG2_BUCKETS, DIM, PASSAGE = (3, 4, 5, 6), 17, 4, 24
 TAU = 0.5
+#: One of 2^17 buckets whose counts are independent of the labels has a G statistic above this (chi-square, one degree).
+GATE = 20.0
 #: The logit of a text without words.
 NOTHING = -1000.0
 
@@ -135,7 +142,24 @@ def pool(z: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.where(some, np.where(some, top, 0) + TAU * np.log(np.maximum(total, 1e-300)), NOTHING)
 
 
-def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.15, seed: int = 7, decay: float = 1e-5) -> Model:
+def telling(bags: np.ndarray, bounds: np.ndarray, docs: list[np.ndarray], labels: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Which buckets tell the labels apart: the G statistic of the numbers of documents with and without one is above GATE.
+
+    docs holds the word numbers of each document.
+    """
+    held = np.zeros((2, n_buckets))
+    for words, y in zip(docs, labels, strict=True):
+        words = np.unique(words)
+        count = bounds[words + 1] - bounds[words]
+        at = np.repeat(bounds[words], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        held[int(y), np.unique(bags[at])] += 1
+    size = np.bincount(labels.astype(int), minlength=2)[:, None]
+    seen = np.stack([held, size - held])
+    expected = seen.sum(1, keepdims=True) * size / size.sum()
+    return 2 * (seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300))).sum((0, 1)) > GATE
+
+
+def train(texts: pa.Array, labels: np.ndarray, steps: int = 100, rate: float = 0.15, seed: int = 7, decay: float = 1e-5) -> Model:
     """Fit embeddings and softmax together; full-batch Adam on the mean log loss."""
     n_buckets = 1 << LOG2_BUCKETS
     y = labels.astype(np.float64)
@@ -144,34 +168,28 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
         return Model(np.zeros(n_buckets), float(np.log(max(p, 1e-9) / max(1 - p, 1e-9))))
     w = split(texts, ALNUM)
     number, at = _distinct_words(w)
-    buckets, bounds = _bags(w, at)  # a word has one 3-gram at least, so no range is empty
-    used = np.flatnonzero(np.bincount(buckets, minlength=n_buckets))
-    dense = np.zeros(n_buckets, np.int32)
-    dense[used] = np.arange(len(used))
-    slot = dense[buckets]
-    sizes = np.diff(bounds).astype(np.float32)
-    by_slot = np.argsort(slot, kind="stable")
-    slot_bounds = np.cumsum(np.bincount(slot, minlength=len(used)))
-    slot_bounds = np.append(0, slot_bounds[:-1])
-    slot_words = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(bounds))[by_slot]
-    del by_slot, buckets
+    buckets, bounds = _bags(w, at)
     first, row = _passages(w, PASSAGE)
-    length = np.diff(first).astype(np.float32)
-    number = number.astype(np.int32)
-    by_word = np.argsort(number, kind="stable")
-    word_bounds = np.append(0, np.cumsum(np.bincount(number, minlength=len(at)))[:-1])
-    word_passages = np.repeat(np.arange(len(row), dtype=np.int32), np.diff(first))[by_word]
-    del by_word, w
+    kept = telling(buckets, bounds, [number[a:z] for a, z in zip(w.first[:-1], w.first[1:], strict=True)], y, n_buckets)
+    del w
+    used = np.flatnonzero(kept)
+    # the kept n-grams of words that have some, and the places of these words
+    live = kept[buckets]
+    word_of = np.repeat(np.arange(len(at)), np.diff(bounds))[live]
+    slot = np.searchsorted(used, buckets[live])
+    share = 1 / np.diff(bounds)[word_of]
+    has = np.isin(number, word_of)
+    passage_of = np.repeat(np.arange(len(row)), np.diff(first))[has]
+    number, length = number[has], np.diff(first).astype(np.float64)
     rng = np.random.default_rng(seed)
-    emb = rng.normal(0, 0.1, (DIM, len(used))).astype(np.float32)
-    soft = rng.normal(0, 0.5, (2, DIM)).astype(np.float32)
-    bias = np.array([0.0, np.log(y.mean() / (1 - y.mean())) - 1.0], np.float32)
+    emb, soft = rng.normal(0, 0.1, (DIM, len(used))), rng.normal(0, 0.5, (2, DIM))
+    bias = np.array([0.0, np.log(y.mean() / (1 - y.mean())) - 1.0])
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (emb, soft, bias)]
     for step in range(1, steps + 1):
-        words = np.stack([np.add.reduceat(e[slot], bounds[:-1]) for e in emb]) / sizes
-        bags = np.stack([np.add.reduceat(v[number], first[:-1]) for v in words]) / length
+        words = [np.bincount(word_of, e[slot] * share, len(at)) for e in emb]
+        bags = np.stack([np.bincount(passage_of, v[number], len(row)) for v in words]) / length
         logits = soft @ bags
-        z = (logits[1] - logits[0] + bias[1] - bias[0]).astype(np.float64)
+        z = logits[1] - logits[0] + bias[1] - bias[0]
         p = 1 / (1 + np.exp(-np.clip(pool(z, row, len(y)), -50, 50)))
         g_doc = (p - y) / len(y)
         top = np.full(len(y), -np.inf)
@@ -179,22 +197,38 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = 60, rate: float = 0.
         e = np.exp((z - top[row]) / TAU)
         g_z = g_doc[row] * e / np.bincount(row, e, len(y))[row]
         total = g_z.sum()
-        g_bag = (g_z / length).astype(np.float32)
-        g_word = np.add.reduceat(g_bag[word_passages], word_bounds) / sizes
-        g_slot = np.add.reduceat(g_word[slot_words], slot_bounds)
+        g_word = np.bincount(number, (g_z / length)[passage_of], len(at))
+        g_slot = np.bincount(slot, g_word[word_of] * share, len(used))
         g_soft = bags @ g_z
         grads = [(soft[1] - soft[0])[:, None] * g_slot + decay * emb, np.stack([-g_soft, g_soft]) + decay * soft, np.array([-total, total])]
         for x, g, m in zip((emb, soft, bias), grads, moments, strict=True):
             m[0] += 0.1 * (g - m[0])
             m[1] += 0.01 * (g * g - m[1])
-            x -= (rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            x -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
     logit = np.zeros(n_buckets)
     logit[used] = (soft[1] - soft[0]) @ emb
     return Model(logit, float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, target: str = "toxic", max_docs: int = 4500) -> Model:
-    """Fit on at most max_docs labelled rows: by hash, up to a third of them of label 1.
+def first_within(batches, size: int) -> list[tuple]:
+    """The longest run of rows (order, id, label, text), by order and id, whose texts have at most so many bytes; no more than a batch beyond that is held."""
+    heap, total, limit = [], 0, None
+    for b in batches:
+        for order, i, y, text in zip(*[b[c].to_pylist() for c in ("h", "id", "y", "text")], strict=True):
+            if limit is not None and (order, i) > limit:
+                continue
+            raw = (text or "").encode()
+            heapq.heappush(heap, (-order, -i, y, raw))
+            total += len(raw)
+            while total > size:
+                away = heapq.heappop(heap)
+                total -= len(away[3])
+                limit = min(limit or (-away[0], -away[1]), (-away[0], -away[1]))
+    return sorted((-h, -i, y, raw.decode()) for h, i, y, raw in heap if limit is None or (-h, -i) < limit)
+
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, target: str = "toxic", max_docs: int = 4500, max_bytes: int = 48_000_000) -> Model:
+    """Fit on at most max_docs labelled rows with at most max_bytes of text: by hash, up to a third of them of label 1.
 
     An id with several texts counts with the least of them, one with both labels as
     0. The sample's ids are bounded, so they are broadcast and other texts are not
@@ -207,12 +241,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, targ
     sample = [r for y, n in ((1, max_docs // 3), (0, max_docs - max_docs // 3)) for r in known.where(F.col("y") == y).distinct().orderBy(by, "id").limit(n).collect()]
     label = {r.id: r.y for r in sample}
     chosen = docs.sparkSession.createDataFrame(list(label.items()), "id bigint, y int")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text")).select(by.alias("h"), "id", "y", "text")
 
     def learn(batches):
-        table = pa.Table.from_batches(list(batches), pa.schema([("id", pa.int64()), ("y", pa.int32()), ("text", pa.string())])).sort_by("id").combine_chunks()
-        texts = table["text"].combine_chunks()
-        model = train(texts, table["y"].to_numpy())
+        sample = first_within(batches, max_bytes)
+        model = train(pa.array([r[3] for r in sample], pa.string()), np.array([r[2] for r in sample], dtype=int))
         release()
         yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], ["model"])
 
