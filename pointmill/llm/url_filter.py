@@ -26,7 +26,7 @@ FOLDS = 5
 RULES = (
     ("block", "com/en/"),
     ("allow", "example.com/en/7"),
-    ("block", "net/de/"),
+    ("allow", "net/de/"),
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )

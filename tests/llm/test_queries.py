@@ -458,6 +458,24 @@ def test_op10(spark, tables):
     assert np.mean(near) > 0.9
 
 
+def test_op10_follows_the_words_of_its_contract(spark, tmp_path):
+    said = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}  # as dealt, not read from the code
+    assert {rule: word for word, rule in url_filter.RULES} == said and len(url_filter.RULES) == len(said)
+    fits = {
+        "com/en/": ["http://com/en/", "http://example.com/en/6", "http://a.b.com/en/7", "http://notexample.com/en/7"],
+        "example.com/en/7": ["http://example.com/en/7", "http://A.EXAMPLE.com/en/77?x=net/de/"],
+        "net/de/": ["http://net/de/", "http://example.net/de/7", "http://a.net/de/8", "http://myexample.net/de/8#/es/"],
+        "example.net/de/8": ["http://example.net/de/8", "http://a.Example.NET/de/80"],
+        "org/es/": ["http://org/es/", "http://a.org/es/8?q"],
+        None: ["http://net/de", "http://net/DE/1", "http://example.org/en/7", "http://xnet/de/", "net/de/1", None],
+    }
+    pages = [(rule, url) for rule, urls in fits.items() for url in urls]
+    spark.createDataFrame([(i, url) for i, (_, url) in enumerate(pages)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in url_filter.op10_url_filter(spark, str(tmp_path)).collect()}
+    assert [got[i].rule for i in range(len(pages))] == [rule for rule, _ in pages]
+    assert all(got[i].verdict == said[rule] if rule else got[i].verdict in ("allow", "block") for i, (rule, _) in enumerate(pages))
+
+
 def test_held_out_urls(spark):
     from pyspark.sql import functions as F
 
