@@ -99,3 +99,44 @@ def test_op12(spark, tmp_path):
     spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n_bytes int").write.parquet(f"{tmp_path}/documents.parquet")
     got = Counter(tuple(r) for r in suffix_dedup.op12_suffix_dedup(spark, str(tmp_path)).collect())
     assert got == Counter({(*k[:4], hashlib.sha256(k[4]).hexdigest()): n for k, n in brute(rows, 400, False).items()})
+
+
+def test_what_many_rows_share_is_ranked_once(monkeypatch):
+    """Rows around one core: the same factors as without that knowledge, and fewer places to sort than there are bytes."""
+    letters = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    core, sides = letters(300), [letters(100) for _ in range(8)]
+    rows = [rng.choice(sides) + core + rng.choice(sides) for _ in range(60)]
+    data = np.frombuffer(b"".join(rows), np.uint8)
+    row, offset = np.divmod(np.arange(len(data)), 500)
+    shared = np.where(offset >= 100, np.maximum(400 - offset, 0), 0)
+    first = np.where(shared > 0, offset, np.arange(len(data)))
+    sorted_ones, unique = [], np.unique
+    monkeypatch.setattr(suffix_dedup.np, "unique", lambda key, **options: sorted_ones.append(len(key)) or unique(key, **options))
+    at, factor, source = suffix_dedup.longest_previous(data, 500 - offset, np.arange(len(data)), 400)
+    plain, sorted_ones[:] = sum(sorted_ones), []
+    assert plain < 4 * len(data)  # seven rankings by doubling took over six times the bytes
+    got = suffix_dedup.longest_previous(data, 500 - offset, np.arange(len(data)), 400, first, shared)
+    assert sum(sorted_ones) < 0.6 * plain
+    assert [v.tolist() for v in got] == [at.tolist(), factor.tolist(), source.tolist()]
+    text, want = data.tobytes(), set()
+    for r, k in zip(row, offset, strict=True):
+        i = 500 * int(r) + int(k)
+        if k <= 100 and any(text[500 * q + k : 500 * q + k + 400] == text[i : i + 400] for q in range(r)):
+            want.add(i)
+    assert {int(i) for i, f in zip(at, factor, strict=True) if f >= 400} == want
+    assert all(text[j : j + 400] == text[i : i + 400] and j < i for i, f, j in zip(at, factor, source, strict=True) if f)
+    wanted = row == 7
+    some = suffix_dedup.longest_previous(data, 500 - offset, np.arange(len(data)), 400, first, shared, wanted)
+    alike = {text[i : i + 400] for i in at[wanted[at]]}
+    assert set(some[0].tolist()) == {int(i) for i in at if text[i : i + 400] in alike}
+
+
+def test_places_that_are_the_same_are_no_copies():
+    """Two rows of one text that overlap, and a third text: only its string is a copy of another place."""
+    part = bytes(rng.choice(b"abcdefgh") for _ in range(40))
+    data = np.frombuffer(part + part[5:] + part[10:35], np.uint8)
+    room = np.concatenate([np.arange(k, 0, -1) for k in (40, 35, 25)])
+    place = np.concatenate([np.arange(40), np.arange(5, 40), 1000 + np.arange(25)])
+    at, factor, source = suffix_dedup.longest_previous(data, room, place, 12)
+    assert {int(i) for i in at[factor >= 12]} == {75 + k for k in range(14)}
+    assert {int(place[i]) for i in source[factor >= 12]} == set(range(10, 24))
