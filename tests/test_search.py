@@ -87,3 +87,19 @@ def test_points_are_dealt_by_plain_conditions(spark):
                 if c in leaf and away <= 0.2:
                     want.add((i, *leaf[c]))
     assert want <= {g[:4] for g in got} and len(got) < 1.2 * len(want)
+
+
+def test_outliers_ship_each_point_once_not_27_times(spark, monkeypatch):
+    """Lonely points go on by themselves; each round's rows are counted where they are dealt."""
+    from pointmill.operators import density
+
+    r = np.random.default_rng(6)
+    xyz = np.vstack([r.random((1500, 3)) * [4, 4, 0.05], [[2, 2, 3], [9, 9, 0]]])
+    rows = []
+    dealt = quadtree.dealt
+    monkeypatch.setattr(density, "dealt", lambda *a: rows.append(d := dealt(*a)) or d)
+    far = np.sort(np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(2)), axis=1)[:, 1:21].mean(1)
+    want = set(np.flatnonzero(far > far.mean() + 2 * far.std()).tolist())
+    p = cloud(spark, [(*q, 4) for q in xyz])
+    assert {x.point_id for x in density.outliers(p, radius=0.02).collect()} == want and {1500, 1501} <= want
+    assert rows[0].count() < 3 * len(xyz)
