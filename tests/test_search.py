@@ -103,3 +103,15 @@ def test_outliers_ship_each_point_once_not_27_times(spark, monkeypatch):
     p = cloud(spark, [(*q, 4) for q in xyz])
     assert {x.point_id for x in density.outliers(p, radius=0.02).collect()} == want and {1500, 1501} <= want
     assert rows[0].count() < 3 * len(xyz)
+
+
+def test_distances_of_a_dense_yard_match_brute_force(spark):
+    r = np.random.default_rng(7)
+    towers = np.round(r.random((4000, 2)) * [3, 0.5] + [0, 2], 3)
+    street = np.vstack([r.random((400, 2)) * [4, 3], [[30, 2], [2.9, 14]]])
+    p = cloud(spark, [(*q, 9, 6) for q in towers] + [(*q, 0, 2) for q in street] + [(float("nan"), 1, 0, 2)])
+    got = {x.point_id: x.distance for x in spatial.distances(p, p.where("cls = 6 AND z > 3"), 20.0).collect()}
+    far = np.sqrt(((street[:, None] - towers[None]) ** 2).sum(2)).min(1)
+    assert len(got) == 4403 and got[4402] is None and all(got[i] == 0 for i in range(4000))
+    assert all(got[4000 + i] is None if d >= 20 else abs(got[4000 + i] - d) < 1e-9 for i, d in enumerate(far))
+    assert got[4400] is None and got[4401] is not None
