@@ -115,3 +115,17 @@ def test_distances_of_a_dense_yard_match_brute_force(spark):
     assert len(got) == 4403 and got[4402] is None and all(got[i] == 0 for i in range(4000))
     assert all(got[4000 + i] is None if d >= 20 else abs(got[4000 + i] - d) < 1e-9 for i, d in enumerate(far))
     assert got[4400] is None and got[4401] is not None
+
+
+def test_ground_beside_cars_follows_the_nearest_point_of_a_dense_car(spark):
+    """The rim of a dense car decides for ground beside it, here by its height, and none of its inner points."""
+    from pointmill.operators import rules
+
+    r = np.random.default_rng(8)
+    car = [(x, y, 0.5 if x > 1.99 else 0.0, 9) for x, y in r.integers(1000, 2001, (3000, 2)) * 0.001]
+    p = cloud(spark, [*car, (2.3, 1.5, 0.1, 2), (2.6, 1.5, 0.1, 2), (0.8, 1.5, 0.25, 2), (0.8, 1.2, 0.1, 2)])
+    found = rules.nearest(p, F.col("cls") == 2, F.col("cls") == 9, 0.55, ["z"], 0.1, cap=500)
+    far = {3000 + i: min(car, key=lambda c, q=q: (c[0] - q[0]) ** 2 + (c[1] - q[1]) ** 2)[2] for i, q in enumerate([(2.3, 1.5), (2.6, 1.5), (0.8, 1.5), (0.8, 1.2)])}
+    assert {x.point_id: x.n_z for x in found.collect()} == {k: v for k, v in far.items() if k != 3001}
+    got = {x.point_id: x.cls for x in rules.peel_near_cars(p, max_h=0.3).where("point_id >= 3000").collect()}
+    assert got == {3000: 9, 3001: 2, 3002: 2, 3003: 9}
